@@ -23,17 +23,24 @@ def words(cleaned: Column, hashtag_bodies: bool = True) -> Column:
     return F.array_remove(F.split(cleaned, "[^a-z0-9]+"), "")
 
 
+def is_laughter(word: Column) -> Column:
+    """True for a run of laughter of any length (``hahaha``, ``hihi``)."""
+    may_be = word.startswith("haha") | word.startswith("hihi")
+    return may_be & word.rlike(LAUGHTER)
+
+
 def is_noise(word: Column) -> Column:
-    """True for a known noise word or a run of laughter (``hahaha``, ``hihi``)."""
-    laughing = word.startswith("haha") | word.startswith("hihi")
-    return word.isin(*NOISE_WORDS) | (laughing & word.rlike(LAUGHTER))
+    """True for a known noise word or a run of laughter."""
+    return word.isin(*NOISE_WORDS) | is_laughter(word)
 
 
 def is_word_kept(word: Column, stop_words: Iterable[str]) -> Column:
-    """Longer than one character, no stop word, no noise."""
-    stop_words = list(stop_words)
-    kept = (F.length(word) > 1) & ~is_noise(word)
-    return kept & ~word.isin(*stop_words) if stop_words else kept
+    """Longer than one character, no stop word, no noise.
+
+    Stop words and noise words form one literal set, looked up by hash.
+    """
+    dropped = [*NOISE_WORDS, *stop_words]
+    return ~word.isin(*dropped) & (F.length(word) > 1) & ~is_laughter(word)
 
 
 def remove_stopwords(tokens: Column, stop_words: Iterable[str]) -> Column:

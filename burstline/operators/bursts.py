@@ -174,14 +174,14 @@ def post_scores(terms: DataFrame, trends: DataFrame, interval: str = "hour") ->
     """Score posts by the trends their terms belong to.
 
     ``terms`` is ``(post_id, created_at, topic)``. Every post with a term gets
-    ``post_id, n_trending, max_score, avg_score``; zero if no term trends. A
-    trend's count says how many terms match it, so the join splits on it.
+    ``post_id, n_trending, max_score, avg_score``; zero if no term trends.
     """
     occurrences = terms.select(
         "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
     )
-    scores = trends.select("start_time", "topic", "count", "burst_score")
-    matched = join_split_hot(occurrences, scores, ["start_time", "topic"], "count")
+    keys = ["start_time", "topic"]
+    scores = trends.select(*keys, "burst_score")
+    matched = join_split_hot(occurrences, scores, keys, window_term_counts(terms, interval))
     scored = matched.groupBy("post_id").agg(
         F.count("*").alias("n_trending"),
         F.max("burst_score").alias("max_score"),

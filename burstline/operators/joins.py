@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it matches more than one in HOT_KEYS of all left rows, so
-# there are fewer than HOT_KEYS hot keys whatever the size of the data.
+# A key is hot when more than one in HOT_KEYS of all left rows carry it, so there
+# are fewer than HOT_KEYS hot keys whatever the size of the data.
 HOT_KEYS = 1000
 
 
 def join_split_hot(
-    left: DataFrame, right: DataFrame, on: list[str], weight: str
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    key_counts: DataFrame,
+    weight: str = "count",
 ) -> DataFrame:
-    """Inner join of ``left`` to a table with one row per key.
+    """Inner join of ``left`` to a ``right`` that has one row per key.
 
-    ``weight`` is a column of ``right`` with the number of left rows its key
-    matches (an upper bound will do). Rows of hot keys meet their few right
-    rows by broadcast and never move; all other rows are joined by shuffle,
-    where no key is heavy any more. The weight column is kept.
+    ``key_counts`` holds, for every key of ``left``, the number of its left rows
+    (or an upper bound) in ``weight``. Rows of hot keys meet their right rows,
+    fewer than ``HOT_KEYS``, by broadcast and never move. All other rows are
+    joined by shuffle, where no key is heavy any more.
     """
-    total = right.agg(F.sum(weight)).scalar()
-    is_hot = F.col(weight) * HOT_KEYS > total
-    hot = right.filter(is_hot)
-    cold = right.filter(~is_hot)
-    spread = left.join(F.broadcast(hot), on, "inner")
-    shuffled = left.join(F.broadcast(hot.select(*on)), on, "left_anti").join(
-        cold, on, "inner"
-    )
+    total = key_counts.agg(F.sum(weight)).scalar()
+    hot = key_counts.filter(F.col(weight) * HOT_KEYS > total).select(*on)
+    hot_right = right.join(F.broadcast(hot), on, "left_semi")
+    spread = left.join(F.broadcast(hot_right), on)
+    shuffled = left.join(F.broadcast(hot), on, "left_anti").join(right, on)
     return spread.unionByName(shuffled)

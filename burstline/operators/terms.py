@@ -50,11 +50,14 @@ def topical_tokens(
     cleaned = F.col("cleaned_text")
     usable = (F.length(cleaned) > 0) & ~F.col("lang").eqNullSafe("unknown")
     columns = list(dict.fromkeys([*keep, "lang"]))
-    source = posts.select(*columns, F.when(usable, cleaned).alias("cleaned_text"))
     words = tk.remove_stopwords(tk.words(cleaned, hashtag_bodies), stop_words)
-    combined = tk.combine_hashtags(words, tx.hashtags(cleaned))
+    # The words hold no "#", so no tag can be among them already.
+    tags = F.array_distinct(F.transform(tx.hashtags(cleaned), F.lower))
     nothing = F.array().cast("array<string>")
-    tokens = source.select(*columns, F.coalesce(combined, nothing).alias("tokens"))
+    tokens = posts.select(
+        *columns,
+        F.when(usable, F.concat(words, tags)).otherwise(nothing).alias("tokens"),
+    )
     if common is not None:
         tokens = vocab.drop_common(tokens, common, routes)
     if lexicon is not None:

@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.operators import terms
+from burstline.sources import layout
+
+
+TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; the text tables are spread when they come in few files."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return layout.spread_few_files(df) if name in TEXT_TABLES else df
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One post per event with a document of the same number.
 
     The text is the whole document, wrapped so that it also holds a retweet
-    mark, a mention, an entity, two hashtags and a link.
+    mark, a mention, an entity, two hashtags and a link. Both tables grow, so
+    neither is broadcast.
     """
     events = table(spark, sf_dir, "events")
-    documents = table(spark, sf_dir, "documents")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").hint("merge")
     text = F.concat(
         F.lit("RT @u"), "user_id", F.lit(": "), "text", F.lit(" &amp; #"), "event_type",
         F.lit(" #"), "source", F.lit(" http://t.co/"), "event_id",

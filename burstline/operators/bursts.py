@@ -182,10 +182,12 @@ def post_scores(terms: DataFrame, trends: DataFrame, interval: str = "hour") ->
     keys = ["start_time", "topic"]
     scores = trends.select(*keys, "burst_score")
     matched = join_split_hot(occurrences, scores, keys, window_term_counts(terms, interval))
+    # Scores have two decimals: a decimal sum does not depend on the row order.
+    exact = F.col("burst_score").cast("decimal(18,2)")
     scored = matched.groupBy("post_id").agg(
         F.count("*").alias("n_trending"),
         F.max("burst_score").alias("max_score"),
-        F.avg("burst_score").alias("avg_score"),
+        (F.sum(exact).cast("double") / F.count("*")).alias("avg_score"),
     )
     return (
         terms.select("post_id").distinct().join(scored, "post_id", "left")

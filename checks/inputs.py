@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.operators import terms
+from burstline.operators import terms, vocabulary
 from burstline.sources import layout
 
 
@@ -41,3 +41,137 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.with_cleaned_text(posts(spark, sf_dir))
+
+
+def tokens(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """``post_id, created_at, lang, tokens`` of the posts."""
+    return terms.topical_tokens(cleaned(spark, sf_dir), **options)
+
+
+def routed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lang, tokens``: all words of the posts under their table language."""
+    words = terms.with_words(cleaned(spark, sf_dir))
+    return words.select(
+        vocabulary.route_language(F.col("lang")).alias("lang"),
+        F.col("words").alias("tokens"),
+    )
+
+
+def suffix_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon of the posts' own words, tagged by their endings."""
+    word = F.col("word")
+    pos = (
+        F.when(word.endswith("ly"), "ADV")
+        .when(word.endswith("ing") | word.endswith("ed"), "VERB")
+        .when(word.endswith("able") | word.endswith("eux"), "ADJ")
+        .otherwise("NOUN")
+    )
+    words = routed_words(spark, sf_dir).select(
+        "lang", F.explode_outer("tokens").alias("word")
+    )
+    return (
+        words.filter(word.isNotNull()).distinct()
+        .select("lang", "word", pos.alias("pos"), F.lit(None).cast("int").alias("rank"))
+    )
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in use: sources, event types, and the first words of benchmark items."""
+    events = table(spark, sf_dir, "events")
+    documents = table(spark, sf_dir, "documents")
+    labels = {"source": "ORG", "event_type": "GPE"}
+    seen = events.join(documents.hint("merge"), events.event_id == documents.doc_id)
+    names = seen.select("lang", "source", "event_type").distinct().unpivot(
+        ["lang"], list(labels), "kind", "surface"
+    )
+    label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    opening = table(spark, sf_dir, "benchmark").select(words.alias("words"))
+    openings = opening.select(
+        F.lit("en").alias("lang"),
+        F.explode(
+            F.array(
+                F.struct(F.slice("words", 1, 1).alias("w"), F.lit("WORK").alias("label")),
+                F.struct(F.slice("words", 1, 2).alias("w"), F.lit("PERSON").alias("label")),
+                F.struct(F.slice("words", 1, 3).alias("w"), F.lit("PERSON").alias("label")),
+            )
+        ).alias("entry"),
+    ).select("lang", F.array_join("entry.w", " ").alias("surface"), "entry.label")
+    return names.select("lang", "surface", label[F.col("kind")].alias("label")).unionByName(
+        openings
+    )
+
+
+def event_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms straight from the events: who did what, over the whole time span."""
+    return _event_terms(table(spark, sf_dir, "events"))
+
+
+def _event_terms(events: DataFrame) -> DataFrame:
+    topic = F.concat("event_type", F.lit(":u"), "user_id")
+    return events.select(F.col("ts").alias("created_at"), topic.alias("topic"))
+
+
+def as_instant(ts: Column) -> Column:
+    """A zoneless UTC time as an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp")
+
+
+def as_utc(instant: Column) -> Column:
+    """An instant as a zoneless UTC time."""
+    return F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz")
+    )
+
+
+def event_term_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event terms as a stream."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    return _event_terms(events).withColumn("created_at", as_instant(F.col("created_at")))
+
+
+def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts in their nested raw form, some of them sparse.
+
+    Errors have no time and views an unreadable one; purchases carry another
+    UTC offset. Some sources lack text or language.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").hint("merge")
+    kind, source = F.col("event_type"), F.col("source")
+    pattern = "EEE, dd MMM yyyy HH:mm:ss"
+    shifted = F.col("ts") + F.expr("INTERVAL 2 HOURS")
+    created_at = (
+        F.when(kind == "error", None)
+        .when(kind == "view", "n/a")
+        .when(kind == "purchase", F.concat(F.date_format(shifted, pattern), F.lit(" +0200")))
+        .otherwise(F.concat(F.date_format("ts", pattern), F.lit(" +0000")))
+    )
+    text = (
+        F.when(source == "src1", None)
+        .when(source == "src2", " \t\n ")
+        .otherwise(F.concat("text", F.lit(" #"), "source"))
+    )
+    lang = (
+        F.when(source == "src3", None).when(source == "src4", "unknown")
+        .when(source == "src5", F.concat(F.lit(" "), F.upper("lang"))).otherwise(F.col("lang"))
+    )
+    return events.join(documents, events.event_id == documents.doc_id).select(
+        F.struct(text.alias("content")).alias("interaction"),
+        F.struct(lang.alias("tag")).alias("language"),
+        F.struct(
+            F.col("event_id").cast("string").alias("id"), created_at.alias("created_at")
+        ).alias("twitter"),
+    )
+
+
+def raw_json(spark: SparkSession, sf_dir: str) -> str:
+    """The raw posts written as JSON lines to a new work folder; its path."""
+    path = layout.work_path(spark, "raw-json")
+    raw_posts(spark, sf_dir).write.json(path)
+    return path

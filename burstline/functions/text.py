@@ -1,8 +1,7 @@
-"""Text cleaning as native Column expressions.
+r"""Text cleaning as native Column expressions.
 
-Character classes are spelled out so that the meaning does not depend on the
-regex engine: a word character is a Unicode letter, number or underscore and a
-space is any Unicode white space.
+A word character is a Unicode letter, number or underscore and a space is any
+Unicode white space; ``\s`` and ``\w`` alone are ASCII in Java's regexes.
 """
 
 from __future__ import annotations
@@ -11,12 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"\p{L}\p{N}_"
-SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
+SPACE = r"\s\x1c-\x1f\x{85}\p{Z}"
 
 ENTITY = rf"&[{WORD}]+;"
 URL_OR_MENTION = rf"http[^{SPACE}]+|@[{WORD}]+"
 PUNCTUATION = r"[!?:;()<>\[\]{}|/\\]"
-NOT_ALNUM_HASH_SPACE = rf"[^A-Za-z0-9#{SPACE}]"
+NOT_ALNUM_HASH_SPACE = rf"[^\p{{Alnum}}#{SPACE}]"
 HASHTAG = rf"#[{WORD}]+"
 
 # The code points in SPACE, for trim().

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import join_split_hot
+from burstline.operators.joins import left_join_split_hot
 
 SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
 
@@ -180,16 +180,22 @@ def post_scores(terms: DataFrame, trends: DataFrame, interval: str = "hour") ->
         "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
     )
     keys = ["start_time", "topic"]
-    scores = trends.select(*keys, "burst_score")
-    matched = join_split_hot(occurrences, scores, keys, window_term_counts(terms, interval))
+    matched = left_join_split_hot(
+        occurrences,
+        trends.select(*keys, "burst_score"),
+        keys,
+        window_term_counts(terms, interval),
+    )
     # Scores have two decimals: a decimal sum does not depend on the row order.
     exact = F.col("burst_score").cast("decimal(18,2)")
-    scored = matched.groupBy("post_id").agg(
-        F.count("*").alias("n_trending"),
-        F.max("burst_score").alias("max_score"),
-        (F.sum(exact).cast("double") / F.count("*")).alias("avg_score"),
-    )
     return (
-        terms.select("post_id").distinct().join(scored, "post_id", "left")
-        .na.fill(0, ["n_trending", "max_score", "avg_score"])
+        matched.groupBy("post_id")
+        .agg(
+            F.count("burst_score").alias("n_trending"),
+            F.max("burst_score").alias("max_score"),
+            F.try_divide(F.sum(exact).cast("double"), F.count("burst_score")).alias(
+                "avg_score"
+            ),
+        )
+        .na.fill(0, ["max_score", "avg_score"])
     )

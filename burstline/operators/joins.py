@@ -10,23 +10,49 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
-def join_split_hot(
+def left_join_split_hot(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     key_counts: DataFrame,
     weight: str = "count",
 ) -> DataFrame:
-    """Inner join of ``left`` to a ``right`` that has one row per key.
+    """Left outer join of ``left`` to a ``right`` that has one row per key.
 
     ``key_counts`` holds, for every key of ``left``, the number of its left rows
-    (or an upper bound) in ``weight``. Rows of hot keys meet their right rows,
-    fewer than ``HOT_KEYS``, by broadcast and never move. All other rows are
-    joined by shuffle, where no key is heavy any more.
+    in ``weight``. Rows of hot keys meet their right rows, fewer than
+    ``HOT_KEYS``, by broadcast; in the shuffle that joins all other rows they
+    carry no key but a salt, so that they spread over the tasks. Left keys must
+    not be null.
     """
+    added = [c for c in right.columns if c not in on]
+    packed = right.select(*on, F.struct(*added).alias("_right"))
+
     total = key_counts.agg(F.sum(weight)).scalar()
     hot = key_counts.filter(F.col(weight) * HOT_KEYS > total).select(*on)
-    hot_right = right.join(F.broadcast(hot), on, "left_semi")
-    spread = left.join(F.broadcast(hot_right), on)
-    shuffled = left.join(F.broadcast(hot), on, "left_anti").join(right, on)
-    return spread.unionByName(shuffled)
+    hot_rows = hot.join(packed, on, "left").select(
+        *on, F.lit(True).alias("_hot"), F.col("_right").alias("_hot_right")
+    )
+    marked = left.join(F.broadcast(hot_rows), on, "left")
+
+    salt = F.when(F.col("_hot"), F.xxhash64(*left.columns) % HOT_KEYS).otherwise(F.lit(0))
+    shuffle_keys = [f"_key_{name}" for name in on]
+    keyed = marked.select(
+        "*",
+        salt.alias("_salt"),
+        *[
+            F.when(F.col("_hot").isNull(), F.col(name)).alias(key)
+            for name, key in zip(on, shuffle_keys)
+        ],
+    )
+    cold = packed.select(
+        *[F.col(name).alias(key) for name, key in zip(on, shuffle_keys)],
+        F.lit(0).cast("long").alias("_salt"),
+        F.col("_right").alias("_cold_right"),
+    )
+    found = F.coalesce("_hot_right", "_cold_right")
+    return (
+        keyed.join(cold, [*shuffle_keys, "_salt"], "left")
+        .select(*left.columns, found.alias("_right"))
+        .select(*left.columns, *[F.col(f"_right.{name}").alias(name) for name in added])
+    )

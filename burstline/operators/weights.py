@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import join_split_hot
+from burstline.operators.joins import left_join_split_hot
 
 
 def term_frequencies(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:
@@ -19,10 +19,8 @@ def term_frequencies(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
-    """Documents and occurrences per term: ``term, df, occurrences``."""
-    return tf.groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("occurrences")
-    )
+    """Number of documents per term: ``term, df``."""
+    return tf.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def tfidf(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:
@@ -34,7 +32,7 @@ def tfidf(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:
     """
     tf = term_frequencies(tokens, id_col)
     df = document_frequencies(tf)
-    joined = join_split_hot(tf, df, ["term"], df, weight="occurrences")
+    joined = left_join_split_hot(tf, df, ["term"], df, weight="df")
     documents = tokens.agg(F.count("*")).scalar()
     idf = F.ln((documents + 1) / (F.col("df") + 1))
     return joined.select(id_col, "term", "tf", "df", (F.col("tf") * idf).alias("weight"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstline.operators import bursts
-from burstline.operators.joins import join_split_hot
+from burstline.operators.joins import left_join_split_hot
 
 FEATURES = ("count", "previous_count", "delta", "burst_ratio", "window_share")
 
@@ -36,7 +36,8 @@ def trend_features(counts: DataFrame) -> DataFrame:
     totals = counts.groupBy("start_time").agg(
         F.sum("count").alias("window_total"), F.count("*").alias("n_topics")
     )
-    return join_split_hot(per_topic, totals, ["start_time"], totals, "n_topics").select(
+    joined = left_join_split_hot(per_topic, totals, ["start_time"], totals, "n_topics")
+    return joined.select(
         "start_time",
         "topic",
         "count",

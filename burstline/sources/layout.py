@@ -57,12 +57,16 @@ def write_partitioned(
 
 def split_by_age(
     df: DataFrame, days: int = 30, ts: str = "created_at"
-) -> DataFrame:
-    """Add ``dt`` and ``tier``: ``archive`` if more than ``days`` before the newest date."""
-    dated = with_date(df, ts)
+) -> tuple[DataFrame, DataFrame]:
+    """Current rows, and those more than ``days`` older than the newest date.
+
+    A ``dt`` column is used as it is, so that stored partitions are pruned;
+    without one it is added. Undated rows stay current.
+    """
+    dated = df if "dt" in df.columns else with_date(df, ts)
     newest = dated.agg(F.max("dt")).scalar()
     old = F.col("dt") < F.date_sub(newest, days)
-    return dated.withColumn("tier", F.when(old, "archive").otherwise("current"))
+    return dated.filter(~old | F.col("dt").isNull()), dated.filter(old)
 
 
 def archive(
@@ -70,10 +74,9 @@ def archive(
     ts: str = "created_at",
 ) -> None:
     """Store the rows by age in two places, each partitioned by date."""
-    tiered = split_by_age(df, days, ts)
-    for tier, path in (("current", current_path), ("archive", archive_path)):
-        part = tiered.filter(F.col("tier") == tier).drop("tier")
-        write_partitioned(part, path, by=("dt",))
+    current, old = split_by_age(df, days, ts)
+    write_partitioned(current, current_path, by=("dt",))
+    write_partitioned(old, archive_path, by=("dt",))
 
 
 def register_view(df: DataFrame, name: str) -> None:

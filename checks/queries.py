@@ -11,7 +11,7 @@ from burstline.functions import text as tx
 from burstline.functions import tokens as tk
 from burstline.functions.wordlists import DEFAULT_STOP_WORDS, STOP_WORDS_BY_LANGUAGE
 from burstline.operators import bursts, entities as ent, terms, vocabulary, weights
-from burstline.plans import features, quality
+from burstline.plans import etl, features, quality
 from burstline.plans.trending import post_terms, trending
 from burstline.sources import layout, posts as src, results
 from burstline.streaming import ingest, trends as streams
@@ -110,11 +110,11 @@ def read_trends_csv(spark, sf):
 
 @query
 def etl_parquet(spark, sf):
-    posts = src.load_posts(spark, inputs.raw_json(spark, sf))
-    path = layout.work_path(spark, "etl")
-    for fmt in ("parquet", "orc"):
-        posts.write.format(fmt).save(f"{path}/{fmt}")
-    stored = spark.read.orc(f"{path}/orc").unionByName(spark.read.parquet(f"{path}/parquet"))
+    raw, path = inputs.raw_json(spark, sf), layout.work_path(spark, "etl")
+    as_orc, as_parquet = (
+        etl.etl_posts(spark, raw, f"{path}/{fmt}", fmt) for fmt in ("orc", "parquet")
+    )
+    stored = as_orc.unionByName(as_parquet).drop("dt")
     return stored.groupBy("lang", F.to_date(inputs.as_utc(F.col("created_at"))).alias("dt")).agg(
         F.count("*").alias("n_posts"), F.sum(F.length("cleaned_text")).alias("n_chars")
     )
@@ -479,11 +479,10 @@ def normalise_columns(spark, sf):
 @query
 def dq_quarantine(spark, sf):
     path = layout.work_path(spark, "quarantine")
-    accepted, rejected = quality.quarantine(
-        src.project_posts(inputs.raw_posts(spark, sf)), LANGUAGES
+    projected = src.project_posts(inputs.raw_posts(spark, sf))
+    etl.store_quarantined(
+        projected, f"{path}/verdict=accepted", f"{path}/verdict=rejected", LANGUAGES
     )
-    accepted.write.parquet(f"{path}/verdict=accepted")
-    rejected.write.parquet(f"{path}/verdict=rejected")
     return spark.read.parquet(path).select("post_id", "verdict")
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from burstline.schemas import TRENDS
-from burstline.sources import layout, results
+from burstline.sources import layout, object_store, results
 from conftest import plan_of
 
 START, END = datetime(2012, 2, 4, 9), datetime(2012, 2, 4, 10)
@@ -83,3 +83,21 @@ def test_few_files_are_spread_and_many_are_not(spark, tmp_path):
     one = layout.spread_few_files(spark.read.parquet(str(tmp_path / "one")))
     nine = layout.spread_few_files(spark.read.parquet(str(tmp_path / "nine")))
     assert "Exchange" in plan_of(one) and "Exchange" not in plan_of(nine)
+
+
+def test_object_store_settings():
+    settings = object_store.s3a_settings("http://store:9000", "key", "secret")
+    assert all(name.startswith("spark.hadoop.fs.s3a.") for name in settings)
+    assert settings["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert object_store.s3a_path("posts", "/in/a.json") == "s3a://posts/in/a.json"
+
+
+def test_stored_archive_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "posts")
+    layout.write_partitioned(layout.with_date(posts(spark)), path, by=("dt",))
+    current, old = layout.split_by_age(spark.read.parquet(path), 1)
+    assert old.count() == posts(spark).filter("day(created_at) <= 2").count()
+    assert current.count() + old.count() == 200
+    for part in (current, old):
+        scan = [line for line in plan_of(part).splitlines() if "PartitionFilters" in line][0]
+        assert "dt" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]

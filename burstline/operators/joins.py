@@ -22,8 +22,8 @@ def left_join_split_hot(
     ``key_counts`` holds, for every key of ``left``, the number of its left rows
     in ``weight``. Rows of hot keys meet their right rows, fewer than
     ``HOT_KEYS``, by broadcast; in the shuffle that joins all other rows they
-    carry no key but a salt, so that they spread over the tasks. Left keys must
-    not be null.
+    carry no key but a hash of the whole row, so that they spread over the tasks.
+    Left keys must not be null.
     """
     added = [c for c in right.columns if c not in on]
     packed = right.select(*on, F.struct(*added).alias("_right"))
@@ -35,11 +35,13 @@ def left_join_split_hot(
     )
     marked = left.join(F.broadcast(hot_rows), on, "left")
 
-    salt = F.when(F.col("_hot"), F.xxhash64(*left.columns) % HOT_KEYS).otherwise(F.lit(0))
+    # Both sides' spread comes from columns: a constant one would be taken out of
+    # the join keys, and the hot rows' null keys would all go to one task.
+    key_hash, row_hash = F.xxhash64(*on), F.xxhash64(*left.columns)
     shuffle_keys = [f"_key_{name}" for name in on]
     keyed = marked.select(
         "*",
-        salt.alias("_salt"),
+        F.when(F.col("_hot"), row_hash).otherwise(key_hash).alias("_spread"),
         *[
             F.when(F.col("_hot").isNull(), F.col(name)).alias(key)
             for name, key in zip(on, shuffle_keys)
@@ -47,12 +49,12 @@ def left_join_split_hot(
     )
     cold = packed.select(
         *[F.col(name).alias(key) for name, key in zip(on, shuffle_keys)],
-        F.lit(0).cast("long").alias("_salt"),
+        key_hash.alias("_spread"),
         F.col("_right").alias("_cold_right"),
     )
     found = F.coalesce("_hot_right", "_cold_right")
     return (
-        keyed.join(cold, [*shuffle_keys, "_salt"], "left")
+        keyed.join(cold, [*shuffle_keys, "_spread"], "left")
         .select(*left.columns, found.alias("_right"))
         .select(*left.columns, *[F.col(f"_right.{name}").alias(name) for name in added])
     )

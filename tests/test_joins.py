@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from burstline.operators.joins import left_join_split_hot
+from conftest import plan_of
 
 
 def skewed(spark):
@@ -32,6 +33,7 @@ def test_hot_rows_spread_over_the_shuffle(spark):
     left = skewed(spark)
     counts = left.groupBy("key").count()
     right = counts.select("key", F.length("key").alias("n"))
+    plain = left.join(right.hint("merge"), "key", "left")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -41,12 +43,20 @@ def test_hot_rows_spread_over_the_shuffle(spark):
         spark.conf.set(name, value)
     try:
         joined = left_join_split_hot(left, right, ["key"], counts)
-        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        shuffles = [x for x in plan_of(joined).splitlines() if "hashpartitioning(_key" in x]
+        assert len(shuffles) == 2 and all("_spread" in x for x in shuffles)
+        sizes, lumped = (
+            df.groupBy(F.spark_partition_id().alias("p"))
+            .agg(F.count("*").alias("rows"), F.max("n"))  # uses n, or the join would go
+            .collect()
+            for df in (joined, plain)
+        )
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert sum(r["count"] for r in sizes) == 30_000
-    assert max(r["count"] for r in sizes) < 30_000 / 8 * 1.5
+    assert max(r["rows"] for r in lumped) >= 10_000  # what the split avoids
+    assert sum(r["rows"] for r in sizes) == 30_000
+    assert max(r["rows"] for r in sizes) < 30_000 / 8 * 1.5
 
 
 def test_two_keys_and_empty_left(spark):

@@ -28,7 +28,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     names = os.environ.get("BENCH_QUERIES", " ".join(HEADLINE)).split()
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

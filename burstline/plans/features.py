@@ -69,7 +69,10 @@ def labelled_features(
 def train_classifier(
     labelled: DataFrame, max_iter: int = 20, reg_param: float = 0.01
 ) -> PipelineModel:
-    """Fit a scaled logistic regression on labelled features."""
+    """Fit a scaled logistic regression on labelled features.
+
+    Fitting reads its input several times: pass a stored table.
+    """
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features"),

@@ -488,6 +488,10 @@ oracle("trend_features", """
            count / CAST(sum(count) OVER (PARTITION BY start_time) AS DOUBLE) AS window_share
     FROM (SELECT *, lag(count, 1, 0) OVER (PARTITION BY topic ORDER BY start_time)
                  AS previous_count FROM day_averaged)""", "day_averaged")
+oracle("trend_labels", f"""
+    SELECT f.*, CASE WHEN t.topic IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS label
+    FROM ({ORACLE['trend_features']}) f LEFT JOIN ({trends('day_counts', 'day')}) t
+    ON t.topic = f.topic AND t.start_time = f.start_time + INTERVAL 1 DAY""", "day_counts")
 oracle("post_scores", f"""
     SELECT post_id, count(burst_score) AS n_trending,
            coalesce(max(burst_score), 0) AS max_score,

@@ -498,9 +498,17 @@ def trend_features(spark, sf):
     return features.trend_features(_day_counts(spark, sf))
 
 
+@query
+def trend_labels(spark, sf):
+    return features.labelled_features(_day_counts(spark, sf), interval="day")
+
+
 @query
 def trend_classifier(spark, sf):
-    labelled = features.labelled_features(_day_counts(spark, sf), interval="day")
+    # Training reads its input many times, so it is stored once.
+    path = layout.work_path(spark, "labelled-features")
+    features.labelled_features(_day_counts(spark, sf), interval="day").write.parquet(path)
+    labelled = spark.read.parquet(path)
     return features.classify(features.train_classifier(labelled), labelled)
 
 

@@ -129,8 +129,9 @@ def drop_words(
     back in order. Spark chooses how to join: by broadcast while the table is
     within ``spark.sql.autoBroadcastJoinThreshold``, else by shuffle, where AQE
     splits the partitions of very common words. Hashtags never match. ``keep``
-    must identify a post; each regrouped list is one post's tokens. A post that
-    loses all its tokens stays, with an empty list.
+    must identify a post, so that each regrouped list is one post's tokens; the
+    job fails if two posts share it. A post that loses all its tokens stays, with
+    an empty list.
     """
     keep = list(keep)
     table = (
@@ -151,8 +152,16 @@ def drop_words(
     return (
         unnested.join(table, ["_route", "_word"], "left")
         .groupBy(*keep)
-        .agg(F.sort_array(F.collect_list(kept)).alias("_kept"))
-        .select(*keep, F.col("_kept._word").alias("tokens"))
+        .agg(
+            F.sort_array(F.collect_list(kept)).alias("_kept"),
+            (F.count("*") > F.coalesce(F.max("_pos"), F.lit(0)) + 1).alias("_shared"),
+        )
+        .select(
+            *keep,
+            F.when(
+                F.col("_shared"), F.raise_error(F.lit(f"posts share their {keep}"))
+            ).otherwise(F.col("_kept._word")).alias("tokens"),
+        )
     )
 
 

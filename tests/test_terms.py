@@ -81,6 +81,13 @@ def test_lexicon_join_keeps_hot_words_whole(spark):
     assert [len(t) for t in got] == [31 if i != 7 else 30 for i in range(300)]
 
 
+def test_shared_post_ids_fail(spark):
+    lexicon = spark.createDataFrame([("en", "ran", "VERB", None)], LEXICON)
+    df = posts(spark, ("en", "aa bb"), ("en", "cc ran")).withColumn("post_id", F.lit(None).cast("long"))
+    with pytest.raises(PySparkException, match="posts share their"):
+        terms.topical_tokens(df, lexicon=lexicon).collect()
+
+
 def test_repeated_lexicon_entry_fails(spark):
     lexicon = spark.createDataFrame(
         [("en", "run", "NOUN", None), ("en", "run", "VERB", None)], LEXICON

@@ -81,17 +81,15 @@ def entities(
     )
     names = (
         gazetteer.filter(F.col("label").isin(*labels))
-        .select("lang", F.lower("surface").alias("key"))
+        .select(F.col("lang").alias("name_lang"), F.lower("surface").alias("name"))
         .distinct()
     )
-    match = F.struct(
-        F.col("span.start").alias("start"),
-        (-F.col("span.words")).alias("shorter"),
-        F.col("span.surface").alias("surface"),
-    )
+    match = F.struct("start", (-F.col("words")).alias("shorter"), "surface")
+    # The lower-cased surface is a join key only, not a column to shuffle.
+    same = (F.col("lang") == F.col("name_lang")) & (F.lower("surface") == F.col("name"))
     found = (
-        searched.select(id_col, "lang", "span", F.lower("span.surface").alias("key"))
-        .join(names, ["lang", "key"])
+        searched.select(id_col, "lang", "span.*")
+        .join(names, same)
         .groupBy(id_col)
         .agg(F.collect_list(match).alias("found"))
         .select(id_col, F.array_join(_leftmost_longest(F.col("found")), " ").alias("entities"))

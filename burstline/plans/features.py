@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,10 +82,23 @@ def train_classifier(
 
 
 def classify(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """``start_time, topic, probability, prediction`` for each feature row."""
-    return model.transform(features).select(
+    """``start_time, topic, probability, prediction`` for each feature row.
+
+    The model is linear, so it is applied as a Column expression of its few
+    numbers. A fitted model that is shipped to tasks takes its training summary
+    along, which cannot be serialised once the session has used an Observation.
+    """
+    _, scaler, regression = model.stages
+    margin = F.lit(regression.intercept)
+    for name, mean, std, weight in zip(
+        FEATURES, scaler.mean, scaler.std, regression.coefficients
+    ):
+        if std > 0:
+            margin += (F.col(name) - float(mean)) / float(std) * float(weight)
+    probability = 1 / (1 + F.exp(-margin))
+    return features.select(
         "start_time",
         "topic",
-        vector_to_array("probability")[1].alias("probability"),
-        F.col("prediction").cast("int").alias("prediction"),
+        probability.alias("probability"),
+        (probability > 0.5).cast("int").alias("prediction"),
     )

@@ -1,6 +1,9 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from burstline.plans import features
 
@@ -32,10 +35,30 @@ def test_label_is_the_next_windows_trend(spark):
     assert by_day == {**{day: 3.0 for day in range(1, 12)}, 12: 0.0}
 
 
-def test_classifier(spark):
+def test_classifier(spark, tmp_path):
     labelled = features.labelled_features(counts(spark), n=3, interval="day")
     model = features.train_classifier(labelled)
     scored = features.classify(model, labelled)
     assert scored.columns == ["start_time", "topic", "probability", "prediction"]
     assert scored.count() == 480
     assert scored.filter("probability < 0 OR probability > 1").isEmpty()
+    path = str(tmp_path / "model")
+    model.save(path)
+    stored = PipelineModel.load(path).transform(labelled)
+    theirs = {
+        (r["start_time"], r["topic"]): (r["probability"][1], int(r["prediction"]))
+        for r in stored.collect()
+    }
+    for row in scored.collect():
+        probability, prediction = theirs[row["start_time"], row["topic"]]
+        assert row["probability"] == pytest.approx(probability)
+        assert row["prediction"] == prediction
+
+
+def test_classifier_after_an_observation(spark):
+    observation = Observation("rows")
+    spark.range(3).observe(observation, F.count("*").alias("n")).collect()
+    assert observation.get == {"n": 3}
+    labelled = features.labelled_features(counts(spark), n=3, interval="day")
+    scored = features.classify(features.train_classifier(labelled), labelled)
+    assert scored.count() == 480 and len(scored.collect()) == 480

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,18 +9,14 @@ from pyspark.sql import functions as F
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables, under ``spark.checkpoint.dir``.
+    """A new folder for intermediate tables.
 
-    A local session without that setting gets a temporary folder; a cluster
-    without it is an error, since its machines share no local disk.
+    It lies in the folder the session names as ``spark.checkpoint.dir``, else
+    below the session's warehouse, which every executor reaches as well.
     """
-    context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="burstline-"))
-        base = context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import exact, langid, mixing, packing, quality, warc
+from burstline.llm import exact, langid, mixing, packing, quality, recompression, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove repeated strings of 400 bytes from all documents."""
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), 400, texts=False)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score the quality of every document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -62,9 +67,17 @@ def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove windows of 50 words that a smaller document has."""
+    return recompression.remove_repeats(_table(spark, sf_dir, "documents"), 50, texts=False)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_warc, op4_language, op5_mixture, op6_packing, op8_quality, op9_exact)
+    for f in (
+        op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
+        op9_exact, op10_recompression,
+    )
 }
 
 ORACLE: dict[str, str] = {

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burstline.llm import exact, langid, mixing, packing, quality, recompression, suffixes, warc
+from burstline.llm import (
+    exact,
+    jaccard,
+    langid,
+    mixing,
+    packing,
+    quality,
+    recompression,
+    suffixes,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +33,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive all pages, then read the archives back."""
     archives = warc.store(warc.write_archives(_table(spark, sf_dir, "pages")))
@@ -75,7 +90,7 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
+        op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
         op9_exact, op10_recompression,
     )
 }

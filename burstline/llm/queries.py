@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from burstline.llm import (
     exact,
+    fingerprints,
     jaccard,
     langid,
     mixing,
@@ -33,6 +34,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and their edits, with likenesses."""
+    return fingerprints.edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -90,7 +96,7 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
+        op1_fingerprints, op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
         op9_exact, op10_recompression,
     )
 }

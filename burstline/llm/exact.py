@@ -201,12 +201,12 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
     Rows that agree in id and normalised text are reduced to one.
     """
     groups = duplicate_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
+        F.col("doc_id").alias("burstline_id"), F.col("text_sha256").alias("burstline_sha")
     ).distinct()
     marked = docs.select(
         *[docs[c] for c in docs.columns],
-        F.sha2(normalised(docs["text"]).cast("binary"), 256).alias("_own"),
+        F.sha2(normalised(docs["text"]).cast("binary"), 256).alias("burstline_own"),
     )
-    same = marked["doc_id"].eqNullSafe(groups["_id"]) & (marked["_own"] == groups["_sha"])
-    kept = marked.join(groups, same, "left_semi").drop("_own")
+    same = marked["doc_id"].eqNullSafe(groups["burstline_id"]) & (marked["burstline_own"] == groups["burstline_sha"])
+    kept = marked.join(groups, same, "left_semi").drop("burstline_own")
     return kept

@@ -23,6 +23,8 @@ from burstline.llm.textbytes import flat, lowest_share, mix, steps
 
 #: Label of texts without a letter.
 UNDETERMINED = "und"
+#: Names of columns that only travel with a batch.
+TEXT, LETTER = "burstline_text", "burstline_letter"
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
@@ -161,11 +163,11 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     def score(batches: Iterator[pa.RecordBatch]):
         own = shared.value
-        for batch in steps(batches, "_text"):
-            data, offsets = flat(batch.column("_text"))
+        for batch in steps(batches, TEXT):
+            data, offsets = flat(batch.column(TEXT))
             bits = own.code_lengths(data, offsets)
             size = np.maximum(np.diff(offsets), 1)
-            lettered = batch.column("_letter").to_numpy(zero_copy_only=False).astype(bool)
+            lettered = batch.column(LETTER).to_numpy(zero_copy_only=False).astype(bool)
             if own.languages:
                 best = bits.argmin(0)
                 least = bits.min(0)
@@ -176,7 +178,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 least, sure = np.zeros(len(size)), np.zeros(len(size))
                 labels, lettered = np.full(len(size), UNDETERMINED, object), lettered & False
             labels = np.where(lettered, labels, UNDETERMINED)
-            columns = [batch.column(c) for c in keep] + [
+            columns = [batch.column(TEXT if c == "text" else c) for c in keep] + [
                 pa.array(labels, pa.string()),
                 pa.array(np.where(lettered, sure, 0.0)),
                 pa.array(least / size),
@@ -184,5 +186,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
             names = [*keep, "lang_pred", "score", "bits_per_byte"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(*keep, F.col("text").alias("_text"), letter.alias("_letter"))
+    rows = docs.select(
+        *[c for c in keep if c != "text"], F.col("text").alias(TEXT), letter.alias(LETTER)
+    )
     return rows.mapInArrow(score, f"{schema}, lang_pred string, score double, bits_per_byte double")

@@ -124,7 +124,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
 
 
 def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: float = 2.0,
-        seed: int = 11) -> DataFrame:
+        seed: int = 11, keep_key: bool = False) -> DataFrame:
     """Choose how often each document is taken.
 
     Returns one row per row of ``docs``: ``doc_id, source, size, source_size,
@@ -133,13 +133,14 @@ def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: floa
     source's whole rounds. Of equal documents, with one id, the choice goes by
     the hash of their text; rows equal in all are exchangeable. Empty tables give
     no rows. The columns of ``docs`` other than ``doc_id, text, source`` are
-    not used.
+    not used. With ``keep_key`` a hash of these three is added as ``key``.
     """
     spark = docs.sparkSession
     path = work_path(spark, "sizes")
     drawn = F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit(seed))
     docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), drawn.alias("drawn")
+        "doc_id", "source", word_count(F.col("text")).alias("size"), drawn.alias("drawn"),
+        F.xxhash64(F.col("doc_id").cast("string"), "text", "source").alias("key"),
     ).write.parquet(path)
     sized = spark.read.parquet(path).withColumn(
         "part", F.shiftrightunsigned("drawn", 64 - (PARTS - 1).bit_length())
@@ -187,5 +188,24 @@ def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: floa
     copies = F.col("rounds") + extra
     return joined.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
+        (F.col("copies") * F.col("size")).alias("taken"), *["key"] * keep_key,
     )
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix, each as often as it is taken, with the columns of ``docs``.
+
+    Rows equal in ``doc_id, text, source`` are taken together, with the other
+    columns of one of them.
+    """
+    names = list(docs.columns)
+    key = F.xxhash64(docs["doc_id"].cast("string"), docs["text"], docs["source"])
+    keyed = docs.select(F.struct(*names).alias("row"), key.alias("key"))
+    own = docs.select("doc_id", "text", "source")
+    chosen = mix(own, **options, keep_key=True).groupBy("key").agg(
+        F.sum("copies").alias("copies")
+    )
+    rows = keyed.groupBy("key").agg(F.first("row").alias("row"))
+    taken = rows.join(chosen.filter("copies > 0"), "key")
+    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return taken.select("row", times.alias("time")).select("row.*")

@@ -223,13 +223,13 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches, "_text"):
-            scores = shared.value.score(*features(batch.column("_text")), batch.num_rows)
+        for batch in steps(batches, "burstline_text"):
+            scores = shared.value.score(*features(batch.column("burstline_text")), batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]
                 + [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                 [*keep, "score", "predicted"],
             )
 
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    rows = docs.select(*keep, F.col("text").alias("burstline_text"))
     return rows.mapInArrow(run, f"{schema}, score double, predicted int")

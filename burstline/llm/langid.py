@@ -87,7 +87,7 @@ class Model:
         self.gram = np.full(1 << self.bits, 2**64 - 1, np.uint64)
         self.gram[slots] = known
         costs = np.array([tree.cost(self.gram) for tree in self.trees], np.float32)
-        self.costs = costs.reshape(len(self.languages), -1)
+        self.costs = costs.reshape(len(self.languages), len(self.gram))
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text under each language, one row per language."""

@@ -75,13 +75,18 @@ def rice_decode(code: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def _ranges(prints: np.ndarray, owners: int) -> tuple[np.ndarray, np.uint64]:
+    """The owner of each fingerprint, and the width of an owner's range."""
+    width = np.uint64(min(2**64 // owners + 1, 2**64 - 1))
+    return np.minimum(prints // width, np.uint64(owners - 1)).astype(np.int64), width
+
+
 def _send(owners: int):
     def send(key, rows: pd.DataFrame) -> pd.DataFrame:
         prints, counts = np.unique(
             rows["print"].to_numpy(np.int64).view(np.uint64), return_counts=True
         )
-        width = np.uint64(2**64 // owners + 1)
-        owner = (prints // width).astype(np.int64)
+        owner, width = _ranges(prints, owners)
         out = []
         for o in np.unique(owner):
             mine = owner == o
@@ -116,7 +121,7 @@ def _suspects(owners: int):
     def suspects(key, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         own = rows["print"].to_numpy(np.int64).view(np.uint64)
         prints = np.unique(own)
-        owner = (prints // np.uint64(2**64 // owners + 1)).astype(np.int64)
+        owner, _ = _ranges(prints, owners)
         marked = np.zeros(len(prints), bool)
         for o, marks in zip(answers["owner"], answers["marks"], strict=True):
             mine = np.flatnonzero(owner == o)

@@ -192,7 +192,8 @@ def sum_of_squares(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarr
             if gaps[0] == 0:  # the piece fills a sequence, which then is no longer open
                 change[0] = 1 - 2 * taken[0]
             pick = int(np.argmin(change))
-            best = int(gaps[pick]) + s
+            if change[pick] <= 2 * open_[most - s] + 1:
+                best = int(gaps[pick]) + s
         if best == most:
             own, used = used, used + 1
         else:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from burstline.operators.joins import left_join_split_hot
 
+#: Leading characters that split the topics of equal score and count.
+RANK_PREFIX = 8
+
 SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
 
 
@@ -69,7 +72,9 @@ def topic_averages(counts: DataFrame, baseline: str = "present") -> DataFrame:
 
 
 def _window_total(counts: DataFrame) -> Column:
-    return counts.select("start_time").distinct().agg(F.count("*")).scalar()
+    # Summing keeps the counts' columns as they are, so their shuffle is reused.
+    per_window = counts.groupBy("start_time").agg(F.sum("count").alias("total"))
+    return per_window.agg(F.count("total")).scalar()
 
 
 def with_baseline(
@@ -107,21 +112,44 @@ def min_count_floor(scored: DataFrame, min_count: int = 2) -> DataFrame:
     return scored.filter(F.col("count") >= min_count)
 
 
-def rank_in_window(scored: DataFrame) -> DataFrame:
-    """Add ``rank``: by rounded score, then count, then topic within a window."""
+def _ranked(scored: DataFrame) -> DataFrame:
     order = Window.partitionBy("start_time").orderBy(
         F.desc("burst_score"), F.desc("count"), F.asc("topic")
     )
     return scored.withColumn("rank", F.row_number().over(order))
 
 
+def rank_in_window(scored: DataFrame) -> DataFrame:
+    """Add ``rank``: by rounded score, then count, then topic within a window.
+
+    A window may hold any number of topics, so it is not ranked in one task.
+    Topics with equal score and count form a group, cut by the beginnings of the
+    topics; a rank is the number of topics in better groups, plus those with a
+    smaller beginning, plus the place among those that begin alike.
+    """
+    group = ["start_time", "burst_score", "count"]
+    cut = scored.withColumn("_part", F.substring("topic", 1, RANK_PREFIX))
+    parts = cut.groupBy(*group, "_part").agg(F.count("*").alias("_size"))
+    by_part = Window.partitionBy(*group).orderBy("_part")
+    within = parts.withColumn("_smaller", F.sum("_size").over(by_part) - F.col("_size"))
+    better = Window.partitionBy("start_time").orderBy(F.desc("burst_score"), F.desc("count"))
+    sizes = parts.groupBy(*group).agg(F.sum("_size").alias("_size"))
+    above = sizes.withColumn("_above", F.sum("_size").over(better) - F.col("_size"))
+    offsets = within.join(above.drop("_size"), group).select(
+        *group, "_part", (F.col("_above") + F.col("_smaller")).alias("_offset")
+    )
+    in_part = Window.partitionBy(*group, "_part").orderBy("topic")
+    rank = (F.col("_offset") + F.row_number().over(in_part)).cast("int")
+    return cut.join(offsets, [*group, "_part"]).select(*scored.columns, rank.alias("rank"))
+
+
 def top_n(scored: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` of every window.
 
     The rank filter follows the ranking directly, so every task keeps at most
     ``n`` rows per window before the shuffle, however full a window is.
     """
-    return rank_in_window(scored).filter(F.col("rank") <= n)
+    return _ranked(scored).filter(F.col("rank") <= n)
 
 
 def flatten_window(ranked: DataFrame, interval: str) -> DataFrame:
@@ -170,32 +198,42 @@ def topic_weights(trends: DataFrame, topic: str = "topic") -> DataFrame:
     return counts.withColumn("weight", F.col("count") / highest)
 
 
-def post_scores(terms: DataFrame, trends: DataFrame, interval: str = "hour") -> DataFrame:
-    """Score posts by the trends their terms belong to.
-
-    ``terms`` is ``(post_id, created_at, topic)``. Every post with a term gets
-    ``post_id, n_trending, max_score, avg_score``; zero if no term trends.
+def post_scores(
+    terms: DataFrame, trends: DataFrame | None = None, interval: str = "hour"
+) -> DataFrame:
+    """Score posts by the burst scores of their terms.
+
+    ``terms`` is ``(post_id, created_at, topic)``. ``trends`` holds the scores of
+    some topics, by default of every topic in every window, from the terms
+    themselves. Every post with a term gets ``post_id, n_trending, max_score,
+    avg_score``; zero if none of its terms has a score. The terms are counted per
+    post once, and the counts serve as the rows to score, as the weights of the
+    keys and as the counts of the topics.
     """
-    occurrences = terms.select(
-        "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
-    )
     keys = ["start_time", "topic"]
+    per_post = (
+        terms.select(
+            "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
+        )
+        .groupBy("post_id", *keys)
+        .agg(F.count("*").alias("uses"))
+    )
+    counts = per_post.groupBy(*keys).agg(F.sum("uses").alias("count"))
+    if trends is None:
+        dated = counts.filter(F.col("start_time").isNotNull())
+        trends = with_burst_score(with_baseline(dated))
     matched = left_join_split_hot(
-        occurrences,
-        trends.select(*keys, "burst_score"),
-        keys,
-        window_term_counts(terms, interval),
+        per_post, trends.select(*keys, "burst_score"), keys, counts
     )
     # Scores have two decimals: a decimal sum does not depend on the row order.
-    exact = F.col("burst_score").cast("decimal(18,2)")
+    exact = F.col("burst_score").cast("decimal(18,2)") * F.col("uses")
+    scored = F.when(F.col("burst_score").isNotNull(), F.col("uses")).otherwise(0)
     return (
         matched.groupBy("post_id")
         .agg(
-            F.count("burst_score").alias("n_trending"),
+            F.sum(scored).alias("n_trending"),
             F.max("burst_score").alias("max_score"),
-            F.try_divide(F.sum(exact).cast("double"), F.count("burst_score")).alias(
-                "avg_score"
-            ),
+            F.try_divide(F.sum(exact).cast("double"), F.sum(scored)).alias("avg_score"),
         )
         .na.fill(0, ["max_score", "avg_score"])
     )

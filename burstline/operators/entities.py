@@ -11,58 +11,73 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from burstline.functions import tokens as tk
 from burstline.functions.text import WORD
 
+#: Tasks that the uses of one frequent word are spread over.
+SALTS = 16
 LABELS = ("PERSON", "ORG", "GPE")
 LANGUAGES = ("en", "nl")
 
 
-def spans(words: Column, max_words: int) -> Column:
-    """All runs of 1 to ``max_words`` words: array of (start, words, surface)."""
-
-    def of_length(n: int) -> Column:
-        return F.transform(
-            tk.ngrams(words, n),
-            lambda gram, i: F.struct(
-                i.alias("start"), F.lit(n).alias("words"), gram.alias("surface")
-            ),
-        )
-
-    return F.concat(*[of_length(n) for n in range(1, max_words + 1)])
-
-
 def _leftmost_longest(found: Column) -> Column:
-    """Walk matches by start, longest first, skipping those that overlap."""
+    """Walk matches by start, longest first, skipping those that overlap.
+
+    Keeps ``(start, words)`` of the names; their text is cut out afterwards.
+    """
     nothing = F.struct(
-        F.lit(0).alias("free_from"), F.array().cast("array<string>").alias("names")
+        F.lit(0).alias("free_from"),
+        F.array().cast("array<struct<start: int, words: int>>").alias("names"),
     )
 
     def take(state: Column, match: Column) -> Column:
+        size = -match["shorter"]
+        name = F.struct(match["start"].alias("start"), size.alias("words"))
         taken = F.struct(
-            (match["start"] - match["shorter"]).alias("free_from"),
-            F.array_append(state["names"], match["surface"]).alias("names"),
+            (match["start"] + size).alias("free_from"),
+            F.array_append(state["names"], name).alias("names"),
         )
         return F.when(match["start"] >= state["free_from"], taken).otherwise(state)
 
     return F.aggregate(F.sort_array(found), nothing, take, lambda state: state["names"])
 
 
+def listed_names(gazetteer: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
+    """``lang, name, first, words``: each name split like a text, in lower case.
+
+    Punctuation in a name separates words or is dropped, as in a text.
+    """
+    words = F.transform(F.regexp_extract_all("surface", F.lit(f"[{WORD}]+"), F.lit(0)), F.lower)
+    return (
+        gazetteer.filter(F.col("label").isin(*labels))
+        .select("lang", words.alias("w"))
+        .filter(F.size("w") > 0)
+        .select(
+            "lang", F.array_join("w", " ").alias("name"), F.col("w")[0].alias("first"),
+            F.size("w").alias("words"),
+        )
+        .distinct()
+    )
+
+
 def entities(
     posts: DataFrame,
     gazetteer: DataFrame,
     id_col: str = "post_id",
     languages: Sequence[str] = LANGUAGES,
     labels: Sequence[str] = LABELS,
-    max_words: int = 3,
 ) -> DataFrame:
     """``id, entities``: the names in each post in text order, joined by spaces.
 
-    Matching ignores case; of overlapping names the leftmost and then longest
-    wins. A post in language ``unknown`` has none; any other language, or a null
-    text or language, fails the job. The join is left to Spark: by broadcast
-    while the gazetteer is within ``spark.sql.autoBroadcastJoinThreshold``, else
-    by shuffle with skewed partitions split at run time.
+    Names may have any number of words. Matching ignores case and punctuation;
+    of overlapping names the leftmost and then longest wins. A post in language
+    ``unknown`` has none; any other language, or a null text or language, fails
+    the job.
+
+    Words are matched against the names' first words; only where one begins are
+    spans built, of the lengths that names with this beginning have. Both joins
+    are left to Spark: by broadcast while the gazetteer is within
+    ``spark.sql.autoBroadcastJoinThreshold``, else by shuffle on a key that is
+    salted, so that a frequent word is not one task's.
     """
     lang = F.col("lang")
     known = lang.isin(*languages, "unknown") & F.col("text").isNotNull()
@@ -70,33 +85,59 @@ def entities(
     checked = F.when(F.coalesce(known, F.lit(False)), lang).otherwise(
         F.raise_error(message)
     )
-    pattern = F.lit(f"[{WORD}]+")
     words = posts.select(
         id_col,
         checked.alias("lang"),
-        F.regexp_extract_all(F.col("text"), pattern, F.lit(0)).alias("words"),
+        F.regexp_extract_all(F.col("text"), F.lit(f"[{WORD}]+"), F.lit(0)).alias("words"),
     )
-    searched = words.filter(F.col("lang") != "unknown").withColumn(
-        "span", F.explode_outer(spans(F.col("words"), max_words))
+    names = listed_names(gazetteer, labels)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    firsts = (
+        names.groupBy("lang", "first").agg(F.collect_set("words").alias("sizes"))
+        .select("lang", "first", "sizes", salts)
     )
-    names = (
-        gazetteer.filter(F.col("label").isin(*labels))
-        .select(F.col("lang").alias("name_lang"), F.lower("surface").alias("name"))
-        .distinct()
+    salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
+    begun = (
+        words.filter(F.col("lang") != "unknown")
+        .select(id_col, "lang", salt.alias("salt"), F.posexplode("words").alias("start", "word"))
+        .withColumn("first", F.lower("word"))
+        .join(firsts, ["lang", "first", "salt"])
+        .groupBy(id_col)
+        .agg(F.collect_list(F.struct("start", "sizes")).alias("begun"))
+    )
+    # built as one array, so that unnesting does not repeat a post's words
+    candidates = F.flatten(
+        F.transform(
+            "begun",
+            lambda b: F.transform(
+                F.filter(b["sizes"], lambda n: b["start"] + n <= F.size("words")),
+                lambda n: F.struct(
+                    b["start"].alias("start"), n.alias("n"),
+                    F.lower(
+                        F.array_join(F.slice("words", b["start"] + 1, n), " ")
+                    ).alias("name"),
+                ),
+            ),
+        )
     )
-    match = F.struct("start", (-F.col("words")).alias("shorter"), "surface")
-    # The lower-cased surface is a join key only, not a column to shuffle.
-    same = (F.col("lang") == F.col("name_lang")) & (F.lower("surface") == F.col("name"))
+    spans = words.join(begun, id_col).select(
+        id_col, "lang", salt.alias("salt"), F.explode(candidates).alias("span")
+    ).select(id_col, "lang", "salt", "span.*")
     found = (
-        searched.select(id_col, "lang", "span.*")
-        .join(names, same)
+        spans.join(names.select("lang", "name", salts), ["lang", "name", "salt"])
         .groupBy(id_col)
-        .agg(F.collect_list(match).alias("found"))
-        .select(id_col, F.array_join(_leftmost_longest(F.col("found")), " ").alias("entities"))
+        .agg(
+            F.collect_list(
+                F.struct("start", (-F.col("n")).alias("shorter"))
+            ).alias("found")
+        )
+    )
+    texts = F.transform(
+        _leftmost_longest(F.col("found")),
+        lambda m: F.array_join(F.slice("words", m["start"] + 1, m["words"]), " "),
     )
     return (
         words.filter(F.col("lang").isNotNull())
-        .select(id_col)
         .join(found, id_col, "left")
-        .na.fill("", ["entities"])
+        .select(id_col, F.coalesce(F.array_join(texts, " "), F.lit("")).alias("entities"))
     )

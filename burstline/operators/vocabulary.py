@@ -17,6 +17,10 @@ from burstline.functions.wordlists import STOP_WORDS_BY_LANGUAGE
 
 TOPICAL_POS = ("NOUN", "PROPN")
 DEFAULT_MIN_FREQ_RANK = 700
+#: Leading characters that split the words of one frequency.
+RANK_PREFIX = 3
+#: Tasks that the uses of one common word are spread over.
+SALTS = 16
 ROUTES = {"en": "en"}
 DEFAULT_ROUTE = "nl"
 
@@ -49,26 +53,46 @@ def stop_words(
     return merged.distinct()
 
 
-def freq_rank(
-    tokens: DataFrame, top: int = DEFAULT_MIN_FREQ_RANK, lang: str = "lang"
-) -> DataFrame:
-    """Rank words by corpus frequency within each language, commonest = 0.
+def freq_rank(tokens: DataFrame, lang: str = "lang") -> DataFrame:
+    """Rank all words by corpus frequency within each language, commonest = 0.
 
-    ``tokens`` has a language column and an array column ``tokens``. Only the
-    first ``top`` ranks are returned: nothing below reads further, and the bound
-    lets every task keep just its own ``top`` candidates before the shuffle.
+    ``tokens`` has a language column and an array column ``tokens``; words of
+    equal frequency are ranked by code point. No task sees a whole language: a
+    word's rank is the number of words with higher counts, plus those of its
+    count with a smaller beginning, plus its place among those that begin like
+    it. Only the first two are summed over, from one row per count and beginning.
     """
     counts = (
         tokens.select(F.col(lang).alias("lang"), F.explode_outer("tokens").alias("word"))
         .filter(F.col("word").isNotNull())
         .groupBy("lang", "word")
         .count()
+        .withColumn("_part", F.substring("word", 1, RANK_PREFIX))
     )
-    by_count = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
-    return (
-        counts.withColumn("position", F.row_number().over(by_count))
-        .filter(F.col("position") <= top)
-        .select("lang", "word", "count", (F.col("position") - 1).alias("rank"))
+    parts = counts.groupBy("lang", "count", "_part").agg(F.count("*").alias("_size"))
+    by_part = Window.partitionBy("lang", "count").orderBy("_part")
+    within = parts.withColumn("_smaller", F.sum("_size").over(by_part) - F.col("_size"))
+    by_count = Window.partitionBy("lang").orderBy(F.desc("count"))
+    sizes = parts.groupBy("lang", "count").agg(F.sum("_size").alias("_size"))
+    above = sizes.withColumn("_above", F.sum("_size").over(by_count) - F.col("_size"))
+    above = above.select(
+        F.col("lang").alias("_lang"), F.col("count").alias("_count"), "_above"
+    )
+    offsets = within.join(
+        above,
+        within["lang"].eqNullSafe(F.col("_lang")) & (within["count"] == F.col("_count")),
+    ).select(
+        "_lang", "_count", F.col("_part").alias("_own"),
+        (F.col("_above") + F.col("_smaller")).alias("_offset"),
+    )
+    same = (
+        counts["lang"].eqNullSafe(F.col("_lang"))
+        & (counts["count"] == F.col("_count")) & (counts["_part"] == F.col("_own"))
+    )
+    in_part = Window.partitionBy("lang", "count", "_part").orderBy("word")
+    return counts.join(offsets, same).select(
+        "lang", "word", "count",
+        (F.col("_offset") + F.row_number().over(in_part) - 1).alias("rank"),
     )
 
 
@@ -78,8 +102,8 @@ def common_words(
     """One row per language with the array of words too common to be topics.
 
     Dropped are ranks 1 to ``min_freq_rank - 1``; rank 0 and null are kept as
-    unknown, and ``min_freq_rank=0`` drops nothing. No array is longer than
-    ``min_freq_rank``.
+    unknown, and ``min_freq_rank=0`` drops nothing. This threshold alone bounds
+    the arrays.
     """
     too_common = ranks.filter(F.col("rank").between(1, min_freq_rank - 1))
     return too_common.groupBy("lang").agg(F.collect_set("word").alias("common"))
@@ -125,43 +149,39 @@ def drop_words(
 ) -> DataFrame:
     """Remove the words of a ``(lang, word)`` table of any size from ``tokens``.
 
-    Tokens are unnested with their position, matched against the table and put
-    back in order. Spark chooses how to join: by broadcast while the table is
-    within ``spark.sql.autoBroadcastJoinThreshold``, else by shuffle, where AQE
-    splits the partitions of very common words. Hashtags never match. ``keep``
-    must identify a post, so that each regrouped list is one post's tokens; the
-    job fails if two posts share it. A post that loses all its tokens stays, with
-    an empty list.
+    Each post's distinct words are matched against the table; only the hits are
+    gathered per post and joined back to the posts, whose token lists stay whole.
+    A common word's uses are spread by a salt, so the table is joined once per
+    salt. Hashtags never match. Posts that share their ``keep`` columns also
+    share their language, and so what is removed from them.
     """
     keep = list(keep)
     table = (
         listed.filter(~F.col("word").startswith("#"))
-        .select(F.col("lang").alias("_route"), F.col("word").alias("_word"))
+        .select(
+            F.col("lang").alias("_route"), F.col("word").alias("_word"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+        )
         .distinct()
-        .withColumn("_listed", F.lit(True))
     )
-    unnested = tokens.select(
+    uses = tokens.select(
         *keep,
         route_language(F.col("lang"), routes, default).alias("_route"),
-        F.posexplode_outer("tokens").alias("_pos", "_word"),
+        F.pmod(F.xxhash64(*keep), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.explode(F.array_distinct("tokens")).alias("_word"),
     )
-    kept = F.when(
-        F.col("_listed").isNull() & F.col("_word").isNotNull(),
-        F.struct("_pos", "_word"),
+    hits = (
+        uses.join(table, ["_route", "_word", "_salt"])
+        .groupBy(*[F.col(c).alias(f"_of_{c}") for c in keep])
+        .agg(F.collect_set("_word").alias("_hits"))
     )
-    return (
-        unnested.join(table, ["_route", "_word"], "left")
-        .groupBy(*keep)
-        .agg(
-            F.sort_array(F.collect_list(kept)).alias("_kept"),
-            (F.count("*") > F.coalesce(F.max("_pos"), F.lit(0)) + 1).alias("_shared"),
-        )
-        .select(
-            *keep,
-            F.when(
-                F.col("_shared"), F.raise_error(F.lit(f"posts share their {keep}"))
-            ).otherwise(F.col("_kept._word")).alias("tokens"),
-        )
+    same = F.lit(True)
+    for c in keep:
+        same &= tokens[c].eqNullSafe(hits[f"_of_{c}"])
+    left = F.filter("tokens", lambda w: ~F.array_contains("_hits", w))
+    return tokens.join(hits, same, "left").select(
+        *[tokens[c] for c in keep],
+        F.when(F.col("_hits").isNull(), F.col("tokens")).otherwise(left).alias("tokens"),
     )
 
 

@@ -20,7 +20,8 @@ def term_frequencies(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
     """Number of documents per term: ``term, df``."""
-    return tf.groupBy("term").agg(F.count("*").alias("df"))
+    # Reading ``tf`` keeps its columns as they are, so their shuffle is reused.
+    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def tfidf(tokens: DataFrame, id_col: str = "post_id") -> DataFrame:

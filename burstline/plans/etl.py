@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from burstline.plans.quality import quarantine
+from burstline.plans.quality import with_verdict
 from burstline.sources import layout, posts as src
 
 
@@ -22,10 +22,6 @@ def etl_posts(
     return spark.read.format(fmt).load(output_path)
 
 
-def store_quarantined(
-    posts: DataFrame, accepted_path: str, rejected_path: str, languages: Sequence[str]
-) -> None:
-    """Store projected posts that pass all quality checks, and the rest apart."""
-    accepted, rejected = quarantine(posts, languages)
-    accepted.write.mode("overwrite").parquet(accepted_path)
-    rejected.write.mode("overwrite").parquet(rejected_path)
+def store_quarantined(posts: DataFrame, path: str, languages: Sequence[str]) -> None:
+    """Store projected posts in one pass, partitioned by ``verdict``."""
+    with_verdict(posts, languages).write.mode("overwrite").partitionBy("verdict").parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from burstline.functions import text as tx
 from burstline.functions import tokens as tk
+from burstline.operators.terms import topical_tokens, with_cleaned_text
 from burstline.sources.posts import parse_created_at
 
 
@@ -62,12 +63,11 @@ def passes(languages: Sequence[str]) -> Column:
     return ~failed
 
 
-def quarantine(
-    posts: DataFrame, languages: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Split projected posts into those that pass all checks and the rest."""
-    good = passes(languages)
-    return posts.filter(good), posts.filter(~good)
+def with_verdict(posts: DataFrame, languages: Sequence[str]) -> DataFrame:
+    """Add ``verdict``: ``accepted`` for posts that pass all checks, else ``rejected``."""
+    return posts.withColumn(
+        "verdict", F.when(passes(languages), "accepted").otherwise("rejected")
+    )
 
 
 def normalise_columns(posts: DataFrame) -> DataFrame:
@@ -84,23 +84,27 @@ def normalise_columns(posts: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(projected: DataFrame, tokens: DataFrame, trends: DataFrame) -> DataFrame:
+def stage_counts(projected: DataFrame, trends: DataFrame) -> DataFrame:
     """``stage, rows``: what each stage of a run lets through.
 
-    ``projected`` is undated input, ``tokens`` its dated posts with tokens.
+    ``projected`` is undated input; one pass over it counts what is read, dated,
+    and left with tokens, and the terms.
     """
-    scanned = projected.agg(
-        F.count("*").alias("read"),
-        F.count(parse_created_at(F.col("created_at"))).alias("dated"),
-    )
+    parsed = projected.withColumn("created_at", parse_created_at(F.col("created_at")))
+    dated = F.col("created_at").isNotNull()
+    # undated posts are counted as read; their text is not looked at
+    text = F.when(dated, F.col("text"))
+    cleaned = with_cleaned_text(parsed.withColumn("text", text))
+    tokens = topical_tokens(cleaned, keep=("created_at", "lang"))
     n_terms = F.size("tokens") + F.size(tk.ngrams(F.col("tokens"), 2))
-    extracted = tokens.agg(
+    counted = tokens.agg(
+        F.count("*").alias("read"),
+        F.count("created_at").alias("dated"),
         F.count_if(F.size("tokens") > 0).alias("with_tokens"),
         F.sum(n_terms.cast("long")).alias("terms"),
     )
     ranked = trends.agg(F.count("*").alias("trends"))
-    rows = None
-    for measured in (scanned, extracted, ranked):
-        stages = measured.unpivot([], measured.columns, "stage", "rows")
-        rows = stages if rows is None else rows.unionByName(stages)
+    rows = counted.unpivot([], counted.columns, "stage", "rows").unionByName(
+        ranked.unpivot([], ranked.columns, "stage", "rows")
+    )
     return rows.na.fill(0, ["rows"])

@@ -20,17 +20,6 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_few_files(df: DataFrame) -> DataFrame:
-    """Repartition a scan of fewer files than cores, else leave it as it is.
-
-    A few files may come in few row groups, which bounds the tasks that can
-    read them; text work after the scan deserves every core. With many files
-    this adds nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def with_date(posts: DataFrame, ts: str = "created_at") -> DataFrame:
     """Add ``dt``, the date posts are stored under."""
     return posts.withColumn("dt", F.to_date(ts))
@@ -64,14 +53,17 @@ def split_by_age(
     return dated.filter(~old | F.col("dt").isNull()), dated.filter(old)
 
 
-def archive(
-    df: DataFrame, current_path: str, archive_path: str, days: int = 30,
-    ts: str = "created_at",
-) -> None:
-    """Store the rows by age in two places, each partitioned by date."""
-    current, old = split_by_age(df, days, ts)
-    write_partitioned(current, current_path, by=("dt",))
-    write_partitioned(old, archive_path, by=("dt",))
+def archive(df: DataFrame, path: str, days: int = 30, ts: str = "created_at") -> None:
+    """Store the rows in one pass, partitioned by ``tier`` and date.
+
+    ``archive`` holds what is more than ``days`` older than the newest date,
+    ``current`` the rest and undated rows.
+    """
+    dated = df if "dt" in df.columns else with_date(df, ts)
+    newest = dated.agg(F.max("dt")).scalar()
+    old = F.coalesce(F.col("dt") < F.date_sub(newest, days), F.lit(False))
+    tier = F.when(old, "archive").otherwise("current")
+    write_partitioned(dated.withColumn("tier", tier), path, by=("tier", "dt"))
 
 
 def register_view(df: DataFrame, name: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -54,6 +55,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -8,30 +8,41 @@ from pyspark.sql import functions as F
 from burstline.operators import terms, vocabulary
 from burstline.sources import layout
 
-
-TEXT_TABLES = ("documents", "pages", "conversations")
+#: Language and source of an event without a document.
+NO_LANG, NO_SOURCE = "en", "none"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; the text tables are spread when they come in few files."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return layout.spread_few_files(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One post per event with a document of the same number.
+def documented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events with the text, language and source of the document of their number.
 
-    The text is the whole document, wrapped so that it also holds a retweet
-    mark, a mention, an entity, two hashtags and a link. Both tables grow, so
-    neither is broadcast.
+    An event without one has an empty text. Both tables grow, so neither is
+    broadcast.
     """
     events = table(spark, sf_dir, "events")
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").hint("merge")
+    documents = table(spark, sf_dir, "documents").hint("merge")
+    return events.join(documents, events.event_id == documents.doc_id, "left").select(
+        *[events[c] for c in ("event_id", "ts", "user_id", "event_type")],
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("lang", F.lit(NO_LANG)).alias("lang"),
+        F.coalesce("source", F.lit(NO_SOURCE)).alias("source"),
+    )
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One post per event.
+
+    The text is the whole document of the event's number, if any, wrapped so that
+    it also holds a retweet mark, a mention, an entity, two hashtags and a link.
+    """
     text = F.concat(
         F.lit("RT @u"), "user_id", F.lit(": "), "text", F.lit(" &amp; #"), "event_type",
         F.lit(" #"), "source", F.lit(" http://t.co/"), "event_id",
     )
-    return events.join(documents, events.event_id == documents.doc_id).select(
+    return documented(spark, sf_dir).select(
         F.col("event_id").alias("post_id"),
         text.alias("text"),
         "lang",
@@ -76,29 +87,30 @@ def suffix_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names in use: sources, event types, and the first words of benchmark items."""
-    events = table(spark, sf_dir, "events")
-    documents = table(spark, sf_dir, "documents")
+    """Names in use: sources, event types, and benchmark items.
+
+    Each item is a name as a whole, and so is every four words of it.
+    """
     labels = {"source": "ORG", "event_type": "GPE"}
-    seen = events.join(documents.hint("merge"), events.event_id == documents.doc_id)
-    names = seen.select("lang", "source", "event_type").distinct().unpivot(
+    names = documented(spark, sf_dir).select("lang", "source", "event_type").distinct().unpivot(
         ["lang"], list(labels), "kind", "surface"
     )
     label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    items = table(spark, sf_dir, "benchmark")
     words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    opening = table(spark, sf_dir, "benchmark").select(words.alias("words"))
-    openings = opening.select(
-        F.lit("en").alias("lang"),
+    parts = items.select(words.alias("w")).select(
         F.explode(
-            F.array(
-                F.struct(F.slice("words", 1, 1).alias("w"), F.lit("WORK").alias("label")),
-                F.struct(F.slice("words", 1, 2).alias("w"), F.lit("PERSON").alias("label")),
-                F.struct(F.slice("words", 1, 3).alias("w"), F.lit("PERSON").alias("label")),
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 4).cast("int")),
+                lambda i: F.array_join(F.slice("w", 4 * i + 1, 4), " "),
             )
-        ).alias("entry"),
-    ).select("lang", F.array_join("entry.w", " ").alias("surface"), "entry.label")
+        ).alias("surface")
+    )
+    listed = items.select(F.col("text").alias("surface"), F.lit("PERSON").alias("label"))
+    listed = listed.unionByName(parts.withColumn("label", F.lit("PERSON")))
+    unlisted = items.select(F.substring("text", 1, 5).alias("surface"), F.lit("WORK").alias("label"))
     return names.select("lang", "surface", label[F.col("kind")].alias("label")).unionByName(
-        openings
+        listed.unionByName(unlisted).select(F.lit("en").alias("lang"), "surface", "label")
     )
 
 
@@ -141,8 +153,6 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Errors have no time and views an unreadable one; purchases carry another
     UTC offset. Some sources lack text or language.
     """
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").hint("merge")
     kind, source = F.col("event_type"), F.col("source")
     pattern = "EEE, dd MMM yyyy HH:mm:ss"
     shifted = F.col("ts") + F.expr("INTERVAL 2 HOURS")
@@ -161,7 +171,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(source == "src3", None).when(source == "src4", "unknown")
         .when(source == "src5", F.concat(F.lit(" "), F.upper("lang"))).otherwise(F.col("lang"))
     )
-    return events.join(documents, events.event_id == documents.doc_id).select(
+    return documented(spark, sf_dir).select(
         F.struct(text.alias("content")).alias("interaction"),
         F.struct(lang.alias("tag")).alias("language"),
         F.struct(

@@ -80,11 +80,15 @@ def s_grams(tokens: str, n: int) -> str:
 
 
 CTES = {
+    "documented": """
+        SELECT event_id, ts, user_id, event_type, coalesce(text, '') AS text,
+               coalesce(lang, 'en') AS lang, coalesce(source, 'none') AS source
+        FROM events LEFT JOIN documents ON event_id = doc_id""",
     "posts": """
         SELECT event_id AS post_id, ts AS created_at, lang,
                'RT @u' || user_id || ': ' || text || ' &amp; #' || event_type
                || ' #' || source || ' http://t.co/' || event_id AS text
-        FROM events JOIN documents ON event_id = doc_id""",
+        FROM documented""",
     "cleaned": f"SELECT *, {s_clean('text')} AS cleaned_text FROM posts",
     "worded": """
         SELECT *, regexp_extract_all(cleaned_text, '[a-z0-9]+') AS words,
@@ -105,11 +109,8 @@ CTES = {
     "route_words": f"""
         SELECT {s_route('lang')} AS lang, unnest(words) AS word FROM worded""",
     "freq_ranks": """
-        SELECT lang, word, uses, CAST(position - 1 AS INTEGER) AS rank
-        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY uses DESC, word)
-                     AS position
-              FROM (SELECT lang, word, count(*) AS uses FROM route_words GROUP BY ALL))
-        WHERE position <= 700""",
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY uses DESC, word) - 1 AS rank
+        FROM (SELECT lang, word, count(*) AS uses FROM route_words GROUP BY ALL)""",
     "lexicon": """
         SELECT DISTINCT lang, word FROM route_words
         WHERE word LIKE '%ly' OR word LIKE '%ing' OR word LIKE '%ed'
@@ -139,7 +140,7 @@ CTES = {
                END AS created_text,
                CASE WHEN event_type NOT IN ('error', 'view')
                     THEN date_trunc('second', ts) END AS created_at
-        FROM events JOIN documents ON event_id = doc_id""",
+        FROM documented""",
     "prepared": f"""
         SELECT post_id, text, lang, created_at,
                coalesce({s_clean('text')}, '') AS cleaned_text
@@ -155,11 +156,11 @@ CTES = {
 }
 
 NEEDS = {
-    "posts": [], "cleaned": ["posts"], "worded": ["cleaned"], "unique_tags": ["worded"],
+    "documented": [], "posts": ["documented"], "cleaned": ["posts"], "worded": ["cleaned"], "unique_tags": ["worded"],
     "tokened": ["unique_tags"], "terms": ["tokened"], "route_words": ["worded"],
     "freq_ranks": ["route_words"], "lexicon": ["route_words"], "event_terms": [],
     "day_counts": ["event_terms"], "day_averaged": ["day_counts"],
-    "day_scored": ["day_averaged"], "raw": [], "prepared": ["raw"],
+    "day_scored": ["day_averaged"], "raw": ["documented"], "prepared": ["raw"],
     "prepared_tokens": ["prepared"],
 }
 
@@ -199,17 +200,16 @@ oracle("drop_undated",
 oracle("null_text_to_empty",
        f"SELECT post_id, coalesce({s_clean('text')}, '') AS cleaned_text FROM raw", "raw")
 oracle("etl_parquet", """
-    SELECT lang, CAST(created_at AS DATE) AS dt, 2 * count(*) AS n_posts,
-           CAST(2 * sum(length(cleaned_text)) AS BIGINT) AS n_chars
-    FROM prepared GROUP BY ALL""", "prepared")
+    SELECT unnest(['orc', 'parquet']) AS fmt, post_id, lang, created_at, cleaned_text
+    FROM prepared""", "prepared")
 oracle("partitioned_posts", """
     SELECT post_id, CAST(created_at AS DATE) AS dt, lang, cleaned_text FROM cleaned
     WHERE created_at >= TIMESTAMP '2024-01-02' AND lang = 'en'""", "cleaned")
 oracle("archive_split", """
     SELECT CASE WHEN dt < (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 7 DAYS
                 THEN 'archive' ELSE 'current' END AS tier,
-           dt, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS id_sum
-    FROM (SELECT *, CAST(ts AS DATE) AS dt FROM events) GROUP BY ALL""")
+           dt, event_id, user_id
+    FROM (SELECT *, CAST(ts AS DATE) AS dt FROM events)""")
 
 # ------------------------------------------------------------------- text, per row
 
@@ -320,16 +320,22 @@ oracle("entities", """
         FROM walk GROUP BY post_id) w USING (post_id)""", "posts", extra={
     "split": f"""
         SELECT post_id, lang, regexp_extract_all(text, '[{WD}]+') AS w FROM posts""",
+    "items": f"SELECT regexp_extract_all(text, '[{WD}]+') AS w FROM benchmark",
+    "names": """
+        SELECT DISTINCT lang, source AS surface FROM documented
+        UNION SELECT DISTINCT lang, event_type FROM documented
+        UNION SELECT 'en', lower(array_to_string(w, ' ')) FROM items
+        UNION SELECT 'en', lower(array_to_string(w[i:i + 3], ' '))
+            FROM (SELECT w, unnest(range(1, len(w) + 1, 4)) AS i FROM items)""",
+    "sizes": """
+        SELECT DISTINCT lang, string_split(surface, ' ')[1] AS first,
+               len(string_split(surface, ' ')) AS n FROM names""",
     "starts": "SELECT post_id, lang, w, unnest(range(1, len(w) + 1)) AS s FROM split",
     "spans": """
         SELECT post_id, lang, s, n, array_to_string(w[s:s + n - 1], ' ') AS surface
-        FROM (SELECT *, unnest([1, 2, 3]) AS n FROM starts) WHERE s + n - 1 <= len(w)""",
-    "opening": f"SELECT regexp_extract_all(text, '[{WD}]+') AS w FROM benchmark",
-    "names": """
-        SELECT DISTINCT lang, source AS surface FROM events JOIN documents ON event_id = doc_id
-        UNION SELECT DISTINCT lang, event_type FROM events JOIN documents ON event_id = doc_id
-        UNION SELECT 'en', lower(array_to_string(w[1:2], ' ')) FROM opening
-        UNION SELECT 'en', lower(array_to_string(w[1:3], ' ')) FROM opening""",
+        FROM (SELECT starts.*, sizes.n FROM starts JOIN sizes
+              ON starts.lang = sizes.lang AND lower(w[s]) = sizes.first)
+        WHERE s + n - 1 <= len(w)""",
     "best": """
         SELECT post_id, s, max(s + n) AS free, arg_max(spans.surface, n) AS surface
         FROM spans JOIN names ON spans.lang = names.lang
@@ -422,8 +428,9 @@ oracle("trends_limit", "SELECT * FROM trends ORDER BY start_time, rank LIMIT 100
 oracle("read_trends_csv", """
     SELECT start_time AS timestamp_start, end_time AS timestamp_end, topic, count,
            burst_score, rank FROM trends""", "terms", extra=TRENDS)
-oracle("write_trends_csv", "SELECT topic, count, burst_score, rank FROM trends", "terms",
-       extra=TRENDS)
+oracle("write_trends_csv", """
+    SELECT start_time AS timestamp_start, end_time AS timestamp_end, topic, count,
+           burst_score, rank FROM trends""", "terms", extra=TRENDS)
 oracle("sql_over_trends", """
     SELECT topic, count(*) AS n_windows, CAST(sum(count) AS BIGINT) AS total_count,
            max(burst_score) AS best_score
@@ -498,8 +505,10 @@ oracle("post_scores", f"""
            coalesce(CAST(sum(CAST(burst_score AS DECIMAL(18, 2))) AS DOUBLE)
                     / count(burst_score), 0) AS avg_score
     FROM (SELECT *, {s_start('created_at', 'hour')} AS start_time FROM terms)
-    LEFT JOIN trends USING (start_time, topic) GROUP BY post_id""",
-       "terms", extra=HOURLY | {"trends": trends("counts", n=50)})
+    LEFT JOIN scored USING (start_time, topic) GROUP BY post_id""",
+       "terms", extra=HOURLY | {"scored": f"""
+           SELECT *, {s_round('count', 'avg_count')} AS burst_score
+           FROM (SELECT *, avg(count) OVER (PARTITION BY topic) AS avg_count FROM counts)"""})
 
 # ------------------------------------------------------------------------- streaming
 
@@ -523,5 +532,5 @@ oracle("stream_daily_avg", f"""
     WHERE day_start + INTERVAL 1 DAY <= {WATERMARK}
     GROUP BY day_start, topic""")
 oracle("stream_archive", """
-    SELECT CAST(created_at AS DATE) AS dt, lang, count(*) AS n_posts
-    FROM prepared GROUP BY ALL""", "prepared")
+    SELECT post_id, CAST(created_at AS DATE) AS dt, lang, created_at, cleaned_text
+    FROM prepared""", "prepared")

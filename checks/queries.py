@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,7 +96,9 @@ def write_trends_csv(spark, sf):
     path = layout.work_path(spark, "trends-csv")
     results.write_trends(_instant_trends(spark, sf), path, header=True)
     stored = results.read_trends(spark, path, header=True)
-    return stored.select("topic", "count", "burst_score", "rank")
+    for end in ("timestamp_start", "timestamp_end"):
+        stored = stored.withColumn(end, inputs.as_utc(F.col(end)))
+    return stored
 
 
 @query
@@ -114,10 +117,11 @@ def etl_parquet(spark, sf):
     as_orc, as_parquet = (
         etl.etl_posts(spark, raw, f"{path}/{fmt}", fmt) for fmt in ("orc", "parquet")
     )
-    stored = as_orc.unionByName(as_parquet).drop("dt")
-    return stored.groupBy("lang", F.to_date(inputs.as_utc(F.col("created_at"))).alias("dt")).agg(
-        F.count("*").alias("n_posts"), F.sum(F.length("cleaned_text")).alias("n_chars")
+    stored = as_orc.withColumn("fmt", F.lit("orc")).unionByName(
+        as_parquet.withColumn("fmt", F.lit("parquet"))
     )
+    zoneless = inputs.as_utc(F.col("created_at"))
+    return stored.select("fmt", "post_id", "lang", zoneless.alias("created_at"), "cleaned_text")
 
 
 @query
@@ -132,12 +136,17 @@ def partitioned_posts(spark, sf):
 
 @query
 def sql_over_trends(spark, sf):
-    layout.register_view(trending(inputs.cleaned(spark, sf)), "burstline_trends")
+    trends = trending(inputs.cleaned(spark, sf))
+    saved = f"burstline_saved_{uuid.uuid4().hex}"
+    layout.register_table(trends, saved)
+    layout.register_view(spark.table(saved), "burstline_trends")
     return spark.sql(
-        """
-        SELECT topic, count(*) AS n_windows, sum(count) AS total_count,
-               max(burst_score) AS best_score
-        FROM burstline_trends GROUP BY topic
+        f"""
+        SELECT v.topic, count(*) AS n_windows, sum(v.count) AS total_count,
+               max(t.burst_score) AS best_score
+        FROM burstline_trends v JOIN {saved} t
+          ON v.topic = t.topic AND v.start_time = t.start_time
+        GROUP BY v.topic
         """
     )
 
@@ -146,14 +155,8 @@ def sql_over_trends(spark, sf):
 def archive_split(spark, sf):
     path = layout.work_path(spark, "tiers")
     events = inputs.table(spark, sf, "events")
-    layout.archive(events, f"{path}/current", f"{path}/archive", days=7, ts="ts")
-    tiers = [
-        spark.read.parquet(f"{path}/{tier}").withColumn("tier", F.lit(tier))
-        for tier in ("current", "archive")
-    ]
-    return tiers[0].unionByName(tiers[1]).groupBy("tier", "dt").agg(
-        F.count("*").alias("n_events"), F.sum("event_id").alias("id_sum")
-    )
+    layout.archive(events, path, days=7, ts="ts")
+    return spark.read.parquet(path).select("tier", "dt", "event_id", "user_id")
 
 
 # ------------------------------------------------------------------- text, per row
@@ -480,17 +483,14 @@ def normalise_columns(spark, sf):
 def dq_quarantine(spark, sf):
     path = layout.work_path(spark, "quarantine")
     projected = src.project_posts(inputs.raw_posts(spark, sf))
-    etl.store_quarantined(
-        projected, f"{path}/verdict=accepted", f"{path}/verdict=rejected", LANGUAGES
-    )
+    etl.store_quarantined(projected, path, LANGUAGES)
     return spark.read.parquet(path).select("post_id", "verdict")
 
 
 @query
 def stage_counts(spark, sf):
-    raw = src.project_posts(inputs.raw_posts(spark, sf))
-    posts = src.prepare_posts(inputs.raw_posts(spark, sf))
-    return quality.stage_counts(raw, terms.topical_tokens(posts), trending(posts))
+    raw = inputs.raw_posts(spark, sf)
+    return quality.stage_counts(src.project_posts(raw), trending(src.prepare_posts(raw)))
 
 
 @query
@@ -515,7 +515,7 @@ def trend_classifier(spark, sf):
 @query
 def post_scores(spark, sf):
     posts = inputs.cleaned(spark, sf)
-    return bursts.post_scores(post_terms(posts, with_id=True), trending(posts, n=50))
+    return bursts.post_scores(post_terms(posts, with_id=True))
 
 
 # ------------------------------------------------------------------------- streaming
@@ -597,4 +597,4 @@ def stream_archive(spark, sf):
         spark, "stream-archive",
         lambda p, c: ingest.start_archive(zoned, p, c, available_now=True),
     )
-    return stored.groupBy("dt", "lang").agg(F.count("*").alias("n_posts"))
+    return stored.select("post_id", "dt", "lang", "created_at", "cleaned_text")

@@ -42,5 +42,23 @@ def test_wrong_input_fails(spark, gazetteer, row):
         found(spark, gazetteer, row)
 
 
+def test_long_and_punctuated_names(spark):
+    bank = "United Arab Emirates Central Bank"
+    gazetteer = spark.createDataFrame(
+        [("en", bank, "ORG"), ("en", "U.S.", "GPE"), ("en", "o'neil-smith", "PERSON"),
+         ("en", "united", "ORG"), ("en", "...", "GPE"), ("en", "w " * 40, "ORG")],
+        GAZETTEER,
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert found(
+            spark, gazetteer, (f"the {bank.upper()}, in the U.S.!", "en"),
+            ("United Arab Emirates; O'Neil Smith", "en"), ("w " * 85, "en"),
+        ) == [f"{bank.upper()} U S", "United O Neil Smith", " ".join(["w"] * 80)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_languages_can_be_widened(spark, gazetteer):
     assert found(spark, gazetteer, ("Ada", "fr"), languages=("en", "fr")) == [""]

@@ -39,9 +39,9 @@ def test_report_reads_once(spark):
 
 
 def test_quarantine_splits_all_rows(spark):
-    good, bad = quality.quarantine(posts(spark), ("en", "nl"))
-    assert [r["post_id"] for r in good.collect()] == ["1", "1"]
-    assert sorted(r["post_id"] for r in bad.collect()) == ["2", "3", "4", "5"]
+    marked = quality.with_verdict(posts(spark), ("en", "nl")).collect()
+    assert [r["post_id"] for r in marked if r["verdict"] == "accepted"] == ["1", "1"]
+    assert sorted(r["post_id"] for r in marked if r["verdict"] == "rejected") == ["2", "3", "4", "5"]
 
 
 def test_normalise(spark):
@@ -56,8 +56,6 @@ def test_stage_counts(spark):
         [("1", "en", datetime(2012, 2, 4), "storm harbour"), ("2", "en", datetime(2012, 2, 4), "")],
         "post_id string, lang string, created_at timestamp, cleaned_text string",
     )
-    counts = quality.stage_counts(
-        posts(spark), terms.topical_tokens(prepared), trending(prepared, min_count=1)
-    )
+    counts = quality.stage_counts(posts(spark), trending(prepared, min_count=1))
     got = {r["stage"]: r["rows"] for r in counts.collect()}
-    assert got == {"read": 6, "dated": 4, "with_tokens": 1, "terms": 3, "trends": 3}
+    assert got == {"read": 6, "dated": 4, "with_tokens": 3, "terms": 7, "trends": 3}

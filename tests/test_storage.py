@@ -57,11 +57,12 @@ def test_partitions_are_pruned(spark, tmp_path, fmt):
 
 
 def test_archive_by_age(spark, tmp_path):
-    now, old = str(tmp_path / "now"), str(tmp_path / "old")
-    layout.archive(posts(spark), now, old, days=1)
-    days = {p: {r["d"] for r in spark.read.parquet(p).select(F.day("dt").alias("d")).collect()}
-            for p in (now, old)}
-    assert days == {now: {3, 4}, old: {1, 2}}
+    undated = spark.createDataFrame([(900, "en", None)], posts(spark).schema)
+    layout.archive(posts(spark).unionAll(undated), str(tmp_path / "tiers"), days=1)
+    stored = spark.read.parquet(str(tmp_path / "tiers"))
+    days = {(r["tier"], r["d"]) for r in stored.select("tier", F.day("dt").alias("d")).collect()}
+    assert days == {("current", 3), ("current", 4), ("archive", 1), ("archive", 2), ("current", None)}
+    assert stored.count() == 201
 
 
 def test_catalog(spark):
@@ -77,14 +78,6 @@ def test_work_paths_are_new_and_under_the_given_folder(spark):
     assert len(paths) == 3 and all(p.startswith(base + "/x-") for p in paths)
 
 
-def test_few_files_are_spread_and_many_are_not(spark, tmp_path):
-    posts(spark).coalesce(1).write.parquet(str(tmp_path / "one"))
-    posts(spark).repartition(9).write.parquet(str(tmp_path / "nine"))
-    one = layout.spread_few_files(spark.read.parquet(str(tmp_path / "one")))
-    nine = layout.spread_few_files(spark.read.parquet(str(tmp_path / "nine")))
-    assert "Exchange" in plan_of(one) and "Exchange" not in plan_of(nine)
-
-
 def test_object_store_settings():
     settings = object_store.s3a_settings("http://store:9000", "key", "secret")
     assert all(name.startswith("spark.hadoop.fs.s3a.") for name in settings)

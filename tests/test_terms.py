@@ -81,11 +81,11 @@ def test_lexicon_join_keeps_hot_words_whole(spark):
     assert [len(t) for t in got] == [31 if i != 7 else 30 for i in range(300)]
 
 
-def test_shared_post_ids_fail(spark):
+def test_posts_may_share_their_id(spark):
     lexicon = spark.createDataFrame([("en", "ran", "VERB", None)], LEXICON)
     df = posts(spark, ("en", "aa bb"), ("en", "cc ran")).withColumn("post_id", F.lit(None).cast("long"))
-    with pytest.raises(PySparkException, match="posts share their"):
-        terms.topical_tokens(df, lexicon=lexicon).collect()
+    got = [r["tokens"] for r in terms.topical_tokens(df, lexicon=lexicon).collect()]
+    assert sorted(got) == [["aa", "bb"], ["cc"]]
 
 
 def test_repeated_lexicon_entry_fails(spark):
@@ -101,10 +101,21 @@ def test_freq_rank(spark):
         [("en", ["b", "a", "b", "c"]), ("en", ["a"]), ("nl", ["z"])],
         "lang string, tokens array<string>",
     )
-    ranks = vocab.freq_rank(df, top=2)
+    ranks = vocab.freq_rank(df)
     rows = {(r["lang"], r["rank"]): r["word"] for r in ranks.collect()}
-    assert rows == {("en", 0): "a", ("en", 1): "b", ("nl", 0): "z"}
-    assert "WindowGroupLimit" in plan_of(ranks)
+    assert rows == {("en", 0): "a", ("en", 1): "b", ("en", 2): "c", ("nl", 0): "z"}
+
+
+def test_ranks_are_complete_and_any_threshold_works(spark):
+    words = [f"{chr(97 + i % 26)}{i}" for i in range(2600)] + ["é", "e", "ez", "€"]
+    lists = [("en", words), ("en", words[:1300]), (None, ["x", "y"])]
+    df = spark.createDataFrame(lists, "lang string, tokens array<string>")
+    ranks = vocab.freq_rank(df)
+    got = {(r["lang"], r["word"]): r["rank"] for r in ranks.collect()}
+    order = sorted(words[:1300]) + sorted(words[1300:])
+    assert got == {("en", w): i for i, w in enumerate(order)} | {(None, "x"): 0, (None, "y"): 1}
+    common = vocab.common_words(ranks.filter("lang = 'en'"), 2000).first()["common"]
+    assert sorted(common) == sorted(order[1:2000])
 
 
 def test_stop_word_table_is_a_set(spark):

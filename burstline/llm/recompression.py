@@ -10,8 +10,10 @@ dictionaries, and a round needs no shuffle.
 What a symbol became depends on its neighbours, so each carries the range of
 words that decided it. Inside a window, the symbols whose range lies in the window
 are the same wherever the window occurs. Of these, from the highest round that
-has any, the one with the smallest name is the window's anchor. Anchors shared
-between documents show the candidates; windows are then compared by their words.
+has any, the one with the smallest name is the window's anchor. Its key is the
+hash of its name and of the words in its range, some fifteen after three rounds.
+Anchors shared between documents show the candidates; windows are then compared by
+their words.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.repeats import RUNS, fetch_plan, stored, with_uid
+from burstline.llm.repeats import RUNS, fetch_plan, shared_runs, stored, with_uid
 from burstline.llm.textbytes import flat, mix, range_hash, signed, span_hash, steps, words
 
 #: Rounds of run and pair naming; the symbols of the last one serve as anchors.
@@ -136,7 +139,10 @@ def anchors(names: np.ndarray, bounds: np.ndarray, window: int, rounds: int = RO
         has = end > begin
         rank = mix(symbols.names + np.uint64(0x5851F42D))
         best = _smallest(rank, begin[has], end[has])
-        key[todo[has]] = mix(symbols.names[best] + np.uint64(level))
+        used, slot = np.unique(best, return_inverse=True)
+        context = range_hash(names, symbols.low[used], symbols.high[used])
+        context = mix(context + mix(symbols.names[used] + np.uint64(level)))
+        key[todo[has]] = context[slot]
         place[todo[has]] = symbols.begin[best]
         todo = todo[~has]
     return starts, key, place
@@ -184,71 +190,70 @@ def _read_windows(window: int):
             places = batch.column("places")
             row = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
             items = places.flatten()
-            lo, n, key, variant, least = (
-                items.field(f).to_numpy(zero_copy_only=False)
-                for f in ("lo", "n", "key", "variant", "least")
+            lo, n, key = (
+                items.field(f).to_numpy(zero_copy_only=False) for f in ("lo", "n", "key")
             )
             item = np.repeat(np.arange(len(lo)), n)
-            at = np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
-            start = (lo + bounds[row])[item] + at
+            place = lo[item] + np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
+            start = place + bounds[row[item]]
             order = np.argsort(start, kind="stable")
-            one, two = np.empty((2, len(start)), np.uint64)
-            one[order] = range_hash(names, start[order], start[order] + window)
-            two[order] = range_hash(names, start[order], start[order] + window, 1)
+            content = range_hash(names, start[order], start[order] + window)
+            item, place = item[order], place[order]
+            owner = pa.array(row[item])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(one)), pa.array(signed(two)), pa.array(key[item]),
-                    pa.array(variant[item]), pa.array(at.astype(np.int32)), pa.array(least[item]),
+                    pa.array(key[item]), pa.array(signed(content)),
+                    batch.column("uid").take(owner), pa.array(place.astype(np.int32)),
+                    batch.column("doc").take(owner),
                 ],
-                ["one", "two", "key", "variant", "at", "least"],
+                ["key", "content", "uid", "place", "doc"],
             )
 
     return read
 
 
-def repeated_windows(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) -> DataFrame:
-    """Windows of words that also start in a document with a smaller id.
-
-    ``docs`` is a result of ``with_uid``. Returns ``uid, spans``: the first
-    windows of blocks, each with its length or the list of places in it.
-    """
-    runs = stored(docs.select("uid", "doc", "text").mapInArrow(
-        _windows_runs(window, rounds), RUNS), "runs")
-    keys = (
+def _keys(runs: DataFrame) -> DataFrame:
+    """Keys that several documents have, and whether their runs are all alike."""
+    return (
         runs.groupBy("key")
         .agg(F.min("doc").alias("least"), F.max("doc").alias("most"),
              F.min("variant").alias("v1"), F.max("variant").alias("v2"))
         .filter(F.col("least") < F.col("most"))
         .select("key", "least", (F.col("v1") == F.col("v2")).alias("alike"))
     )
-    shared = stored(runs.join(keys, "key"), "shared")
-    nowhere = F.lit(None).cast("array<int>")
-    whole = shared.filter("alike and doc > least").select(
-        "uid", F.struct("lo", "n", nowhere.alias("at")).alias("span")
-    )
-    unlike = shared.filter("not alike")
-    variants = unlike.groupBy("key", "variant").agg(
-        F.min(F.struct("doc", "uid", "lo", "n")).alias("first")
-    ).select("key", "variant", F.col("first.doc").alias("least"), "first.uid", "first.lo", "first.n")
-    plan = fetch_plan(variants, ["lo", "n", "key", "variant", "least"])
-    read = plan.join(docs, "uid").dropDuplicates(["uid"]).select("text", "places").mapInArrow(
-        _read_windows(window),
-        "one long, two long, key long, variant long, at int, least long",
-    )
-    read = stored(read, "windows")
-    best = read.groupBy("one", "two").agg(F.min("least").alias("best"))
-    per_variant = (
-        read.join(best, ["one", "two"])
-        .groupBy("key", "variant")
-        .agg(F.collect_list(F.struct("at", "best")).alias("bests"))
+
+
+def repeated_windows(docs: DataFrame, window: int = 50, rounds: int = ROUNDS) -> DataFrame:
+    """Windows of words that also start in a document with a smaller id.
+
+    ``docs`` is a result of ``with_uid``. Returns ``uid, spans``: the first window
+    and the number of windows of each block.
+
+    A run that a smaller document has as a whole repeats in all its windows. So
+    only the first document of each variant has to be looked at window by window;
+    there, windows are compared under their key by a hash of their words.
+    """
+    runs = docs.select("uid", "doc", "text").mapInArrow(_windows_runs(window, rounds), RUNS)
+    shared = shared_runs(runs, _keys)
+    alike = shared.filter("alike").select("uid", "lo", "n", F.col("doc") > F.col("least"))
+    unlike = shared.filter("not alike").drop("least", "alike")
+    least = unlike.groupBy("variant").agg(F.min("doc").alias("least"))
+    placed = stored(unlike.join(least, "variant"), "unlike")
+    whole = alike.toDF("uid", "lo", "n", "later").unionAll(
+        placed.select("uid", "lo", "n", F.col("doc") > F.col("least"))
+    ).filter("later")
+    plan = fetch_plan(placed.filter("doc = least"), ["lo", "n", "key"])
+    # the same columns as in the last join, so that the texts are shuffled once
+    read = docs.join(plan, "uid", "left").filter("places IS NOT NULL").mapInArrow(
+        _read_windows(window), "key long, content long, uid long, place int, doc long"
     )
-    places = F.transform(
-        F.filter("bests", lambda b: b["best"] < F.col("doc")), lambda b: b["at"]
+    best = read.groupBy("key", "content").agg(F.min("doc").alias("best"))
+    single = read.join(best, ["key", "content"]).filter("doc > best")
+    spans = whole.select("uid", F.struct(F.col("lo").cast("int").alias("lo"), "n").alias("span"))
+    spans = spans.unionAll(
+        single.select("uid", F.struct(F.col("place").alias("lo"), F.lit(1).alias("n")))
     )
-    partly = unlike.join(per_variant, ["key", "variant"]).select(
-        "uid", F.struct("lo", "n", places.alias("at")).alias("span")
-    ).filter(F.size("span.at") > 0)
-    return whole.unionAll(partly).groupBy("uid").agg(F.collect_list("span").alias("spans"))
+    return spans.groupBy("uid").agg(F.collect_list("span").alias("spans"))
 
 
 def _rewrite(window: int, texts: bool):
@@ -256,21 +261,15 @@ def _rewrite(window: int, texts: bool):
         for batch in steps(batches):
             data, offsets = flat(batch.column("text"))
             begin, end, bounds = words(data, offsets)
-            removed = np.zeros(len(begin), bool)
-            spans = batch.column("spans").to_pylist()
-            for row, found in enumerate(spans):
-                if not found:
-                    continue
-                delta = np.zeros(int(bounds[row + 1] - bounds[row]) + 1, np.int32)
-                for span in found:
-                    if span["at"] is None:
-                        delta[span["lo"]] += 1
-                        delta[span["lo"] + span["n"] + window - 1] -= 1
-                    else:
-                        at = np.asarray(span["at"]) + span["lo"]
-                        np.add.at(delta, at, 1)
-                        np.add.at(delta, at + window, -1)
-                removed[bounds[row] : bounds[row + 1]] = np.cumsum(delta[:-1]) > 0
+            spans = batch.column("spans")
+            size = pc.fill_null(spans.value_lengths(), 0).to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), size)
+            items = spans.flatten()
+            first = items.field("lo").to_numpy() + bounds[row]
+            delta = np.zeros(len(begin) + 1, np.int32)
+            np.add.at(delta, first, 1)
+            np.add.at(delta, first + items.field("n").to_numpy() + window - 1, -1)
+            removed = np.cumsum(delta[:-1]) > 0
             yield _kept(batch, data, begin, end, bounds, removed, texts)
 
     return rewrite
@@ -321,6 +320,4 @@ def remove_repeats(
     found = repeated_windows(own, window, rounds)
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, "
     schema += "n_removed long, kept_sha256 string" + ", kept_text string" * texts
-    return own.join(found, "uid", "left").select("doc_id", "text", "spans").mapInArrow(
-        _rewrite(window, texts), schema
-    )
+    return own.join(found, "uid", "left").mapInArrow(_rewrite(window, texts), schema)

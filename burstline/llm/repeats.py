@@ -9,12 +9,12 @@ all its symbols and its place about the anchor.
 Runs are rows ``key, variant, uid, doc, lo, n``: the first window and how many,
 of the text with hash ``uid``. A key in one run alone has no repeated window. A
 key whose runs all have one variant repeats whole, and needs no text at all. Only
-keys with several variants need their symbols, once per variant.
+keys with several variants need their symbols.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.sources.layout import work_path
@@ -29,11 +29,35 @@ def with_uid(docs: DataFrame) -> DataFrame:
     return docs.select(uid.alias("uid"), rank.alias("doc"), "doc_id", "text")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it, which cuts the lineage."""
+def write(df: DataFrame, name: str) -> str:
+    """Write a table to a new folder in the shared one; its path."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it, which cuts the lineage."""
+    return df.sparkSession.read.parquet(write(df, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def shared_runs(runs: DataFrame, keys) -> DataFrame:
+    """Runs whose key others have too: ``runs`` joined with ``keys(runs)``, stored.
+
+    The table of all runs is deleted once this one is written.
+    """
+    spark = runs.sparkSession
+    path = write(runs, "runs")
+    every = spark.read.parquet(path)
+    shared = stored(every.join(keys(every), "key"), "shared")
+    remove(spark, path)
+    return shared
 
 
 def fetch_plan(variants: DataFrame, columns: list[str]) -> DataFrame:

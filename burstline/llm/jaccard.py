@@ -12,9 +12,10 @@ node. Two nodes link when ``100 * common >= 75 * union``.
    a link needs. Nodes with a common subset are linked if their sizes allow it;
    the smallest of a subset's nodes stands for all pairs.
 3. Heavy nodes scan inverted lists of the first shingles of each node, as many as
-   make a common one certain. In a list everyone is compared with the list's
-   first node; once links are merged to components, only pairs across components
-   are left. Jaccard distance is a metric, so pairs whose distances to the first
+   make a common one certain. Each node is compared with the first node of the
+   lists it shares most; links are merged to components, and only lists with
+   several components go on: everyone in them is compared with the list's first
+   node if that is in another component, and last with all of other components. Jaccard distance is a metric, so pairs whose distances to the first
    node differ by more than the limit are passed over, and the rest are compared.
 
 No step lists the pairs of a group of copies, and none drops a link.
@@ -326,11 +327,8 @@ def shared_sets(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _merge(*links: DataFrame) -> DataFrame:
-    every = links[0]
-    for other in links[1:]:
-        every = every.unionAll(other)
-    return stored(components(every.select("a", "b")), "components")
+def _merge(links: DataFrame) -> DataFrame:
+    return stored(components(links.select("a", "b")), "components")
 
 
 def link_nodes(sets: DataFrame) -> DataFrame:
@@ -352,30 +350,42 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     firsts = lists.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     firsts = firsts.filter("a <> z").select("token", "a")
     lists = stored(lists.join(firsts, "token").select("token", "a", "node", "n"), "lists")
-    stars = lists.filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    compared = stored(compare(stars, sets), "compared")
-    linked = stored(of_light.unionAll(compared.filter("linked").select("a", "b")), "linked")
-    roots = _merge(linked)
-
-    # what is left: entries of lists that still hold several components
-    own = roots.select("node", "root")
-    labelled = lists.join(own, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    alive = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    alive = alive.filter("x <> y").select("token")
+
+    # first, each node against the one first node that it shares most lists with
+    stars = lists.filter("a <> node").groupBy("a", "node").agg(F.count("*").alias("k"))
+    nearest = stars.groupBy("node").agg(F.max(F.struct("k", "a")).alias("m"))
+    nearest = nearest.select(F.col("m.a").alias("a"), F.col("node").alias("b"))
+    compared = stored(compare(nearest, sets), "compared")
+    linked = of_light.unionAll(compared.filter("linked").select("a", "b"))
+    roots = _merge(stored(linked, "linked"))
+
+    # then against the first nodes of all lists that still hold several components
+    open_ = _open(lists, roots)
+    heads = roots.select(F.col("node").alias("a"), F.col("root").alias("of_a"))
+    others = open_.join(heads, "a", "left").filter(
+        (F.coalesce("of_a", "a") != F.col("root")) & (F.col("a") != F.col("node"))
+    ).select("a", F.col("node").alias("b")).distinct()
+    others = others.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    compared = compared.unionAll(stored(compare(others, sets), "compared"))
+    more = compared.filter("linked").select("a", "b")
+    roots = _merge(_as_links(roots).unionAll(more))
+
+    # last, every pair of a list across components, but for those too far apart
     far = compared.select("a", F.col("b").alias("node"), "distance")
+    own = F.when(F.col("a") == F.col("node"), F.lit(0.0))
     open_ = stored(
-        labelled.join(alive, "token", "left_semi").join(far, ["a", "node"], "left")
-        .withColumn("distance", F.coalesce("distance", F.lit(0.0)))
-        .select("token", "a", "node", "n", "root", "distance"),
+        _open(lists, roots).join(far, ["a", "node"], "left")
+        .withColumn("distance", F.coalesce(own, "distance"))
+        .select("token", "node", "n", "root", "distance"),
         "open",
     )
     x, y = open_.alias("x"), open_.alias("y")
+    near = F.abs(F.col("x.distance") - F.col("y.distance")) <= 0.25 + 1e-9
     pairs = x.join(
         y,
         (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
-        & (F.abs(F.col("x.distance") - F.col("y.distance")) <= 0.25 + 1e-9)
-        & (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n"))
-        & (F.col("x.node") != F.col("x.a")) & (F.col("y.node") != F.col("y.a")),
+        & F.coalesce(near, F.lit(True))
+        & (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n")),
     ).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     ).distinct()
@@ -383,7 +393,20 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     more = stored(compare(pairs, sets).filter("linked").select("a", "b"), "linked")
     if more.isEmpty():
         return roots
-    return _merge(roots.select(F.col("node").alias("a"), F.col("root").alias("b")), more)
+    return _merge(_as_links(roots).unionAll(more))
+
+
+def _as_links(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
+def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components, with their roots."""
+    labelled = lists.join(roots.select("node", "root"), "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
+    )
+    ends = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    return labelled.join(ends.filter("x <> y").select("token"), "token", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.textbytes import flat, lowest_share, mix, steps
+from burstline.llm.textbytes import SMALL_STEP, flat, lowest_share, mix, steps
 
 #: Label of texts without a letter.
 UNDETERMINED = "und"
@@ -163,7 +163,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
     def score(batches: Iterator[pa.RecordBatch]):
         own = shared.value
-        for batch in steps(batches, TEXT):
+        for batch in steps(batches, TEXT, SMALL_STEP):
             data, offsets = flat(batch.column(TEXT))
             bits = own.code_lengths(data, offsets)
             size = np.maximum(np.diff(offsets), 1)

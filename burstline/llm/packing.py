@@ -21,11 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.textbytes import LOWER, SPACE, STEP_BYTES, flat, steps
+from burstline.llm.textbytes import LOWER, SPACE, flat, steps
 from burstline.sources.layout import work_path
 
 #: Words whose ids a task remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 _LETTER = np.zeros(256, bool)
 _LETTER[np.r_[ord("A") : ord("Z") + 1, ord("a") : ord("z") + 1]] = True
@@ -150,7 +150,7 @@ def token_pieces(
 
     def cut(batches):
         encoder = word_tokenizer(tokenizer)
-        for batch in steps(batches, most=2 * STEP_BYTES):
+        for batch in steps(batches):
             codes, offsets = encoder.encode(batch.column("text"))
             rows = []
             for d, doc in enumerate(batch.column("doc_id").to_pylist()):

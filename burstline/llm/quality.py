@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.llm.textbytes import SPACE, flat, lowest_share, span_hash, steps, words
+from burstline.llm.textbytes import SMALL_STEP, SPACE, flat, lowest_share, span_hash, steps, words
 
 #: Buckets that words are hashed to; structure statistics follow them.
 WORD_BUCKETS = 1 << 14
@@ -223,7 +223,7 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = ("doc_id",)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches, "burstline_text"):
+        for batch in steps(batches, "burstline_text", SMALL_STEP):
             scores = shared.value.score(*features(batch.column("burstline_text")), batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.llm.repeats import RUNS, fetch_plan, stored, with_uid
-from burstline.llm.textbytes import flat, mix, range_hash, signed, span_hash, steps
+from burstline.llm.textbytes import SMALL_STEP, flat, mix, range_hash, signed, span_hash, steps
 
 #: Bytes of a string whose hash makes it an anchor.
 ANCHOR = 128
@@ -240,7 +240,7 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, length: int, anchor: i
 
 def _runs(length: int):
     def cut(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches):
+        for batch in steps(batches, most=SMALL_STEP):
             data, offsets = flat(batch.column("text"))
             starts, key, place = window_anchors(data, offsets, length)
             if not len(starts):
@@ -275,7 +275,7 @@ def _strings(length: int, shards: int):
     """
 
     def read(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches):
+        for batch in steps(batches, most=SMALL_STEP):
             data, offsets = flat(batch.column("text"))
             places = batch.column("places")
             row = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
@@ -392,7 +392,7 @@ def _rewrite(length: int, texts: bool):
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
 
     def rewrite(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches):
+        for batch in steps(batches, most=SMALL_STEP):
             data, offsets = flat(batch.column("text"))
             rows = []
             spans = batch.column("spans").to_pylist()

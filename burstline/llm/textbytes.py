@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step handles at once; a longer text is a step alone.
 STEP_BYTES = 4 << 20
+#: The same for steps that need many arrays as long as the text.
+SMALL_STEP = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

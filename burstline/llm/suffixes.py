@@ -26,7 +26,7 @@ from burstline.llm.textbytes import SMALL_STEP, flat, mix, range_hash, signed, s
 #: Bytes of a string whose hash makes it an anchor.
 ANCHOR = 128
 #: Windows of a variant that go to a shard together.
-CLASS = 64
+CLASS = 128
 #: Bytes that a shard sorts at once, about.
 SHARD_BYTES = 4 << 20
 
@@ -109,7 +109,7 @@ def _by_doubling(names: np.ndarray) -> np.ndarray:
         after = np.full(n, -1, np.int64)
         after[: n - width] = rank[width:]
         both = rank * (n + 1) + after + 1
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)  # equal ones get equal ranks, in whatever order
         fresh = np.concatenate([[0], np.cumsum(both[order][1:] != both[order][:-1])])
         rank = np.empty(n, np.int64)
         rank[order] = fresh
@@ -125,7 +125,7 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     named; the string of their names is sorted the same way, unless it has so
     many symbols that few share a bucket, and gives the order of the seeds.
     """
-    text = np.asarray(text, np.int64)
+    text = np.asarray(text, np.uint16 if symbols <= 1 << 16 else np.int64)
     if len(text) < 3:
         return np.arange(len(text))[::-1] if len(text) == 2 else np.arange(len(text))
     smaller = _suffix_types(text)
@@ -153,12 +153,42 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
     return _induce(text, smaller, seeds, symbols)
 
 
+def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of suffixes ``a[i]`` and ``b[i]``, four symbols at a time.
+
+    The text's last symbol occurs once, so no comparison passes its end.
+    """
+    padded = np.concatenate([text, np.zeros(8, text.dtype)])
+    n = len(text)
+    if text.dtype == np.uint16:
+        lanes = 4
+        block = padded[:n].astype(np.uint64)
+        for k in range(1, lanes):
+            block |= padded[k : n + k].astype(np.uint64) << np.uint64(16 * k)
+    else:
+        lanes, block = 1, padded[:n].astype(np.uint64)
+    shared = np.zeros(len(a), np.int64)
+    todo, a, b = np.arange(len(a)), a.copy(), b.copy()
+    while len(todo):
+        differ = block[a] ^ block[b]
+        same = differ == 0
+        if lanes > 1:
+            ended = differ[~same]
+            own = np.zeros(len(ended), np.int64)
+            for k in range(1, lanes):
+                own += (ended & np.uint64((1 << 16 * k) - 1)) == 0
+            shared[todo[~same]] += own
+        todo, a, b = todo[same], a[same] + lanes, b[same] + lanes
+        shared[todo] += lanes
+    return shared
+
+
 def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """In text order, the prefix each suffix shares with the one before it in order.
 
     Up to ``most``. A suffix whose neighbour is the successor of its
     predecessor's, after equal symbols, shares one less than that; only the
-    others are compared symbol by symbol.
+    others are compared.
     """
     n = len(text)
     before = np.full(n, -1, np.int64)
@@ -166,34 +196,21 @@ def permuted_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndar
     chained = np.zeros(n, bool)
     chained[1:] = (before[1:] > 0) & (before[:-1] >= 0) & (before[1:] == before[:-1] + 1)
     chained[1:] &= text[np.maximum(before[1:] - 1, 0)] == text[:-1]
-    padded = np.concatenate([text, np.full(most + 1, -1, text.dtype)])
     shared = np.zeros(n, np.int64)
-    todo = np.flatnonzero(~chained & (before >= 0))
-    for step in range(most):
-        todo = todo[padded[todo + step] == padded[before[todo] + step]]
-        if not len(todo):
-            break
-        shared[todo] = step + 1
-    full = shared >= most  # such a one may share more; what it chains to is compared as well
-    heads = np.maximum.accumulate(np.where(chained, 0, np.arange(n)))
-    reach = np.where(chained, np.maximum(shared[heads] - (np.arange(n) - heads), 0), shared)
-    open_ = np.flatnonzero(chained & full[heads])
-    for step in range(most):
-        open_ = open_[padded[open_ + step] == padded[before[open_] + step]]
-        if not len(open_):
-            break
-        reach[open_] = np.maximum(reach[open_], step + 1)
-    return reach
+    heads = np.flatnonzero(~chained & (before >= 0))
+    shared[heads] = _common(text, heads, before[heads])
+    head = np.maximum.accumulate(np.where(chained, 0, np.arange(n)))
+    return np.minimum(np.maximum(shared[head] - (np.arange(n) - head), 0), most)
 
 
 def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     """For each string, the places where a string of ``length`` bytes starts that
     also starts elsewhere, in it or another."""
     sizes = np.array([len(s) for s in strings], np.int64)
-    joined = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + 2
+    joined = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.uint16) + 2
     ends = np.cumsum(sizes + 1) - 1
     joined[ends] = 1
-    text = np.append(joined, 0)
+    text = np.append(joined, np.uint16(0))
     order = suffix_array(text, 258)
     shared = permuted_prefixes(text, order, length)
     enough = shared >= length

@@ -10,15 +10,15 @@ import logging
 import os
 import sys
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 if __name__ == "__main__":  # spark-submit puts only this folder on the path
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from burstline.operators import bursts
-from burstline.plans.trending import trending
-from burstline.sources.posts import load_posts
+from burstline.operators.terms import explode_terms, topical_tokens
+from burstline.sources.posts import prepare_posts, read_posts
 from burstline.sources.results import read_trends, write_trends
 
 log = logging.getLogger("burstline")
@@ -59,14 +59,24 @@ def run_trending(
         input_path, output_path, n, interval, start_date, end_date, min_count
     )
     spark = spark or SparkSession.builder.appName("burstline").getOrCreate()
-    counters = Observation("posts")
-    posts = load_posts(spark, input_path, start_date, end_date).observe(
-        counters,
-        F.count("*").alias("dated"),
-        F.count_if(F.length("cleaned_text") > 0).alias("with_text"),
+    observed = {
+        name: Observation(name) for name in ("read", "dated", "with_tokens", "terms", "trends")
+    }
+
+    def counted(df: DataFrame, name: str, rows: Column | None = None) -> DataFrame:
+        rows = F.count("*") if rows is None else rows
+        return df.observe(observed[name], rows.alias("rows"))
+
+    raw = counted(read_posts(spark, input_path), "read")
+    posts = counted(prepare_posts(raw, start_date, end_date), "dated")
+    tokens = counted(
+        topical_tokens(posts), "with_tokens", F.count_if(F.size("tokens") > 0)
     )
-    write_trends(trending(posts, n, interval, min_count), output_path)
-    log.info("posts: %s", counters.get)
+    occurrences = counted(explode_terms(tokens), "terms")
+    counts = bursts.window_term_counts(occurrences, interval)
+    trends = bursts.trends_from_counts(counts, n, interval, min_count)
+    write_trends(counted(trends, "trends"), output_path)
+    log.info("rows: %s", {name: o.get["rows"] for name, o in observed.items()})
     stored = read_trends(spark, output_path)
     preview = stored.orderBy("timestamp_start", "rank").limit(100)
     preview.show(100, truncate=False)

@@ -102,3 +102,61 @@ def classify(model: PipelineModel, features: DataFrame) -> DataFrame:
         probability.alias("probability"),
         (probability > 0.5).cast("int").alias("prediction"),
     )
+
+
+def score_with(features: DataFrame, weights: dict[str, float], bias: float) -> DataFrame:
+    """``start_time, topic, probability, prediction`` under given weights."""
+    margin = F.lit(float(bias))
+    for name, weight in weights.items():
+        margin += F.col(name) * float(weight)
+    probability = 1 / (1 + F.exp(-margin))
+    return features.select(
+        "start_time", "topic", probability.alias("probability"),
+        (probability > 0.5).cast("int").alias("prediction"),
+    )
+
+
+def least_squares(
+    labelled: DataFrame, inputs: tuple[str, str] = ("burst_ratio", "previous_count")
+) -> DataFrame:
+    """Linear fit of ``label`` by two features: one row ``bias, w1, w2``.
+
+    One aggregation gives the sums of products; the solution is written as
+    determinants. Without a unique solution the weights are null.
+    """
+    x, y, z = (F.col(c).cast("double") for c in (*inputs, "label"))
+    sums = labelled.agg(
+        F.count("*").cast("double").alias("n"), F.sum(x).alias("x"), F.sum(y).alias("y"),
+        F.sum(z).alias("z"), F.sum(x * x).alias("xx"), F.sum(x * y).alias("xy"),
+        F.sum(y * y).alias("yy"), F.sum(x * z).alias("xz"), F.sum(y * z).alias("yz"),
+    )
+    # central moments: the bias drops out of a system of two equations
+    centred = sums.select(
+        "*",
+        *[
+            (F.col(a + b) - F.col(a) * F.col(b) / F.col("n")).alias(f"s{a}{b}")
+            for a, b in ("xx", "xy", "yy", "xz", "yz")
+        ],
+    )
+    c = F.col
+    determinant = c("sxx") * c("syy") - c("sxy") * c("sxy")
+    solved = centred.select(
+        "n", "x", "y", "z",
+        F.try_divide(c("sxz") * c("syy") - c("syz") * c("sxy"), determinant).alias("w1"),
+        F.try_divide(c("syz") * c("sxx") - c("sxz") * c("sxy"), determinant).alias("w2"),
+    )
+    bias = (c("z") - c("w1") * c("x") - c("w2") * c("y")) / c("n")
+    return solved.select(bias.alias("bias"), "w1", "w2")
+
+
+def fitted_scores(
+    train: DataFrame, features: DataFrame,
+    inputs: tuple[str, str] = ("burst_ratio", "previous_count"),
+) -> DataFrame:
+    """``start_time, topic, score``: the fit to ``train`` applied to other rows.
+
+    The fit is one row and is broadcast.
+    """
+    weights = F.broadcast(least_squares(train, inputs))
+    score = F.col("bias") + F.col("w1") * F.col(inputs[0]) + F.col("w2") * F.col(inputs[1])
+    return features.join(weights).select("start_time", "topic", score.alias("score"))

@@ -20,6 +20,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def with_date(posts: DataFrame, ts: str = "created_at") -> DataFrame:
     """Add ``dt``, the date posts are stored under."""
     return posts.withColumn("dt", F.to_date(ts))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from burstline.schemas import RAW_POSTS
-from burstline.sources.layout import with_date
+from burstline.sources.layout import with_date, write_partitioned
 
 
 def stream_posts(
@@ -23,6 +24,16 @@ def stream_posts(
     return reader.json(path)
 
 
+def drop_redelivered(posts: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Keep the first delivery of each post id within ``delay`` of event time.
+
+    A source that delivers at least once may bring a post again; the state holds
+    the ids of the delay alone. Undated posts and null ids are dropped beforehand.
+    """
+    known = posts.filter(F.col("created_at").isNotNull() & F.col("post_id").isNotNull())
+    return known.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["post_id"])
+
+
 def start_archive(
     posts: DataFrame,
     path: str,
@@ -30,14 +41,19 @@ def start_archive(
     every: str = "300 seconds",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append dated posts to Parquet folders by date and language."""
+    """Store dated posts in Parquet folders by micro-batch, date and language.
+
+    Rows are dealt by date and language before they are written, so a micro-batch
+    makes few files; a repeated one overwrites its own folder.
+    """
+
+    def run(rows: DataFrame, batch: int) -> None:
+        write_partitioned(with_date(rows), f"{path}/batch={batch}")
+
     writer = (
-        with_date(posts)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("dt", "lang")
+        posts.writeStream.option("checkpointLocation", checkpoint)
         .outputMode("append")
+        .foreachBatch(run)
     )
     return triggered(writer, every, available_now).start()
 

@@ -2,23 +2,24 @@
 
 A batch run scores a window against all windows, later ones included; a stream
 cannot. Two outputs keep the meanings apart: ``start_trending`` stores closed
-counts and ranks them as a batch would, so a window's scores move while history
-grows; ``running_burst`` scores each window once, against the past alone.
+counts and ranks a date's windows against all windows closed by then;
+``running_burst`` scores each window once, against the past alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from burstline.operators import bursts
 from burstline.schemas import TERM_COUNTS
+from burstline.sources import layout
 from burstline.streaming.ingest import triggered
 
+TOTALS = "topic string, total long, windows long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -60,25 +61,50 @@ def start_append(
 
 
 def store_closed(closed: DataFrame, path: str, batch: int) -> None:
-    """Store the counts one micro-batch closed, in a folder of its own.
+    """Store the counts one micro-batch closed, in a folder of its own by date.
 
     A window closes in one micro-batch with all its topics, and a repeated
     micro-batch overwrites its folder, so nothing is counted twice. A query
     that starts over with a new checkpoint needs a new path.
     """
+    start = F.col("time_window.start")
     closed.select(
-        F.col("time_window.start").alias("start_time"), "topic", "count"
-    ).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        start.alias("start_time"), "topic", "count", F.to_date(start).alias("date")
+    ).write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch}")
 
 
 def read_closed(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """Stored counts of the windows from ``since`` (a timestamp) on, or of all."""
-    stored = spark.read.schema(TERM_COUNTS).parquet(path)
+    """Stored counts of the windows from ``since`` (a timestamp) on, or of all.
+
+    The columns ``batch`` and ``date`` are those of the folders.
+    """
+    schema = f"{TERM_COUNTS}, batch long, date date"
+    stored = spark.read.schema(schema).option("basePath", path).parquet(path)
     if since is not None:
-        stored = stored.filter(F.col("start_time") >= F.lit(since).cast("timestamp"))
+        start = F.lit(since).cast("timestamp")
+        stored = stored.filter((F.col("date") >= F.to_date(start)) & (F.col("start_time") >= start))
     return stored
 
 
+def merge_totals(counts: DataFrame, path: str, batch: int) -> DataFrame:
+    """Add a micro-batch's counts to the totals per topic of the one before.
+
+    The totals, ``topic, total, windows``, lie in a folder per micro-batch, of
+    which the last two stay: a repeated micro-batch starts from the same totals.
+    """
+    spark = counts.sparkSession
+    totals = counts.select("topic", F.col("count").alias("total"), F.lit(1).cast("long").alias("windows"))
+    if batch > 0:
+        before = spark.read.schema(TOTALS).parquet(f"{path}/batch={batch - 1}")
+        totals = totals.unionByName(before)
+    totals.groupBy("topic").agg(
+        F.sum("total").alias("total"), F.sum("windows").alias("windows")
+    ).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    if batch > 1:
+        layout.remove(spark, f"{path}/batch={batch - 2}")
+    return spark.read.schema(TOTALS).parquet(f"{path}/batch={batch}")
+
+
 def start_trending(
     counts: DataFrame,
     counts_path: str,
@@ -87,20 +113,36 @@ def start_trending(
     n: int = 5,
     interval: str = "hour",
     min_count: int = 2,
-    since: str | None = None,
     every: str = "300 seconds",
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Store closed counts and rewrite the trends of the stored history.
+    """Store closed counts, and the trends of the dates that a micro-batch closed.
 
-    ``since`` bounds the history that is read again in every micro-batch.
+    A topic's mean covers all windows closed so far, from totals that each
+    micro-batch adds to (next to the counts, in ``totals``). A micro-batch reads
+    the counts of its own dates only and replaces the trends of these dates;
+    those of other dates stay as they were when their last window closed.
     """
 
     def run(closed: DataFrame, batch: int) -> None:
+        spark = closed.sparkSession
         store_closed(closed, counts_path, batch)
-        history = read_closed(closed.sparkSession, counts_path, since)
-        trends = bursts.trends_from_counts(history, n, interval, min_count)
-        trends.write.mode("overwrite").parquet(trends_path)
+        stored = read_closed(spark, counts_path)
+        own = stored.filter(F.col("batch") == batch)
+        totals = merge_totals(own, f"{counts_path.rstrip('/')}-totals", batch)
+        dates = [r["date"] for r in own.select("date").distinct().collect()]
+        if not dates:
+            return
+        means = totals.select("topic", (F.col("total") / F.col("windows")).alias("avg_count"))
+        scored = bursts.with_burst_score(
+            stored.filter(F.col("date").isin(dates)).drop("batch").join(means, "topic")
+        )
+        ranked = bursts.top_n(bursts.min_count_floor(scored, min_count), n)
+        bursts.flatten_window(ranked, interval).withColumn(
+            "date", F.to_date("start_time")
+        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "date"
+        ).parquet(trends_path)
 
     writer = (
         counts.writeStream.option("checkpointLocation", checkpoint)
@@ -115,27 +157,23 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def _running_mean() -> StatefulProcessor:
+def _running_mean(ttl_ms: int | None) -> StatefulProcessor:
     class RunningMean(StatefulProcessor):
         """Keeps (sum, windows) of one topic."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", "total long, windows long")
+            self.seen = handle.getValueState("seen", "total long, windows long", ttl_ms)
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-            new = pd.concat(list(rows)).sort_values("start_time")
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
             total, windows = self.seen.get() if self.seen.exists() else (0, 0)
-            totals = new["count"].cumsum() + total
-            numbers = pd.Series(range(windows + 1, windows + 1 + len(new)), index=new.index)
-            self.seen.update((int(totals.iloc[-1]), int(numbers.iloc[-1])))
-            yield pd.DataFrame(
-                {
-                    "start_time": new["start_time"],
-                    "topic": key[0],
-                    "count": new["count"],
-                    "running_avg": totals / numbers,
-                }
-            )
+            for start, topic, count in sorted(
+                ((r["start_time"], r["topic"], r["count"]) for r in rows), key=lambda r: r[0]
+            ):
+                total, windows = total + count, windows + 1
+                yield Row(
+                    start_time=start, topic=topic, count=count, running_avg=total / windows
+                )
+            self.seen.update((total, windows))
 
         def close(self) -> None:
             pass
@@ -143,23 +181,27 @@ def _running_mean() -> StatefulProcessor:
     return RunningMean()
 
 
-def running_burst(counts: DataFrame) -> DataFrame:
+def running_burst(counts: DataFrame, expire_days: float | None = None) -> DataFrame:
     """``start_time, topic, count, burst_score``: count over the mean so far.
 
     The mean covers the topic's windows up to and including this one, so a
     topic's first window scores 1.0. State per topic is two numbers; the counts
-    are aggregated already, so a topic brings one row per window. The session
-    needs the RocksDB state store (``use_rocksdb``).
+    are aggregated already, so a topic brings one row per window. ``expire_days``
+    forgets a topic that has brought no window for so many days of processing
+    time, so that state doesn't grow with all topics ever seen; one that comes
+    back starts anew. By default nothing expires. The session needs the RocksDB
+    state store (``use_rocksdb``).
     """
+    ttl = None if expire_days is None else int(expire_days * 86_400_000)
     scored = (
         counts.select(F.col("time_window.start").alias("start_time"), "topic", "count")
         .groupBy("topic")
-        .transformWithStateInPandas(
-            statefulProcessor=_running_mean(),
+        .transformWithState(
+            statefulProcessor=_running_mean(ttl),
             outputStructType="start_time timestamp, topic string, count long, "
             "running_avg double",
             outputMode="Append",
-            timeMode="None",
+            timeMode="None" if ttl is None else "ProcessingTime",
         )
     )
     return scored.select(

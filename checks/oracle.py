@@ -499,6 +499,30 @@ oracle("trend_labels", f"""
     SELECT f.*, CASE WHEN t.topic IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS label
     FROM ({ORACLE['trend_features']}) f LEFT JOIN ({trends('day_counts', 'day')}) t
     ON t.topic = f.topic AND t.start_time = f.start_time + INTERVAL 1 DAY""", "day_counts")
+oracle("trend_given_weights", f"""
+    SELECT start_time, topic, round(p, 9) AS probability,
+           CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction
+    FROM (SELECT *, 1 / (1 + exp(-(-2.0 + delta * 0.5 + burst_ratio * 1.25))) AS p
+          FROM ({ORACLE['trend_features']}))""")
+oracle("trend_least_squares", """
+    SELECT start_time, topic,
+           round((mz - w1 * mx - w2 * my) + w1 * burst_ratio + w2 * previous_count, 6) AS score
+    FROM labelled, (
+        SELECT *, (sxz * syy - syz * sxy) / (sxx * syy - sxy * sxy) AS w1,
+               (syz * sxx - sxz * sxy) / (sxx * syy - sxy * sxy) AS w2
+        FROM (SELECT avg(x) AS mx, avg(y) AS my, avg(z) AS mz,
+                     sum(x * x) - sum(x) * sum(x) / count(*) AS sxx,
+                     sum(x * y) - sum(x) * sum(y) / count(*) AS sxy,
+                     sum(y * y) - sum(y) * sum(y) / count(*) AS syy,
+                     sum(x * z) - sum(x) * sum(z) / count(*) AS sxz,
+                     sum(y * z) - sum(y) * sum(z) / count(*) AS syz
+              FROM (SELECT burst_ratio AS x, CAST(previous_count AS DOUBLE) AS y, label AS z
+                    FROM labelled WHERE start_time < TIMESTAMP '2024-01-16')))
+    WHERE start_time >= TIMESTAMP '2024-01-16'""", extra={"labelled": ORACLE["trend_labels"]})
+oracle("job_trending", """
+    SELECT start_time AS timestamp_start, end_time AS timestamp_end, topic, count,
+           burst_score, rank FROM trends""", "prepared_tokens",
+       extra=PREPARED_TERMS | {"trends": trends("counts")})
 oracle("post_scores", f"""
     SELECT post_id, count(burst_score) AS n_trending,
            coalesce(max(burst_score), 0) AS max_score,
@@ -513,6 +537,7 @@ oracle("post_scores", f"""
 # ------------------------------------------------------------------------- streaming
 
 oracle("stream_scan", "SELECT * FROM prepared", "prepared")
+oracle("stream_dedup", "SELECT * FROM prepared", "prepared")
 WATERMARK = "(SELECT max(ts) - INTERVAL 2 HOURS FROM events)"
 oracle("stream_term_counts",
        f"SELECT * FROM ({ORACLE['window_term_counts']}) WHERE end_time <= {WATERMARK}")

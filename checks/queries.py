@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from burstline import jobs
 from burstline.functions import text as tx
 from burstline.functions import tokens as tk
 from burstline.functions.wordlists import DEFAULT_STOP_WORDS, STOP_WORDS_BY_LANGUAGE
@@ -512,6 +513,32 @@ def trend_classifier(spark, sf):
     return features.classify(features.train_classifier(labelled), labelled)
 
 
+@query
+def trend_given_weights(spark, sf):
+    found = features.trend_features(_day_counts(spark, sf))
+    scored = features.score_with(found, {"delta": 0.5, "burst_ratio": 1.25}, -2.0)
+    return scored.withColumn("probability", F.round("probability", 9))
+
+
+@query
+def trend_least_squares(spark, sf):
+    # Earlier windows teach, later ones are scored.
+    labelled = features.labelled_features(_day_counts(spark, sf), interval="day")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    scored = features.fitted_scores(
+        labelled.filter(F.col("start_time") < cut), labelled.filter(F.col("start_time") >= cut)
+    )
+    return scored.withColumn("score", F.round("score", 6))
+
+
+@query
+def job_trending(spark, sf):
+    stored = jobs.run_trending(
+        inputs.raw_json(spark, sf), layout.work_path(spark, "job-trends"), spark=spark
+    )
+    return _utc(stored, "timestamp_start", "timestamp_end")
+
+
 @query
 def post_scores(spark, sf):
     posts = inputs.cleaned(spark, sf)
@@ -567,7 +594,8 @@ def stream_trending(spark, sf):
         counts, f"{path}/counts", f"{path}/trends", f"{path}/checkpoint", interval="day",
         available_now=True,
     ).awaitTermination()
-    return _utc(spark.read.parquet(f"{path}/trends"), "start_time", "end_time")
+    trends = spark.read.parquet(f"{path}/trends").drop("date")
+    return _utc(trends, "start_time", "end_time")
 
 
 @query
@@ -589,6 +617,17 @@ def stream_daily_avg(spark, sf):
     return _utc(flat, "day_start")
 
 
+@query
+def stream_dedup(spark, sf):
+    # Every post is delivered twice.
+    path = layout.work_path(spark, "redelivered")
+    for part in ("first", "again"):
+        inputs.raw_posts(spark, sf).write.json(f"{path}/{part}")
+    posts = src.prepare_posts(ingest.stream_posts(spark, f"{path}/*"))
+    once = _appended(spark, "stream-dedup", ingest.drop_redelivered(posts))
+    return _utc(once, "created_at")
+
+
 @query
 def stream_archive(spark, sf):
     posts = src.prepare_posts(ingest.stream_posts(spark, inputs.raw_json(spark, sf)))

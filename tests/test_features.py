@@ -35,6 +35,19 @@ def test_label_is_the_next_windows_trend(spark):
     assert by_day == {**{day: 3.0 for day in range(1, 12)}, 12: 0.0}
 
 
+def test_least_squares(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(2, 200))
+    rows = [(float(a), float(b), float(2 + 3 * a - b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "burst_ratio double, previous_count double, label double")
+    fit = features.least_squares(df).first()
+    assert (fit["bias"], fit["w1"], fit["w2"]) == pytest.approx((2, 3, -1))
+    one = features.least_squares(df.limit(1)).first()
+    assert one["w1"] is None and one["w2"] is None
+
+
 def test_classifier(spark, tmp_path):
     labelled = features.labelled_features(counts(spark), n=3, interval="day")
     model = features.train_classifier(labelled)

@@ -26,6 +26,13 @@ def test_run(spark, sample, tmp_path, capfd):
     assert "harbour" in capfd.readouterr().out
 
 
+def test_counters(spark, sample, tmp_path, caplog):
+    with caplog.at_level("INFO", logger="burstline"):
+        jobs.run_trending(sample, str(tmp_path / "out"), spark=spark)
+    expected = {"read": 6, "dated": 6, "with_tokens": 6, "terms": 12, "trends": 3}
+    assert str(expected) in caplog.text
+
+
 @pytest.mark.parametrize("arguments", [
     {"input_path": None}, {"input_path": 7}, {"output_path": None}, {"n": 0}, {"n": "five"},
     {"n": True}, {"interval": "month"}, {"interval": None}, {"start_date": 2012},

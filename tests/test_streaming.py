@@ -79,10 +79,23 @@ def test_trending_over_batches_and_rerun(spark, tmp_path, arriving):
         run(streams.start_trending(streams.term_counts(stream), *paths, n=1, available_now=True))
         if name:
             write(name, [(T0 + hours(5), "y")] * 6 + [(T0 + hours(9), "x")])
-    got = {(r["start_time"], r["topic"]): (r["count"], r["burst_score"], r["rank"])
-           for r in spark.read.parquet(paths[1]).collect()}
-    # x: 4 and 1, mean 2.5; y: 2 and 6, mean 4
-    assert got == {(T0, "x"): (4, 1.6, 1), (T0 + hours(5), "y"): (6, 1.5, 1)}
+    def stored():
+        return {(r["start_time"], r["topic"]): (r["count"], r["burst_score"], r["rank"])
+                for r in spark.read.parquet(paths[1]).collect()}
+
+    # x: 4 and 1, mean 2.5; y: 2 and 6, mean 4; all on one date
+    assert stored() == {(T0, "x"): (4, 1.6, 1), (T0 + hours(5), "y"): (6, 1.5, 1)}
+    # a third batch closes one more window of the first date, which is ranked anew
+    write("c", [(T0 + hours(50), "x")] * 5 + [(T0 + hours(75), "end")])
+    run(streams.start_trending(streams.term_counts(stream), *paths, n=1, available_now=True))
+    # x so far: 4, 1, 1 and 5
+    third = {(T0, "x"): (4, 1.45, 1), (T0 + hours(5), "y"): (6, 1.5, 1),
+             (T0 + hours(50), "x"): (5, 1.82, 1)}
+    assert stored() == third
+    # a fourth on later dates leaves the trends of the others as they are
+    write("d", [(T0 + hours(100), "x")] * 9 + [(T0 + hours(200), "end")])
+    run(streams.start_trending(streams.term_counts(stream), *paths, n=1, available_now=True))
+    assert stored() == third | {(T0 + hours(100), "x"): (9, 2.25, 1)}
     closed = spark.createDataFrame([(T0 + hours(4), "x", 1)], "s timestamp, topic string, count long")
     again = closed.select(F.window("s", "1 hour").alias("time_window"), "topic", "count")
     before = streams.read_closed(spark, paths[0]).count()
@@ -90,21 +103,33 @@ def test_trending_over_batches_and_rerun(spark, tmp_path, arriving):
     streams.store_closed(again, paths[0], 99)  # a repeated micro-batch
     assert streams.read_closed(spark, paths[0]).count() == before + 1
     recent = streams.read_closed(spark, paths[0], since="2024-01-01 04:30:00")
-    assert {r["topic"] for r in recent.collect()} == {"y"}
+    assert {r["start_time"] for r in recent.collect()} == {T0 + hours(h) for h in (5, 9, 50, 75, 100)}
 
 
-def test_running_burst_carries_state_over_batches(spark, tmp_path, arriving):
-    write, stream = arriving
-    streams.use_rocksdb(spark)
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
-    scored = streams.running_burst(streams.term_counts(stream))
-    write("a", [(T0, "x")] * 2 + [(T0 + hours(1), "x")] * 4 + [(T0 + hours(5), "end")])
-    run(streams.start_append(scored, out, checkpoint, available_now=True))
-    write("b", [(T0 + hours(6), "x")] * 6 + [(T0 + hours(12), "end")])
-    run(streams.start_append(scored, out, checkpoint, available_now=True))
-    got = {r["start_time"]: r["burst_score"]
-           for r in spark.read.parquet(out).filter("topic = 'x'").collect()}
-    assert got == {T0: 1.0, T0 + hours(1): 1.33, T0 + hours(6): 1.5}
+def test_totals_of_a_repeated_batch(spark, tmp_path):
+    path = str(tmp_path / "totals")
+    counts = [spark.createDataFrame([("x", n), ("y", 1)], "topic string, count long") for n in (3, 5, 7)]
+    for batch in (0, 1, 1, 2, 2):
+        got = {r["topic"]: (r["total"], r["windows"])
+               for r in streams.merge_totals(counts[batch], path, batch).collect()}
+    assert got == {"x": (15, 3), "y": (3, 3)}
+
+
+def test_redelivered_posts_count_once(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def deliver(name, ids):
+        lines = [json.dumps({"interaction": {"content": f"post {i}"}, "twitter": {
+            "id": str(i), "created_at": "Sat, 04 Feb 2012 09:38:03 +0000"}}) for i in ids]
+        (folder / f"{name}.json").write_text("\n".join(lines))
+
+    posts = src.prepare_posts(ingest.stream_posts(spark, str(folder)))
+    once = ingest.drop_redelivered(posts)
+    for name, ids in (("a", [1, 2, 2]), ("b", [2, 3]), ("c", [1, 3])):
+        deliver(name, ids)
+        run(streams.start_append(once, out, str(tmp_path / "c"), available_now=True))
+    assert sorted(r["post_id"] for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
 
 
 def test_daily_averages(spark, tmp_path, arriving):

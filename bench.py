@@ -20,7 +20,8 @@ from checks.queries import QUERIES
 HEADLINE = (
     "trending_topics trends_day trends_week clean_text bigrams topical_tokens "
     "corpus_freq_rank explode_terms tfidf entities post_scores dq_report "
-    "trend_features partitioned_posts stream_term_counts"
+    "trend_features partitioned_posts stream_term_counts freq_filter pos_filter "
+    "rank_in_window stream_trending"
 ).split()
 
 

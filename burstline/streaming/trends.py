@@ -189,8 +189,9 @@ def running_burst(counts: DataFrame, expire_days: float | None = None) -> DataFr
     are aggregated already, so a topic brings one row per window. ``expire_days``
     forgets a topic that has brought no window for so many days of processing
     time, so that state doesn't grow with all topics ever seen; one that comes
-    back starts anew. By default nothing expires. The session needs the RocksDB
-    state store (``use_rocksdb``).
+    back starts anew. Such a query has to run at an interval: with ``available_now``
+    it would not end, as time alone brings it new batches. By default nothing
+    expires. The session needs the RocksDB state store (``use_rocksdb``).
     """
     ttl = None if expire_days is None else int(expire_days * 86_400_000)
     scored = (

@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -157,3 +158,28 @@ def test_posts_stream_to_archive_and_terms(spark, tmp_path):
     run(streams.start_append(post_terms(posts), found, str(tmp_path / "c2"), available_now=True))
     topics = {r["topic"] for r in spark.read.parquet(found).collect()}
     assert topics == {"storm", "sea", "#storm", "storm sea", "sea storm", "storm #storm"}
+
+def test_running_burst_may_expire(spark, tmp_path, arriving):
+    write, stream = arriving
+    streams.use_rocksdb(spark)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    scored = streams.running_burst(streams.term_counts(stream), expire_days=1 / 86_400)
+    query = streams.start_append(scored, out, checkpoint, every="1 second")
+    schema = "start_time timestamp, topic string, count long, burst_score double"
+
+    def found():
+        return spark.read.schema(schema).parquet(out).filter("topic = 'x'")
+
+    try:
+        for name, hour in (("a", 0), ("b", 6)):
+            write(name, [(T0 + hours(hour), "x")] * (hour + 2) + [(T0 + hours(hour + 4), "end")])
+            deadline = time.time() + 40
+            while time.time() < deadline:
+                time.sleep(2)
+                if (tmp_path / "out").exists() and found().count() == 1 + hour // 6:
+                    break
+            time.sleep(2)
+        scores = [r["burst_score"] for r in found().collect()]
+    finally:
+        query.stop()
+    assert scores == [1.0, 1.0]  # each time the topic is new

@@ -4,15 +4,14 @@ A document is the set of its shingles, hashed. Documents with equal sets are one
 node. Two nodes link when ``100 * common >= 75 * union``.
 
 1. Shingles that only one document has can be in no intersection. Each task sends
-   its shingles, packed, to owners by hash range; an owner sends back those that
-   several documents have. A shingle that a task saw in several documents goes to
-   its owner once, whatever their number. A node of which fewer than three
-   quarters are shared can't link and is done.
+   its shingles, packed, to owners by hash range; an owner gives each document
+   those that others have too, with their frequency. A node of which fewer than
+   three quarters are shared can't link and is done.
 2. Light nodes, up to a size chosen by cost, list their subsets of the size that
    a link needs. Nodes with a common subset are linked if their sizes allow it;
    the smallest of a subset's nodes stands for all pairs.
-3. Heavy nodes scan inverted lists of the first shingles of each node, as many as
-   make a common one certain. Each node is compared with the first node of the
+3. Heavy nodes scan inverted lists of the rarest shared shingles of each node, as
+   many as make a common one certain. Each node is compared with the first node of the
    lists it shares most; links are merged to components, and only lists with
    several components go on: everyone in them is compared with the list's first
    node if that is in another component, and last with all of other components. Jaccard distance is a metric, so pairs whose distances to the first
@@ -37,8 +36,9 @@ from burstline.llm.components import components
 from burstline.llm.repeats import stored, with_uid
 from burstline.llm.textbytes import LOWER, flat, mix, signed, span_hash, steps, words
 
-#: Bytes of a packed shingle besides its owner.
-PACKED = 6
+#: Bytes of a packed shingle besides its owner; with up to 2**19 owners and five
+#: bits for the frequency they make a code of 64 bits.
+PACKED = 5
 #: Largest size that is considered for light nodes.
 LIGHT = 12
 #: Cost of a list's entry against a subset's row: it is scanned, paired and compared.
@@ -113,12 +113,7 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _send(size: int, owners: int):
-    """Packed shingles per owner: ``owner, known, uids, shingles, rows``.
-
-    Lists with ``known`` hold shingles that several documents of the task's step
-    have; they go anywhere, and a mark of each, with no row, goes to its owner.
-    """
-    mark = 2**32 - 1
+    """Packed shingles per owner, by document: ``owner, uids, counts, codes``."""
 
     def send(batches: Iterator[pa.RecordBatch]):
         for batch in steps(batches):
@@ -126,76 +121,56 @@ def _send(size: int, owners: int):
             if not len(value):
                 continue
             uid = batch.column("uid").to_numpy().astype("<i8")
-            owner = _owner(value, owners)
-            # any hash of the value may stand for it within its owner
-            short = mix(value) & np.uint64((1 << 8 * PACKED) - 1)
-            same = np.zeros(len(value), bool)
-            same[1:] = value[1:] == value[:-1]
-            several = same.copy()
-            several[:-1] |= same[1:]
-            first = several & ~same
+            cuts = np.searchsorted(_owner(value, owners), np.arange(owners + 1))
+            short = mix(value)  # within an owner, some bits of it stand for the value
             out = []
-            for known, which in ((0, ~several | first), (1, several)):
-                at = np.flatnonzero(which)
-                cuts = np.searchsorted(owner[at], np.arange(owners + 1))
-                for o in np.flatnonzero(np.diff(cuts)):
-                    own = at[cuts[o] : cuts[o + 1]]
-                    rows = row[own].astype("<u4")
-                    if not known:
-                        rows = np.where(first[own], mark, rows).astype("<u4")
-                    order = np.argsort(rows, kind="stable")
-                    rows, codes = rows[order], short[own][order]
-                    here, n = np.unique(rows, return_counts=True)
-                    who = np.where(here == mark, 0, uid[np.minimum(here, len(uid) - 1)])
-                    marks = int(n[-1]) if here[-1] == mark else 0
-                    out.append((
-                        int(o), known, who.astype("<i8").tobytes(), n.astype("<u4").tobytes(),
-                        _pack(codes), marks,
-                    ))
-            kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+            for o in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[o], cuts[o + 1])
+                order = np.argsort(row[own], kind="stable")
+                here, n = np.unique(row[own], return_counts=True)
+                out.append(
+                    (int(o), uid[here].tobytes(), n.astype("<u4").tobytes(), _pack(short[own][order]))
+                )
+            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                ["owner", "known", "uids", "counts", "codes", "marks"],
+                ["owner", "uids", "counts", "codes"],
             )
 
     return send
 
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one owner's lists, the shingles that several documents have, per document."""
+    """Of one owner's lists, the shingles that several documents have, per document.
+
+    A shingle's code begins with the magnitude of the number of its documents, so
+    that codes in order go from rare to common.
+    """
     if not len(rows):
         return pd.DataFrame({"uid": [], "codes": []})
     owner = np.uint64(rows["owner"].iloc[0])
-    asked = rows["known"].to_numpy() == 0
-    codes = [_unpack(c) for c in rows["codes"]]
-    uids = [np.frombuffer(u, "<i8") for u in rows["uids"]]
-    counts = [np.frombuffer(c, "<u4") for c in rows["counts"]]
-    sure = [np.zeros(len(c), bool) for c in codes]
-    for i, marks in enumerate(rows["marks"]):
-        if marks:
-            sure[i][len(codes[i]) - marks :] = True
-    every = np.concatenate([c for c, a in zip(codes, asked) if a] or [np.empty(0, np.uint64)])
-    certain = np.concatenate([s for s, a in zip(sure, asked) if a] or [np.empty(0, bool)])
-    _, where, times = np.unique(every, return_inverse=True, return_counts=True)
-    repeated = times > 1
-    repeated[where[certain]] = True
-    repeated = repeated[where] & ~certain
-    out_uid, out_codes, begin = [], [], 0
-    for c, u, n, a in zip(codes, uids, counts, asked):
-        who = np.repeat(u, n)
-        if a:
-            keep = repeated[begin : begin + len(c)]
-            begin += len(c)
-            who, c = who[keep], c[keep]
-        if not len(c):
-            continue
-        cuts = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
-        full = ((owner << np.uint64(8 * PACKED)) | c).astype("<u8").tobytes()
-        ends = np.append(cuts[1:], len(c))
-        out_uid.append(who[cuts])
-        out_codes += [full[8 * x : 8 * y] for x, y in zip(cuts, ends)]
-    uid = np.concatenate(out_uid) if out_uid else np.empty(0, np.int64)
-    return pd.DataFrame({"uid": uid, "codes": out_codes})
+    every = np.concatenate([_unpack(c) for c in rows["codes"]])
+    who = np.concatenate(
+        [
+            np.repeat(np.frombuffer(u, "<i8"), np.frombuffer(c, "<u4"))
+            for u, c in zip(rows["uids"], rows["counts"], strict=True)
+        ]
+    )
+    order = np.argsort(every)
+    ordered = every[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    times = np.diff(np.append(first, len(ordered)))
+    magnitude = np.floor(np.log2(times)).astype(np.uint64)
+    of_entry = np.empty(len(every), np.uint64)
+    of_entry[order] = np.repeat(magnitude, times)
+    keep = np.zeros(len(every), bool)
+    keep[order] = np.repeat(times > 1, times)
+    who = who[keep]
+    full = (of_entry[keep] << np.uint64(59)) | (owner << np.uint64(8 * PACKED)) | every[keep]
+    cuts = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])) if len(who) else []
+    raw, ends = full.astype("<u8").tobytes(), np.append(cuts[1:], len(who))
+    codes = [raw[8 * x : 8 * y] for x, y in zip(cuts, ends)]
+    return pd.DataFrame({"uid": who[cuts] if len(who) else [], "codes": codes})
 
 
 def needed(n: int, m: int) -> int:
@@ -238,7 +213,7 @@ def _postings(light: int):
                     zip(part.column("n").to_pylist(), part.column("codes").to_pylist())
                 ):
                     own = np.frombuffer(raw, "<u8")
-                    if 4 * n > 3 * light:
+                    if 4 * n > 3 * light:  # codes go from rare to common
                         prefix = mix(own[: max(0, len(own) - -(-3 * n // 4) + 1)])
                         token.append(prefix)
                         size.append(np.zeros(len(prefix), np.int32))
@@ -300,7 +275,7 @@ def shared_sets(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.select("uid", "text").mapInArrow(
         _send(size, owners),
-        "owner int, known int, uids binary, counts binary, codes binary, marks int",
+        "owner int, uids binary, counts binary, codes binary",
     )
     answers = sent.groupBy("owner").applyInPandas(_shared, "uid long, codes binary")
     first = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("uid", "n")).alias("x"))
@@ -308,7 +283,6 @@ def shared_sets(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     gathered = answers.groupBy("uid").agg(
         F.sum(F.length("codes")).alias("size"), F.collect_list("codes").alias("parts")
     )
-    # a set's own order: owners ascend, and so do the codes within
     joined = gathered.join(first, "uid").filter("4 * size >= 3 * n * 8")
 
     def order(batches: Iterator[pa.RecordBatch]):

@@ -14,10 +14,10 @@ keys with several variants need their symbols.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burstline.sources.layout import work_path
+from burstline.sources.layout import remove, work_path
 
 RUNS = "key long, variant long, uid long, doc long, lo long, n int"
 
@@ -41,12 +41,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(write(df, name))
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a written table that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def shared_runs(runs: DataFrame, keys) -> DataFrame:
     """Runs whose key others have too: ``runs`` joined with ``keys(runs)``, stored.
 

@@ -21,7 +21,7 @@ from burstline.llm.repeats import stored
 
 TABLES = 3
 #: Cells of each table of a fingerprint, and of each block of a larger sketch.
-WIDTH = 5
+WIDTH = 4
 #: Digests of both sides that a block of the first larger sketch holds on average.
 LOAD = 4
 #: Attempts with larger sketches.
@@ -105,6 +105,7 @@ def peel(cells: Column, most: Column, level: Column) -> Column:
     start = F.struct(
         cells.alias("cells"),
         F.expr("cast(array() as array<struct<k: bigint, s: int>>)").alias("found"),
+        F.lit(False).alias("stuck"),
     )
 
     def step(state: Column, _: Column) -> Column:
@@ -119,10 +120,17 @@ def peel(cells: Column, most: Column, level: Column) -> Column:
                 _item(first["k"], -first["c"], level), lambda item: _put(state["cells"], item)
             )
             one = F.array(F.struct(first["k"].alias("k"), first["c"].alias("s")))
-            more = F.struct(out.alias("cells"), F.concat(state["found"], one).alias("found"))
-            return F.when(F.size(own) > 0, more).otherwise(state)
+            more = F.struct(
+                out.alias("cells"), F.concat(state["found"], one).alias("found"),
+                F.lit(False).alias("stuck"),
+            )
+            stuck = F.struct(
+                state["cells"].alias("cells"), state["found"].alias("found"),
+                F.lit(True).alias("stuck"),
+            )
+            return F.when(F.size(own) > 0, more).otherwise(stuck)
 
-        return _let(single, take)
+        return F.when(state["stuck"], state).otherwise(_let(single, take))
 
     bounded = F.sequence(F.lit(1), F.least(F.greatest(most, F.lit(1)), F.lit(3 * TABLES * WIDTH)))
     return F.aggregate(bounded, start, step)
@@ -240,8 +248,10 @@ def differing(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
 
         return F.when(_blank(first["cells"]), first["found"]).otherwise(_let(tried, settle))
 
-    cells = subtract(cells_a, cells_b)
-    return _let(peel(cells, F.size(a) + F.size(b), F.lit(0)), larger)
+    # sizes too far apart leave more digests than the cells can hold
+    hopeless = F.abs(F.size(a) - F.size(b)) > TABLES * WIDTH
+    most = F.when(hopeless, F.lit(1)).otherwise(F.size(a) + F.size(b))
+    return _let(peel(subtract(cells_a, cells_b), most, F.lit(0)), larger)
 
 
 def likeness(a: Column, b: Column, difference: Column) -> Column:

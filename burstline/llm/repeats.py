@@ -49,7 +49,8 @@ def shared_runs(runs: DataFrame, keys) -> DataFrame:
     spark = runs.sparkSession
     path = write(runs, "runs")
     every = spark.read.parquet(path)
-    shared = stored(every.join(keys(every), "key"), "shared")
+    # stored, so that the join is one of two plain tables and can split a hot key
+    shared = stored(every.join(stored(keys(every), "keys"), "key"), "shared")
     remove(spark, path)
     return shared
 

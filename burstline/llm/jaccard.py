@@ -113,7 +113,10 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _send(size: int, owners: int):
-    """Packed shingles per owner, by document: ``owner, uids, counts, codes``."""
+    """Packed shingles per owner, by document: ``owner, chunk, uids, counts, codes``.
+
+    A chunk is the documents of one step, named by a hash of their ids.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]):
         for batch in steps(batches):
@@ -122,6 +125,7 @@ def _send(size: int, owners: int):
                 continue
             uid = batch.column("uid").to_numpy().astype("<i8")
             cuts = np.searchsorted(_owner(value, owners), np.arange(owners + 1))
+            chunk = int(np.bitwise_xor.reduce(mix(uid.view(np.uint64)) + np.uint64(len(uid))).view(np.int64))
             short = mix(value)  # within an owner, some bits of it stand for the value
             out = []
             for o in np.flatnonzero(np.diff(cuts)):
@@ -129,48 +133,60 @@ def _send(size: int, owners: int):
                 order = np.argsort(row[own], kind="stable")
                 here, n = np.unique(row[own], return_counts=True)
                 out.append(
-                    (int(o), uid[here].tobytes(), n.astype("<u4").tobytes(), _pack(short[own][order]))
+                    (int(o), chunk, uid[here].tobytes(), n.astype("<u4").tobytes(), _pack(short[own][order]))
                 )
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                ["owner", "uids", "counts", "codes"],
+                ["owner", "chunk", "uids", "counts", "codes"],
             )
 
     return send
 
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one owner's lists, the shingles that several documents have, per document.
+    """Of one owner's lists, the shingles that several documents have.
 
     A shingle's code begins with the magnitude of the number of its documents, so
-    that codes in order go from rare to common.
+    that codes in order go from rare to common. Each list goes back to its chunk.
     """
-    if not len(rows):
-        return pd.DataFrame({"uid": [], "codes": []})
     owner = np.uint64(rows["owner"].iloc[0])
-    every = np.concatenate([_unpack(c) for c in rows["codes"]])
-    who = np.concatenate(
-        [
-            np.repeat(np.frombuffer(u, "<i8"), np.frombuffer(c, "<u4"))
-            for u, c in zip(rows["uids"], rows["counts"], strict=True)
-        ]
-    )
+    lists = [_unpack(c) for c in rows["codes"]]
+    every = np.concatenate(lists)
     order = np.argsort(every)
     ordered = every[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     times = np.diff(np.append(first, len(ordered)))
     magnitude = np.floor(np.log2(times)).astype(np.uint64)
-    of_entry = np.empty(len(every), np.uint64)
-    of_entry[order] = np.repeat(magnitude, times)
-    keep = np.zeros(len(every), bool)
+    code = np.empty(len(every), np.uint64)
+    code[order] = np.repeat((magnitude << np.uint64(59)) | (owner << np.uint64(8 * PACKED)), times)
+    code |= every
+    keep = np.empty(len(every), bool)
     keep[order] = np.repeat(times > 1, times)
-    who = who[keep]
-    full = (of_entry[keep] << np.uint64(59)) | (owner << np.uint64(8 * PACKED)) | every[keep]
+    ends = np.cumsum([len(c) for c in lists])
+    out_uids, out_codes = [], []
+    for end, c, uids, counts in zip(ends, lists, rows["uids"], rows["counts"], strict=True):
+        own = slice(end - len(c), end)
+        who = np.repeat(np.frombuffer(uids, "<i8"), np.frombuffer(counts, "<u4"))
+        out_uids.append(who[keep[own]].tobytes())
+        out_codes.append(code[own][keep[own]].astype("<u8").tobytes())
+    return pd.DataFrame({"chunk": rows["chunk"], "uids": out_uids, "codes": out_codes})
+
+
+def _gather(rows: pd.DataFrame) -> pd.DataFrame:
+    """The shared shingles of each document of a chunk, in order."""
+    who = np.frombuffer(b"".join(rows["uids"]), "<i8")
+    code = np.frombuffer(b"".join(rows["codes"]), "<u8")
+    order = np.lexsort((code, who))
+    who, code = who[order], code[order]
+    fresh = np.ones(len(who), bool)  # equal rows of a table count once
+    fresh[1:] = (who[1:] != who[:-1]) | (code[1:] != code[:-1])
+    who, code = who[fresh], code[fresh]
     cuts = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]])) if len(who) else []
-    raw, ends = full.astype("<u8").tobytes(), np.append(cuts[1:], len(who))
-    codes = [raw[8 * x : 8 * y] for x, y in zip(cuts, ends)]
-    return pd.DataFrame({"uid": who[cuts] if len(who) else [], "codes": codes})
+    raw, ends = code.astype("<u8").tobytes(), np.append(cuts[1:], len(who))
+    codes = [raw[8 * int(x) : 8 * int(y)] for x, y in zip(cuts, ends)]
+    uid = who[cuts] if len(who) else np.empty(0, np.int64)
+    return pd.DataFrame({"uid": uid, "codes": codes})
 
 
 def needed(n: int, m: int) -> int:
@@ -275,30 +291,16 @@ def shared_sets(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.select("uid", "text").mapInArrow(
         _send(size, owners),
-        "owner int, uids binary, counts binary, codes binary",
+        "owner int, chunk long, uids binary, counts binary, codes binary",
+    )
+    answers = sent.groupBy("owner").applyInPandas(
+        _shared, "chunk long, uids binary, codes binary"
     )
-    answers = sent.groupBy("owner").applyInPandas(_shared, "uid long, codes binary")
+    gathered = answers.groupBy("chunk").applyInPandas(_gather, "uid long, codes binary")
     first = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("uid", "n")).alias("x"))
     first = first.select("node", "x.uid", "x.n")
-    gathered = answers.groupBy("uid").agg(
-        F.sum(F.length("codes")).alias("size"), F.collect_list("codes").alias("parts")
-    )
-    joined = gathered.join(first, "uid").filter("4 * size >= 3 * n * 8")
-
-    def order(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            codes = [
-                np.unique(np.frombuffer(b"".join(p), "<u8")).astype("<u8").tobytes()
-                for p in batch.column("parts").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(codes, pa.binary())],
-                ["node", "n", "codes"],
-            )
-
-    return joined.select("node", "n", "parts").mapInArrow(
-        order, "node binary, n long, codes binary"
-    )
+    enough = gathered.join(first, "uid").filter(4 * F.length("codes") >= 3 * 8 * F.col("n"))
+    return enough.select("node", "n", "codes").dropDuplicates(["node"])
 
 
 def _merge(links: DataFrame) -> DataFrame:

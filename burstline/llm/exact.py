@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from burstline.llm.repeats import one_each
 from burstline.sources.layout import work_path
 
 #: Characters that do not count for equality.
@@ -201,17 +202,18 @@ def duplicate_groups(docs: DataFrame, chunks: int | None = None) -> DataFrame:
 
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, one of each equal-text group, with all their columns.
 
-    Rows that agree in id and normalised text are reduced to one.
+    Rows that agree in id and normalised text are reduced to the longest of them, and
+    of several such to the one whose columns have the least hash.
     """
-    groups = duplicate_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("burstline_id"), F.col("text_sha256").alias("burstline_sha")
+    name, missing = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull()
+    kept = duplicate_groups(docs).filter("kept").select(
+        name.alias("name"), missing.alias("missing"), F.col("text_sha256").alias("sha")
     ).distinct()
-    marked = docs.select(
-        *[docs[c] for c in docs.columns],
-        F.sha2(normalised(docs["text"]).cast("binary"), 256).alias("burstline_own"),
+    sha = F.sha2(normalised(F.col("text")).cast("binary"), 256)
+    rows = one_each(
+        docs, {"name": name, "missing": missing, "sha": sha},
+        -F.char_length(F.coalesce(F.col("text"), F.lit(""))),
     )
-    same = marked["doc_id"].eqNullSafe(groups["burstline_id"]) & (marked["burstline_own"] == groups["burstline_sha"])
-    kept = marked.join(groups, same, "left_semi").drop("burstline_own")
-    return kept
+    return rows.join(kept, ["name", "missing", "sha"], "left_semi").select("row.*")

@@ -14,7 +14,7 @@ keys with several variants need their symbols.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstline.sources.layout import remove, work_path
@@ -29,6 +29,23 @@ def with_uid(docs: DataFrame) -> DataFrame:
     return docs.select(uid.alias("uid"), rank.alias("doc"), "doc_id", "text")
 
 
+def one_each(docs: DataFrame, keys: dict[str, Column], *order: Column) -> DataFrame:
+    """One row of ``docs`` per value of ``keys``: the keys, and the row as ``row``.
+
+    The row that is first by ``order`` is taken, and of several such the one with the
+    least hash of its columns, those with maps aside; fully equal rows are
+    exchangeable. Rows are reduced within each task before they are shuffled, so a
+    row that is repeated very often is no hot key.
+    """
+    hashed = [docs[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    own = docs.select(
+        *[value.alias(name) for name, value in keys.items()],
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.struct(*order, F.xxhash64(*hashed)).alias("place"),
+    )
+    return own.groupBy(*keys).agg(F.min_by("row", "place").alias("row"))
+
+
 def write(df: DataFrame, name: str) -> str:
     """Write a table to a new folder in the shared one; its path."""
     path = work_path(df.sparkSession, name)

@@ -52,6 +52,34 @@ def test_keep_first_copies(spark):
     assert {r.doc_id for r in kept.collect()} == {k[0] for k in expected}
 
 
+def test_one_row_of_each_text_stays(spark):
+    docs = spark.createDataFrame([(d, t, str(i % 2), i % 3) for i, (d, t) in enumerate(rows())], SCHEMA)
+    odd = [(8, "twice told", "x", 0)] * 3 + [(None, "no id", "x", i) for i in range(50)]
+    odd += [(9, "w h ite", "x", 0), (9, "wh i te", "x", 0), (9, "white", "x", 0)]
+    docs = docs.unionAll(spark.createDataFrame(odd, SCHEMA))
+    every = docs.unionAll(docs)  # a table that was delivered twice
+    kept = exact.keep_first_copies(every.repartition(7)).collect()
+    bodies = [re.sub(r"[\x20\x09-\x0D]", "", r.text or "") for r in kept]
+    source = docs.collect()
+    assert Counter(bodies) == {re.sub(r"[\x20\x09-\x0D]", "", r.text or ""): 1 for r in source}
+    assert set(kept) <= set(source)
+    expected = {(k[1], k[4]) for k in brute([(r.doc_id, r.text) for r in source])}
+    assert {(r.doc_id, hashlib.sha256(b.encode()).hexdigest()) for r, b in zip(kept, bodies)} == expected
+    assert len(next(r for r in kept if r.doc_id == 9).text) == 7
+    again = exact.keep_first_copies(every.repartition(3)).collect()
+    assert Counter(kept) == Counter(again)
+
+
+def test_maps_and_odd_columns_pass(spark):
+    docs = spark.createDataFrame(
+        [(None, "a b", {"k": 1}, 5), (None, "ab", {"k": 2}, 6), (1, "c", None, 7)],
+        "doc_id long, text string, row map<string, int>, name int",
+    )
+    kept = exact.keep_first_copies(docs.unionAll(docs))
+    assert kept.columns == docs.columns
+    assert sorted((r.text, r.name) for r in kept.collect()) == [("a b", 5), ("c", 7)]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact.duplicate_groups(empty).collect() == []

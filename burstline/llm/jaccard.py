@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.llm.components import components
-from burstline.llm.repeats import stored, with_uid
+from burstline.llm.exact import normalised
+from burstline.llm.repeats import one_each, row_names, stored, with_uid
 from burstline.llm.textbytes import LOWER, flat, mix, signed, span_hash, steps, words
 
 #: Bytes of a packed shingle besides its owner; with up to 2**19 owners and five
@@ -385,6 +386,19 @@ def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled.join(ends.filter("x <> y").select("token"), "token", "left_semi")
 
 
+def _linked(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The stored set of every row, ``uid, doc, n, node``, and the roots of linked nodes."""
+    own = with_uid(docs)
+    sets = stored(
+        own.select("uid", "doc", "text").mapInArrow(
+            _sets(size), "uid long, doc long, n long, node binary"
+        ),
+        "sets",
+    )
+    candidates = stored(shared_sets(own, sets, size), "candidates")
+    return sets, link_nodes(candidates)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """The component of every row of ``docs``: ``doc_id, n_shingles, component_id``.
 
@@ -395,15 +409,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     null id. Rows with one id and different texts are linked by their texts alone.
     Columns other than ``doc_id`` and ``text`` are not used.
     """
-    own = with_uid(docs)
-    sets = stored(
-        own.select("uid", "doc", "text").mapInArrow(
-            _sets(size), "uid long, doc long, n long, node binary"
-        ),
-        "sets",
-    )
-    candidates = stored(shared_sets(own, sets, size), "candidates")
-    roots = link_nodes(candidates)
+    sets, roots = _linked(docs, size)
     nodes = sets.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
@@ -417,12 +423,19 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, size: int = 5) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, all columns kept.
+    """One row of each component of ``docs``, with all its columns.
 
-    Documents without words stay. Rows without an id stay as well.
+    The row with the smallest id stays, null ids last; of rows with that id but
+    different texts the one with the smallest ``uid``, and of rows equal in both one
+    as in ``one_each``. All rows without words stay.
     """
-    found = near_duplicates(docs, size)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_burstline_gone")
-    ).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_burstline_gone"], "left_anti")
+    sets, roots = _linked(docs, size)
+    nodes = sets.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc", "uid")).alias("first"))
+    rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+
+    wordless = normalised(F.col("text")) == ""
+    rank, uid = row_names()
+    rows = one_each(docs.filter(~wordless), {"doc": rank, "uid": uid})
+    kept = rows.join(stay, ["doc", "uid"], "left_semi").select("row.*")
+    return kept.unionAll(docs.filter(wordless))

@@ -22,10 +22,15 @@ from burstline.sources.layout import remove, work_path
 RUNS = "key long, variant long, uid long, doc long, lo long, n int"
 
 
+def row_names() -> tuple[Column, Column]:
+    """``doc``, a row's id with null as the largest, and ``uid``, a hash of id and text."""
+    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+    return rank, F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+
+
 def with_uid(docs: DataFrame) -> DataFrame:
     """``uid, doc, doc_id, text``: a row's hash, and its id with null as the largest."""
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    uid = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    rank, uid = row_names()
     return docs.select(uid.alias("uid"), rank.alias("doc"), "doc_id", "text")
 
 

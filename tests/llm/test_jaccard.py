@@ -102,6 +102,49 @@ def test_documents_table(spark):
     assert kept.count() == sum(1 for k in got if k[0] == k[2])
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d, e = ([f"{k}{i}" for i in range(40)] for k in "abcde")
+    say = " ".join
+    rows = [
+        (1, say(a)), (2, say(a + ["x"])), (2, say(b)),  # 2 is linked to 1, and another text besides
+        (3, say(b + ["x"])), (None, say(b + ["y"])), (None, say(a + ["z"])),
+        (None, say(c)), (None, say(c + ["x"])), (None, say(c)),  # no id at all
+        (4, say(d)), (4, say(d + ["x"])), (4, say(d)),  # one id, near texts, a repeated row
+        (5, say(e)), (6, None), (6, ""), (None, " \n"), (None, " \n"),
+    ]
+    docs = spark.createDataFrame([(i, t, "clash", n % 2) for n, (i, t) in enumerate(rows)], SCHEMA)
+    kept = jaccard.keep_one_each(docs.repartition(5)).collect()
+    assert set(kept) <= set(docs.collect())
+    worded = sorted(((r.doc_id, r.text.split()[0]) for r in kept if (r.text or "").split()), key=str)
+    assert worded == [(1, "a0"), (2, "b0"), (4, "d0"), (5, "e0"), (None, "c0")]
+    wordless = Counter((r.doc_id, r.text) for r in kept if not (r.text or "").split())
+    assert wordless == {(6, None): 1, (6, ""): 1, (None, " \n"): 2}
+    again = jaccard.keep_one_each(docs.repartition(3)).collect()
+    assert Counter(kept) == Counter(again)
+
+
+def test_one_row_stays_in_planted_components(spark):
+    rows = planted(7)
+    docs = spark.createDataFrame([(d, t, "clash", 1) for d, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in jaccard.keep_one_each(docs).collect()]
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and sets[j] and 4 * len(s & sets[j]) >= 3 * len(s | sets[j]):
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    first = {}
+    for i, (d, t) in enumerate(rows):
+        if sets[i]:
+            first[root[i]] = min(first.get(root[i], 2**63), 2**63 if d is None else d)
+    of_row = {(d, t): root[i] for i, (d, t) in enumerate(rows)}
+    worded = [k for k in kept if shingle_set(k[1])]
+    assert Counter(of_row[k] for k in worded) == dict.fromkeys(first, 1)
+    assert all((2**63 if d is None else d) == first[of_row[d, t]] for d, t in worded)
+    assert len(kept) - len(worded) == sum(1 for s in sets if not s)
+
+
 def test_every_bound_of_light_sets(spark, monkeypatch):
     rows = planted(4)
     expected = brute(rows)

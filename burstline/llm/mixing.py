@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from burstline.sources.layout import work_path
 
-#: Largest rest of a budget, in words, that the dynamic programme fills.
+#: Rest of a budget, in words, that is left to the dynamic programme at least ...
 DP_WORDS = 1 << 16
+#: ... and as a multiple of a source's longest document.
+FEW = 8
 #: Parts that the documents of one length are cut into by their hash.
 PARTS = 256
 
@@ -67,60 +69,98 @@ def targets(sizes: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most:
     return first_open.select("source", "source_size", dealt.cast("double").alias("target"))
 
 
-def bounded_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take so that their sum is nearest below ``budget``.
+def bounded_knapsack(
+    lengths: np.ndarray, counts: np.ndarray, budget: int, above: int = 0
+) -> np.ndarray:
+    """How many of each length to take so that their sum is nearest to ``budget``.
 
-    Reachable sums are the bits of one integer; a length's count is cut into
-    powers of two. The largest reachable sum is traced back through the states.
+    The sum is at most ``above`` more than ``budget``; of two that are equally near
+    the smaller counts. A length's count is cut into powers of two, and every
+    reachable sum remembers the first such part that reached it, by which the
+    nearest one is traced back.
     """
     taken = np.zeros(len(lengths), np.int64)
-    if budget <= 0:
+    usable = (lengths > 0) & (counts > 0) & (lengths <= budget + above)
+    if budget <= 0 or not usable.any():
         return taken
-    mask = (1 << (budget + 1)) - 1
-    reach, steps = 1, []
+    unit = int(np.gcd.reduce(lengths[usable]))
+    top, goal = (budget + above) // unit, budget // unit
+    if goal < top and 2 * (budget - goal * unit) > unit:
+        goal += 1  # no sum can be nearer to the budget
+    reach, first, steps = np.zeros(top + 1, bool), np.full(top + 1, -1, np.int32), []
+    reach[0] = True
     for i in np.argsort(-lengths, kind="stable"):
-        length, count = int(lengths[i]), int(counts[i])
-        if not 0 < length <= budget:
+        if not usable[i]:
             continue
-        count, part = min(count, budget // length), 1
-        while count:
+        length = int(lengths[i]) // unit
+        count, part = min(int(counts[i]), top // length), 1
+        while count and not reach[goal]:
             part = min(part, count)
-            steps.append((i, part, reach))
-            reach |= (reach << (part * length)) & mask
+            step = part * length
+            new = np.flatnonzero(reach[:-step] & ~reach[step:]) + step
+            reach[new], first[new] = True, len(steps)
+            steps.append((i, part))
             count -= part
             part *= 2
-        if reach >> budget & 1:
-            break
-    total = reach.bit_length() - 1
-    for i, part, before in reversed(steps):
-        if not before >> total & 1:
-            total -= part * int(lengths[i])
-            taken[i] += part
+    sums = np.flatnonzero(reach)
+    total = int(sums[np.abs(sums * unit - budget).argmin()])
+    while total:
+        i, part = steps[first[total]]
+        taken[i] += part
+        total -= part * int(lengths[i]) // unit
     return taken
 
 
-def fit(lengths: np.ndarray, counts: np.ndarray, budget: float) -> np.ndarray:
+def fit(
+    lengths: np.ndarray, counts: np.ndarray, budget: float, most: float | None = None
+) -> np.ndarray:
     """Documents to take of each length, for a budget below the sum of all.
 
     The same share of every length, rounded down; then single documents from
-    long to short while more than ``DP_WORDS`` are left; then the dynamic
-    programme.
+    long to short while more than a window is left; then the dynamic programme over
+    all that is left, for the sum nearest to the budget but not above ``most``. The
+    window is ``DP_WORDS``, or ``FEW`` of the longest documents if that is more, so
+    it has room for several of any length. If the budget is not met, documents
+    are handed back, long ones first, until a window is open, and the
+    nearer of both results counts: a budget within one window is met as nearly as
+    whole documents allow.
     """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     size = int((lengths * counts).sum())
     budget = int(round(budget))
     if budget <= 0 or not size:
         return np.zeros(len(lengths), np.int64)
-    taken = np.minimum(counts, np.floor(counts * min(1.0, budget / size)).astype(np.int64))
-    rest = budget - int((lengths * taken).sum())
-    for i in np.argsort(-lengths, kind="stable"):
-        if rest <= DP_WORDS:
-            break
-        more = min(int(counts[i] - taken[i]), (rest - DP_WORDS) // max(1, int(lengths[i])))
-        if more > 0:
+    most = size if most is None else int(most)
+    longest = int(lengths[counts > 0].max())
+    window = max(DP_WORDS, FEW * longest)
+    from_long = [i for i in np.argsort(-lengths, kind="stable") if lengths[i] > 0]
+
+    def left(taken: np.ndarray) -> int:
+        return budget - int((lengths * taken).sum())
+
+    def filled(taken: np.ndarray) -> np.ndarray:
+        taken, rest = taken.copy(), left(taken)
+        for i in from_long:
+            if rest <= window:
+                break
+            more = min(int(counts[i] - taken[i]), (rest - window) // int(lengths[i]))
             taken[i] += more
             rest -= more * int(lengths[i])
-    return taken + bounded_knapsack(lengths, counts - taken, min(rest, 2 * DP_WORDS))
+        above = max(0, min(longest, rest, most - budget))
+        return taken + bounded_knapsack(lengths, counts - taken, rest, above)
+
+    share = np.minimum(counts, np.floor(counts * min(1.0, budget / size)).astype(np.int64))
+    found = filled(share)
+    if not left(found):
+        return found
+    fewer, rest = share.copy(), left(share)
+    for i in from_long:
+        if rest >= window:
+            break
+        back = min(int(fewer[i]), (window - rest) // int(lengths[i]))
+        fewer[i] -= back
+        rest += back * int(lengths[i])
+    return min((found, filled(fewer)), key=lambda taken: (abs(left(taken)), -left(taken)))
 
 
 def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: float = 2.0,
@@ -154,7 +194,10 @@ def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: floa
         size, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
         rounds = int(target // size) if size else 0
         pdf = pdf.sort_values("size", ignore_index=True)
-        more = fit(pdf["size"].to_numpy(), pdf["n"].to_numpy(), target - rounds * size)
+        more = fit(
+            pdf["size"].to_numpy(), pdf["n"].to_numpy(), target - rounds * size,
+            (most - rounds) * size,
+        )
         return pdf.assign(rounds=rounds, more=more)
 
     same_source = lengths["source"].eqNullSafe(planned["source"])

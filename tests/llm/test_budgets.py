@@ -78,6 +78,63 @@ def test_fit_meets_large_budgets():
         assert abs(int((taken * lengths).sum()) - share * size) <= 1
 
 
+def nearest(lengths, counts, budget, most):
+    sums = {0}
+    for x, n in zip(lengths, counts):
+        sums = {s + k * int(x) for s in sums for k in range(int(n) + 1)}
+    return min(abs(s - budget) for s in sums if s <= most)
+
+
+@pytest.mark.parametrize("lengths, counts, budget, total", [
+    ([200000, 201000], [1, 1], 250000, 201000),
+    ([120000, 100000, 99000], [1, 1, 1], 199000, 199000),
+    ([300000, 700000], [1, 1], 680000, 700000),  # the nearest sum is above the budget
+    ([150000, 270000], [2, 1], 285000, 270000),  # the share of the first is handed back
+    ([60000, 150000, 260000], [1, 2, 1], 318000, 320000),
+    ([0, 900000], [5, 3], 1000000, 900000),
+    ([400000, 500000], [1, 1], 100000, 0),
+])
+def test_fit_of_few_long_documents(lengths, counts, budget, total):
+    lengths, counts = np.array(lengths), np.array(counts)
+    taken = mixing.fit(lengths, counts, budget)
+    assert (taken <= counts).all() and (taken >= 0).all()
+    assert int((taken * lengths).sum()) == total
+
+
+def test_fit_is_nearest():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        lengths = np.unique(rng.integers(1, 400, int(rng.integers(1, 7)))) * int(rng.choice([1, 6, 1000, 3001]))
+        counts = rng.integers(1, 4, len(lengths))
+        size = int((lengths * counts).sum())
+        budget = int(rng.integers(1, size))
+        most = int(rng.choice([budget, budget + size // 50, size]))
+        taken = mixing.fit(lengths, counts, budget, most)
+        assert (taken <= counts).all() and (taken >= 0).all()
+        total = int((taken * lengths).sum())
+        assert total <= most
+        assert abs(total - budget) == nearest(lengths, counts, budget, most)
+
+
+def test_fit_of_many_long_documents():
+    rng = np.random.default_rng(6)
+    lengths = np.unique(rng.integers(70000, 400000, 500))
+    size = int(lengths.sum())
+    for share in (0.001, 0.1, 0.37, 0.9):
+        taken = mixing.fit(lengths, np.ones(len(lengths), np.int64), share * size)
+        total = int((taken * lengths).sum())
+        assert abs(total - share * size) <= (1 if share > 0.01 else 70000)
+
+
+def test_mix_of_long_documents(spark):
+    rows = [(1, "w " * 200000, "a"), (2, "w " * 201000, "a"), (3, "w " * 300000, "b")]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
+    got = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert got[1].target == pytest.approx(1051500 * 5 / 7) and got[3].target == pytest.approx(1051500 * 2 / 7)
+    # 350071 of 401000 more than a whole round and 300429 of 300000
+    assert [got[i].copies for i in (1, 2, 3)] == [2, 2, 1]
+
+
 def words(t):
     return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 

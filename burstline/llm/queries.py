@@ -15,6 +15,7 @@ from burstline.llm import (
     quality,
     recompression,
     suffixes,
+    transducer,
     warc,
 )
 
@@ -28,10 +29,10 @@ def remainder(divisor: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,11 +94,17 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(_table(spark, sf_dir, "documents"), 50, texts=False)
 
 
+def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count the tokens of every document with a compiled transducer."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    return transducer.token_counts(_table(spark, sf_dir, "documents"), model)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
-        op9_exact, op10_recompression,
+        op9_exact, op10_recompression, op11_transducer,
     )
 }
 

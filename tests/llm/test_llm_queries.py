@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_quality": "doc_id held_out score predicted",
     "op9_exact": "doc_id keep_id group_size kept text_sha256",
     "op10_recompression": "doc_id n_words n_removed kept_sha256",
+    "op11_transducer": "doc_id n_bytes n_tokens over_limit",
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.llm import (
+    divergence,
     exact,
     fingerprints,
     jaccard,
@@ -100,11 +101,17 @@ def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(_table(spark, sf_dir, "documents"), model)
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
         op9_exact, op10_recompression, op11_transducer,
+        op13_divergence,
     )
 }
 
@@ -120,6 +127,44 @@ SELECT page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes, sha1(p.body) AS
   CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to, url
 FROM p LEFT JOIN g ON p.body = g.body
+""",
+    "op13_divergence": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words, row_number() OVER () AS doc
+  FROM documents
+), uses AS (
+  SELECT lang, source, doc, unnest(words) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS lang_count FROM uses GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(lang_count) AS lang_total FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM uses SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total, coalesce(n, 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) USING (lang, source)
+), shares AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, lang_count,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (n + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (lang_count + 5)) // (lang_total + 5 * v) AS q
+  FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
 """,
     "op9_exact": """
 WITH n AS (

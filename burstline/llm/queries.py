@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burstline.llm import (
+    collocations,
     divergence,
     exact,
     fingerprints,
@@ -101,6 +102,11 @@ def op11_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(_table(spark, sf_dir, "documents"), model)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language by how much their words belong together."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the sources of each language differ in their terms."""
     return divergence.divergence(_table(spark, sf_dir, "documents"))
@@ -111,7 +117,7 @@ QUERIES = {
     for f in (
         op1_fingerprints, op2_jaccard, op3_warc, op4_language, op5_mixture, op6_packing, op7_suffixes, op8_quality,
         op9_exact, op10_recompression, op11_transducer,
-        op13_divergence,
+        op12_collocations, op13_divergence,
     )
 }
 
@@ -127,6 +133,44 @@ SELECT page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes, sha1(p.body) AS
   CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to, url
 FROM p LEFT JOIN g ON p.body = g.body
+""",
+    "op12_collocations": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), p AS (
+  SELECT lang, unnest(list_transform(pieces, lambda x: regexp_extract_all(x, '[^\x20\x09]+'))) AS w FROM d
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
+), f AS (
+  SELECT lang, phrase, len(string_split(phrase, ' ')) AS size, count(*) AS a FROM (
+    SELECT lang, unnest(flatten(list_transform(range(1, 5), lambda k:
+      list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) AS phrase FROM p
+  ) GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, a, array_to_string(string_split(phrase, ' ')[i:j], ' ') AS phrase
+  FROM (SELECT *, unnest(range(i + 1, size + 1)) AS j FROM (SELECT *, unnest(range(1, size)) AS i FROM f WHERE size > 2))
+  WHERE j - i + 1 < size
+), covered AS (
+  SELECT b.lang, b.phrase FROM best b JOIN inside USING (lang, phrase)
+  GROUP BY b.lang, b.phrase, b.a HAVING 100 * max(inside.a) >= 80 * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best ANTI JOIN covered USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
     "op13_divergence": r"""
 WITH d AS (

@@ -21,10 +21,11 @@ COLUMNS = {
     "op9_exact": "doc_id keep_id group_size kept text_sha256",
     "op10_recompression": "doc_id n_words n_removed kept_sha256",
     "op11_transducer": "doc_id n_bytes n_tokens over_limit",
+    "op12_collocations": "lang rank phrase a l r n score",
     "op13_divergence": "lang source part item value rank",
 }
 #: Queries whose rows are groups, not documents.
-GROUPED = {"op13_divergence"}
+GROUPED = {"op12_collocations", "op13_divergence"}
 
 
 def test_registered():

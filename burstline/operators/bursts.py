@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstline.operators.joins import left_join_split_hot
-
-#: Leading characters that split the topics of equal score and count.
-RANK_PREFIX = 8
+from burstline.operators.ranking import complete_rank, first_places
 
 SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
 
@@ -112,44 +110,28 @@ def min_count_floor(scored: DataFrame, min_count: int = 2) -> DataFrame:
     return scored.filter(F.col("count") >= min_count)
 
 
-def _ranked(scored: DataFrame) -> DataFrame:
-    order = Window.partitionBy("start_time").orderBy(
-        F.desc("burst_score"), F.desc("count"), F.asc("topic")
-    )
-    return scored.withColumn("rank", F.row_number().over(order))
+def _rank_order() -> tuple[Column, ...]:
+    return F.desc("burst_score"), F.desc("count"), F.asc("topic")
 
 
 def rank_in_window(scored: DataFrame) -> DataFrame:
     """Add ``rank``: by rounded score, then count, then topic within a window.
 
-    A window may hold any number of topics, so it is not ranked in one task.
-    Topics with equal score and count form a group, cut by the beginnings of the
-    topics; a rank is the number of topics in better groups, plus those with a
-    smaller beginning, plus the place among those that begin alike.
+    A window may hold any number of topics, and most of them may have one score and
+    count, so ranges of the whole sort key are ranked (see
+    ``ranking.complete_rank``).
     """
-    group = ["start_time", "burst_score", "count"]
-    cut = scored.withColumn("_part", F.substring("topic", 1, RANK_PREFIX))
-    parts = cut.groupBy(*group, "_part").agg(F.count("*").alias("_size"))
-    by_part = Window.partitionBy(*group).orderBy("_part")
-    within = parts.withColumn("_smaller", F.sum("_size").over(by_part) - F.col("_size"))
-    better = Window.partitionBy("start_time").orderBy(F.desc("burst_score"), F.desc("count"))
-    sizes = parts.groupBy(*group).agg(F.sum("_size").alias("_size"))
-    above = sizes.withColumn("_above", F.sum("_size").over(better) - F.col("_size"))
-    offsets = within.join(above.drop("_size"), group).select(
-        *group, "_part", (F.col("_above") + F.col("_smaller")).alias("_offset")
-    )
-    in_part = Window.partitionBy(*group, "_part").orderBy("topic")
-    rank = (F.col("_offset") + F.row_number().over(in_part)).cast("int")
-    return cut.join(offsets, [*group, "_part"]).select(*scored.columns, rank.alias("rank"))
+    ranked = complete_rank(scored, ["start_time"], _rank_order())
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
 
 
 def top_n(scored: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` of every window.
 
-    The rank filter follows the ranking directly, so every task keeps at most
-    ``n`` rows per window before the shuffle, however full a window is.
+    Every task keeps at most ``n`` rows per window before the shuffle, however full
+    a window is.
     """
-    return _ranked(scored).filter(F.col("rank") <= n)
+    return first_places(scored, ["start_time"], _rank_order(), n)
 
 
 def flatten_window(ranked: DataFrame, interval: str) -> DataFrame:

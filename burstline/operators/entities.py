@@ -6,15 +6,20 @@ recogniser: it finds the names it lists and no others.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burstline.functions.text import WORD
+from burstline.operators.joins import left_join_split_hot, member
+from burstline.sources.layout import stored
 
-#: Tasks that the uses of one frequent word are spread over.
-SALTS = 16
+#: Words of all names that every task may get as automata, some 200 bytes each.
+MOST_WORDS = 500_000
 LABELS = ("PERSON", "ORG", "GPE")
 LANGUAGES = ("en", "nl")
 
@@ -59,12 +64,116 @@ def listed_names(gazetteer: DataFrame, labels: Sequence[str] = LABELS) -> DataFr
     )
 
 
+class Automaton:
+    """Finds all names of one language in word sequences, in one pass over each.
+
+    A trie of the names' words, in which every node links to the node of its longest
+    proper ending (where matching goes on when no word leads further) and to the
+    nearest ending that is a whole name.
+    """
+
+    def __init__(self, names: Iterable[Sequence[str]]):
+        self.number: dict[str, int] = {}
+        self.after: list[dict[int, int]] = [{}]
+        self.size = [0]
+        for words in names:
+            node = 0
+            for word in words:
+                code = self.number.setdefault(word, len(self.number))
+                following = self.after[node].get(code)
+                if following is None:
+                    following = self.after[node][code] = len(self.after)
+                    self.after.append({})
+                    self.size.append(0)
+                node = following
+            self.size[node] = len(words)
+        self.ending = [0] * len(self.after)
+        self.named = [0] * len(self.after)
+        queue = deque(self.after[0].values())
+        while queue:
+            node = queue.popleft()
+            for code, following in self.after[node].items():
+                ending = self.ending[following] = self._step(self.ending[node], code)
+                self.named[following] = ending if self.size[ending] else self.named[ending]
+                queue.append(following)
+
+    def _step(self, node: int, code: int) -> int:
+        while node and code not in self.after[node]:
+            node = self.ending[node]
+        return self.after[node].get(code, 0)
+
+    def leftmost_longest(self, codes: Sequence[int]) -> list[tuple[int, int]]:
+        """``(start, end)`` of the names that a walk from the left takes.
+
+        ``codes`` are the words' numbers, negative for words of no name.
+        """
+        found, node = [], 0
+        for i, code in enumerate(codes, 1):
+            node = self._step(node, code) if code >= 0 else 0
+            at = node if self.size[node] else self.named[node]
+            while at:
+                found.append((i - self.size[at], -self.size[at]))
+                at = self.named[at]
+        found.sort()
+        taken, free = [], 0
+        for start, shorter in found:
+            if start >= free:
+                free = start - shorter
+                taken.append((start, free))
+        return taken
+
+
+def _in_one_pass(words: DataFrame, names: list, id_col: str) -> DataFrame:
+    """``entities`` by automata, of which each language has one; nothing is shuffled."""
+    listed: dict[str, list[list[str]]] = {}
+    for row in names:
+        listed.setdefault(row["lang"], []).append(row["name"].split(" "))
+    spark = words.sparkSession
+    shared = spark.sparkContext.broadcast(listed)
+    rows = words.select(
+        id_col, "lang", "words", F.transform("words", F.lower).alias("lowered")
+    )
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata: dict[str, Automaton] = {}
+        for batch in batches:
+            lowered, words = batch.column("lowered"), batch.column("words")
+            bounds = lowered.offsets.to_numpy()
+            coded = lowered.values.dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            which = coded.indices.to_numpy(zero_copy_only=False)
+            langs = batch.column("lang").to_pylist()
+            out: list[str | None] = [""] * batch.num_rows
+            for lang in {x for x in langs if x in shared.value}:
+                if lang not in automata:
+                    automata[lang] = Automaton(shared.value[lang])
+                own = automata[lang]
+                codes = np.array([own.number.get(w, -1) for w in distinct] or [-1])[which]
+                for i in np.flatnonzero(np.array([x == lang for x in langs])).tolist():
+                    low, high = int(bounds[i]), int(bounds[i + 1])
+                    part = codes[low:high]
+                    if (part < 0).all():
+                        continue
+                    text = words[i].values
+                    spans = own.leftmost_longest(part.tolist())
+                    out[i] = " ".join(
+                        " ".join(text.slice(s, e - s).to_pylist()) for s, e in spans
+                    )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id_col), pa.array(out, pa.string())], [id_col, "entities"]
+            )
+
+    kind = words.schema[id_col].dataType.simpleString()
+    return rows.mapInArrow(find, f"`{id_col}` {kind}, entities string")
+
+
 def entities(
     posts: DataFrame,
     gazetteer: DataFrame,
     id_col: str = "post_id",
     languages: Sequence[str] = LANGUAGES,
     labels: Sequence[str] = LABELS,
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """``id, entities``: the names in each post in text order, joined by spaces.
 
@@ -73,11 +182,9 @@ def entities(
     ``unknown`` has none; any other language, or a null text or language, fails
     the job.
 
-    Words are matched against the names' first words; only where one begins are
-    spans built, of the lengths that names with this beginning have. Both joins
-    are left to Spark: by broadcast while the gazetteer is within
-    ``spark.sql.autoBroadcastJoinThreshold``, else by shuffle on a key that is
-    salted, so that a frequent word is not one task's.
+    A gazetteer of up to ``most_words`` words in all, which is checked, goes to every
+    task as automata that read each text once, without a shuffle. A larger one is
+    joined with the texts, and then ``id`` has to be unique.
     """
     lang = F.col("lang")
     known = lang.isin(*languages, "unknown") & F.col("text").isNotNull()
@@ -90,18 +197,33 @@ def entities(
         checked.alias("lang"),
         F.regexp_extract_all(F.col("text"), F.lit(f"[{WORD}]+"), F.lit(0)).alias("words"),
     )
-    names = listed_names(gazetteer, labels)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    firsts = (
-        names.groupBy("lang", "first").agg(F.collect_set("words").alias("sizes"))
-        .select("lang", "first", "sizes", salts)
+    names = listed_names(gazetteer, labels).filter(F.col("lang") != "unknown")
+    if (names.agg(F.sum("words")).first()[0] or 0) <= most_words:
+        return _in_one_pass(words, names.select("lang", "name").collect(), id_col)
+    return _by_join(words, names, id_col)
+
+
+def _by_join(words: DataFrame, names: DataFrame, id_col: str) -> DataFrame:
+    """``entities`` by joins, for a gazetteer of any size.
+
+    Words that may be a name's first one, by a bitmap of bounded size, are matched
+    with the first words, hot ones apart; where one begins, spans are built, of the
+    lengths that names with this beginning have, and those that may be a name, by
+    another bitmap, are matched with the names.
+    """
+    names = stored(names, "names")
+    firsts = stored(names.groupBy("lang", "first").agg(F.collect_set("words").alias("sizes")), "first-words")
+    key = F.xxhash64("lang", "first")
+    uses = (
+        words.filter(F.col("lang") != "unknown")
+        .select(id_col, "lang", F.posexplode("words").alias("start", "word"))
+        .select(id_col, "lang", "start", F.lower("word").alias("first"))
+        .filter(member(firsts.select(key.alias("key")), firsts.count(), key))
     )
-    salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
+    counts = uses.groupBy("lang", "first").count()
     begun = (
-        words.filter(F.col("lang") != "unknown")
-        .select(id_col, "lang", salt.alias("salt"), F.posexplode("words").alias("start", "word"))
-        .withColumn("first", F.lower("word"))
-        .join(firsts, ["lang", "first", "salt"])
+        left_join_split_hot(uses, firsts, ["lang", "first"], counts)
+        .filter(F.col("sizes").isNotNull())
         .groupBy(id_col)
         .agg(F.collect_list(F.struct("start", "sizes")).alias("begun"))
     )
@@ -121,10 +243,14 @@ def entities(
         )
     )
     spans = words.join(begun, id_col).select(
-        id_col, "lang", salt.alias("salt"), F.explode(candidates).alias("span")
-    ).select(id_col, "lang", "salt", "span.*")
+        id_col, "lang", F.explode(candidates).alias("span")
+    ).select(id_col, "lang", "span.*")
+    whole = F.xxhash64("lang", "name")
+    passed = spans.filter(member(names.select(whole.alias("key")), names.count(), whole))
+    marked = names.select("lang", "name", F.lit(True).alias("listed"))
     found = (
-        spans.join(names.select("lang", "name", salts), ["lang", "name", "salt"])
+        left_join_split_hot(passed, marked, ["lang", "name"], passed.groupBy("lang", "name").count())
+        .filter("listed")
         .groupBy(id_col)
         .agg(
             F.collect_list(

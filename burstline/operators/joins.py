@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A membership filter has at most so many bits (4 MB), and at least 64.
+MOST_BITS = 1 << 25
+#: Bits for each key, while the filter is below its bound.
+BITS_PER_KEY = 16
+
 # A key is hot when more than one in HOT_KEYS of all left rows carry it, so there
 # are fewer than HOT_KEYS hot keys whatever the size of the data.
 HOT_KEYS = 1000
@@ -58,3 +63,26 @@ def left_join_split_hot(
         .select(*left.columns, found.alias("_right"))
         .select(*left.columns, *[F.col(f"_right.{name}").alias(name) for name in added])
     )
+
+
+def member(keys: DataFrame, number: int, key: Column) -> Column:
+    """Whether the 64-bit hash ``key`` may be among the ``key`` column of ``keys``.
+
+    A bitmap of ``number`` keys at 16 bits each, and no more than 4 MB, which every
+    task gets as a literal. It lets every listed key pass and about one in 16 of the
+    others, more once the bound is reached; an exact join has to follow. Rows can
+    thus be dropped before they are shuffled, whatever the size of the other side.
+    """
+    bits = min(MOST_BITS, max(64, 1 << (BITS_PER_KEY * number - 1).bit_length()))
+    place = F.col("key").bitwiseAND(bits - 1)
+    slots = keys.select(place.alias("_place")).distinct().select(
+        F.shiftright("_place", 6).alias("id"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_place") % 64).cast("int")).alias("_bit"),
+    )
+    words = slots.groupBy("id").agg(F.bit_or("_bit").alias("_bits"))
+    every = keys.sparkSession.range(bits // 64).join(words, "id", "left")
+    filled = F.struct("id", F.coalesce("_bits", F.lit(0).cast("long")).alias("_bits"))
+    bitmap = every.agg(F.sort_array(F.collect_list(filled))["_bits"].alias("bitmap")).scalar()
+    own = key.bitwiseAND(bits - 1)
+    slot = F.get(bitmap, F.call_function("shiftright", own, F.lit(6)).cast("int"))
+    return F.getbit(slot, own % 64) == 1

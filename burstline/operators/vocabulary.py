@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from burstline.functions.wordlists import STOP_WORDS_BY_LANGUAGE
+from burstline.operators.joins import left_join_split_hot, member
+from burstline.operators.ranking import complete_rank, first_places
+from burstline.sources.layout import stored
 
 TOPICAL_POS = ("NOUN", "PROPN")
 DEFAULT_MIN_FREQ_RANK = 700
-#: Leading characters that split the words of one frequency.
-RANK_PREFIX = 3
-#: Tasks that the uses of one common word are spread over.
-SALTS = 16
+#: Words of a table that are looked up in place; they travel in the plan, a few bytes each.
+LITERAL_WORDS = 50_000
 ROUTES = {"en": "en"}
 DEFAULT_ROUTE = "nl"
 
@@ -53,47 +54,32 @@ def stop_words(
     return merged.distinct()
 
 
+def word_counts(tokens: DataFrame, lang: str = "lang") -> DataFrame:
+    """``lang, word, count`` of a table with a language and an array column ``tokens``."""
+    words = tokens.select(F.col(lang).alias("lang"), F.explode_outer("tokens").alias("word"))
+    return words.filter(F.col("word").isNotNull()).groupBy("lang", "word").count()
+
+
+def _rank_order() -> tuple[Column, ...]:
+    return F.desc("count"), F.asc("word")
+
+
 def freq_rank(tokens: DataFrame, lang: str = "lang") -> DataFrame:
     """Rank all words by corpus frequency within each language, commonest = 0.
 
-    ``tokens`` has a language column and an array column ``tokens``; words of
-    equal frequency are ranked by code point. No task sees a whole language: a
-    word's rank is the number of words with higher counts, plus those of its
-    count with a smaller beginning, plus its place among those that begin like
-    it. Only the first two are summed over, from one row per count and beginning.
+    Words of equal frequency are ranked by code point. Ranges of the whole sort key
+    are ranked, so neither a language nor the words of one use are one task's.
     """
-    counts = (
-        tokens.select(F.col(lang).alias("lang"), F.explode_outer("tokens").alias("word"))
-        .filter(F.col("word").isNotNull())
-        .groupBy("lang", "word")
-        .count()
-        .withColumn("_part", F.substring("word", 1, RANK_PREFIX))
-    )
-    parts = counts.groupBy("lang", "count", "_part").agg(F.count("*").alias("_size"))
-    by_part = Window.partitionBy("lang", "count").orderBy("_part")
-    within = parts.withColumn("_smaller", F.sum("_size").over(by_part) - F.col("_size"))
-    by_count = Window.partitionBy("lang").orderBy(F.desc("count"))
-    sizes = parts.groupBy("lang", "count").agg(F.sum("_size").alias("_size"))
-    above = sizes.withColumn("_above", F.sum("_size").over(by_count) - F.col("_size"))
-    above = above.select(
-        F.col("lang").alias("_lang"), F.col("count").alias("_count"), "_above"
-    )
-    offsets = within.join(
-        above,
-        within["lang"].eqNullSafe(F.col("_lang")) & (within["count"] == F.col("_count")),
-    ).select(
-        "_lang", "_count", F.col("_part").alias("_own"),
-        (F.col("_above") + F.col("_smaller")).alias("_offset"),
-    )
-    same = (
-        counts["lang"].eqNullSafe(F.col("_lang"))
-        & (counts["count"] == F.col("_count")) & (counts["_part"] == F.col("_own"))
-    )
-    in_part = Window.partitionBy("lang", "count", "_part").orderBy("word")
-    return counts.join(offsets, same).select(
-        "lang", "word", "count",
-        (F.col("_offset") + F.row_number().over(in_part) - 1).alias("rank"),
-    )
+    ranked = complete_rank(word_counts(tokens, lang), ["lang"], _rank_order())
+    return ranked.select("lang", "word", "count", (F.col("rank") - 1).alias("rank"))
+
+
+def top_words(
+    tokens: DataFrame, most: int = DEFAULT_MIN_FREQ_RANK, lang: str = "lang"
+) -> DataFrame:
+    """The rows of ``freq_rank`` with a rank below ``most``, without ranking the rest."""
+    ranked = first_places(word_counts(tokens, lang), ["lang"], _rank_order(), most)
+    return ranked.select("lang", "word", "count", (F.col("rank") - 1).cast("long").alias("rank"))
 
 
 def common_words(
@@ -103,7 +89,7 @@ def common_words(
 
     Dropped are ranks 1 to ``min_freq_rank - 1``; rank 0 and null are kept as
     unknown, and ``min_freq_rank=0`` drops nothing. This threshold alone bounds
-    the arrays.
+    the arrays. ``ranks`` may be all of ``freq_rank`` or the ``top_words``.
     """
     too_common = ranks.filter(F.col("rank").between(1, min_freq_rank - 1))
     return too_common.groupBy("lang").agg(F.collect_set("word").alias("common"))
@@ -146,39 +132,67 @@ def drop_words(
     keep: Sequence[str] = ("post_id", "created_at", "lang"),
     routes: Mapping[str, str] = ROUTES,
     default: str = DEFAULT_ROUTE,
+    literal_words: int = LITERAL_WORDS,
 ) -> DataFrame:
     """Remove the words of a ``(lang, word)`` table of any size from ``tokens``.
 
-    Each post's distinct words are matched against the table; only the hits are
-    gathered per post and joined back to the posts, whose token lists stay whole.
-    A common word's uses are spread by a salt, so the table is joined once per
-    salt. Hashtags never match. Posts that share their ``keep`` columns also
+    Up to ``literal_words`` listed words are fetched and looked up in place, as sets
+    in the expression: nothing is shuffled. A larger table is first cut to the words
+    that the tokens use, and these may be few enough. If they aren't, they go to
+    the uses as a bitmap of bounded size; only uses that pass it are joined with the
+    table, hot words apart, and only hits go back to the posts, whose token lists
+    stay whole. Hashtags never match. Posts that share their ``keep`` columns also
     share their language, and so what is removed from them.
     """
     keep = list(keep)
     table = (
-        listed.filter(~F.col("word").startswith("#"))
-        .select(
-            F.col("lang").alias("_route"), F.col("word").alias("_word"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-        )
+        listed.filter(~F.col("word").startswith("#") & F.col("lang").isNotNull())
+        .select(F.col("lang").alias("_route"), F.col("word").alias("_word"))
         .distinct()
     )
-    uses = tokens.select(
-        *keep,
-        route_language(F.col("lang"), routes, default).alias("_route"),
-        F.pmod(F.xxhash64(*keep), F.lit(SALTS)).cast("int").alias("_salt"),
-        F.explode(F.array_distinct("tokens")).alias("_word"),
-    )
-    hits = (
-        uses.join(table, ["_route", "_word", "_salt"])
-        .groupBy(*[F.col(c).alias(f"_of_{c}") for c in keep])
-        .agg(F.collect_set("_word").alias("_hits"))
+    routed = tokens.withColumn("_route", route_language(F.col("lang"), routes, default))
+    few = table.limit(literal_words + 1).collect()
+    if len(few) > literal_words:
+        uses = routed.select(*keep, "_route", F.explode(F.array_distinct("tokens")).alias("_word"))
+        uses = uses.filter(F.col("_word").isNotNull())
+        counts = uses.groupBy("_route", "_word").count()
+        used = stored(counts.join(table, ["_route", "_word"]), "used-words")
+        few = used.select("_route", "_word").limit(literal_words + 1).collect()
+        if len(few) > literal_words:
+            return _drop_joined(tokens, uses, used, keep)
+    listed_of: dict[str, list[str]] = {}
+    for route, word in few:
+        listed_of.setdefault(route, []).append(word)
+    left = F.col("tokens")
+    for route, words in listed_of.items():
+        among = ", ".join(map(_literal, words))
+        kept = F.expr(f"filter(tokens, w -> NOT coalesce(w IN ({among}), false))")
+        left = F.when(F.col("_route") == route, kept).otherwise(left)
+    return routed.select(*keep, left.alias("tokens"))
+
+
+def _literal(word: str) -> str:
+    """A word as SQL text; one with any unusual character by its bytes."""
+    if word.isalnum():
+        return f"'{word}'"
+    return f"CAST(X'{word.encode().hex()}' AS STRING)"
+
+
+def _drop_joined(
+    tokens: DataFrame, uses: DataFrame, used: DataFrame, keep: list[str]
+) -> DataFrame:
+    """``drop_words`` by a join: ``used`` are the listed words with their uses' number."""
+    key = F.xxhash64("_route", "_word")
+    passed = uses.filter(member(used.select(key.alias("key")), used.count(), key))
+    marked = used.select("_route", "_word", F.lit(True).alias("_listed"))
+    found = left_join_split_hot(passed, marked, ["_route", "_word"], used).filter("_listed")
+    hits = found.groupBy(*[F.col(c).alias(f"_of_{c}") for c in keep]).agg(
+        F.collect_set("_word").alias("_hits")
     )
     same = F.lit(True)
     for c in keep:
         same &= tokens[c].eqNullSafe(hits[f"_of_{c}"])
-    left = F.filter("tokens", lambda w: ~F.array_contains("_hits", w))
+    left = F.filter("tokens", lambda w: ~F.coalesce(F.array_contains("_hits", w), F.lit(False)))
     return tokens.join(hits, same, "left").select(
         *[tokens[c] for c in keep],
         F.when(F.col("_hits").isNull(), F.col("tokens")).otherwise(left).alias("tokens"),

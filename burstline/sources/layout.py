@@ -20,6 +20,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to a work folder and read it, which cuts its lineage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a stored table that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -270,7 +270,7 @@ def corpus_freq_rank(spark, sf):
 
 
 def _common(spark, sf):
-    return vocabulary.common_words(vocabulary.freq_rank(inputs.routed_words(spark, sf)))
+    return vocabulary.common_words(vocabulary.top_words(inputs.routed_words(spark, sf)))
 
 
 @query

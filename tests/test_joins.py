@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import left_join_split_hot
+from burstline.operators.joins import left_join_split_hot, member
 from conftest import plan_of
 
 
@@ -67,3 +67,21 @@ def test_two_keys_and_empty_left(spark):
     assert [tuple(r) for r in rows] == [(1, "a", 9, 0.5), (1, "b", 8, None)]
     none = left.limit(0)
     assert left_join_split_hot(none, right, ["x", "y"], counts.limit(0)).isEmpty()
+
+
+def test_member_keeps_all_listed_keys_and_few_others(spark):
+    listed = spark.range(0, 40_000, 7).select(F.xxhash64("id").alias("key"))
+    rows = spark.range(40_000).select("id", F.xxhash64("id").alias("key"))
+    passed = {r["id"] for r in rows.filter(member(listed, listed.count(), F.col("key"))).collect()}
+    own = set(range(0, 40_000, 7))
+    assert own <= passed
+    assert len(passed - own) < 0.1 * (40_000 - len(own))
+    none = spark.createDataFrame([], "key long")
+    assert rows.filter(member(none, 0, F.col("key"))).count() == 0
+
+
+def test_member_works_beyond_its_bound(spark, monkeypatch):
+    monkeypatch.setattr("burstline.operators.joins.MOST_BITS", 256)
+    listed = spark.range(100).select(F.xxhash64("id").alias("key"))
+    passed = listed.filter(member(listed, 100, F.col("key")))
+    assert passed.count() == 100

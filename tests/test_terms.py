@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -88,6 +90,45 @@ def test_posts_may_share_their_id(spark):
     assert sorted(got) == [["aa", "bb"], ["cc"]]
 
 
+def dropped_by(spark, rows, listed, **options):
+    tokens = spark.createDataFrame(rows, "post_id long, created_at timestamp, lang string, tokens array<string>")
+    table = spark.createDataFrame(listed, "lang string, word string")
+    return tokens, vocab.drop_words(tokens, table, **options)
+
+
+@pytest.mark.parametrize("literal_words", [50_000, 300, 0], ids=["literal", "used words", "join"])
+def test_drop_words_against_brute_force(spark, literal_words):
+    rng = random.Random(6)
+    pool = [f"w{i}" for i in range(400)] + ["#w1", "it's", "a\\b", "é", "", "\U0001f600"]
+    # one word in a third of all uses; one id is null, one list is
+    rows = [
+        (i or None, None, rng.choice(["en", "fr", None]),
+         [rng.choice([*pool, None]) if rng.random() > 0.3 else "hot" for _ in range(rng.randrange(40))])
+        for i in range(120)
+    ] + [(500, None, "en", None)]
+    listed = [(rng.choice(["en", "nl"]), w) for w in pool if rng.random() < 0.5]
+    listed += [("en", "hot"), ("en", "hot"), ("nl", "#w1"), ("xx", "w2"), (None, "w3")]
+    listed += [("en", f"never{i}") for i in range(200)]
+    drop = {(lang, w) for lang, w in listed if not w.startswith("#")}
+    expected = {
+        (i, tuple(w for w in tokens or () if ("en" if lang == "en" else "nl", w) not in drop))
+        for i, _, lang, tokens in rows
+    }
+    _, got = dropped_by(spark, rows, listed, literal_words=literal_words)
+    assert got.columns == ["post_id", "created_at", "lang", "tokens"]
+    assert {(r["post_id"], tuple(r["tokens"] or ())) for r in got.collect()} == expected
+
+
+def test_few_listed_words_are_dropped_without_a_shuffle(spark):
+    rows, listed = [(1, None, "en", ["a", "b"])], [("en", "a")]
+    assert "Exchange" not in plan_of(dropped_by(spark, rows, listed)[1])
+    joined = dropped_by(spark, rows, listed, literal_words=0)[1]
+    assert "getbit" in joined._jdf.queryExecution().toString()
+    for options in ({}, {"literal_words": 0}):
+        assert dropped_by(spark, [], listed, **options)[1].count() == 0
+        assert dropped_by(spark, rows, [], **options)[1].first()["tokens"] == ["a", "b"]
+
+
 def test_repeated_lexicon_entry_fails(spark):
     lexicon = spark.createDataFrame(
         [("en", "run", "NOUN", None), ("en", "run", "VERB", None)], LEXICON

@@ -8,7 +8,7 @@ a word the lexicon does not hold counts as topical.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -100,32 +100,58 @@ def drop_common(
     common: DataFrame,
     routes: Mapping[str, str] = ROUTES,
     default: str = DEFAULT_ROUTE,
+    literal_words: int = LITERAL_WORDS,
 ) -> DataFrame:
     """Remove each language's common words from the ``tokens`` arrays.
 
-    The broadcast side holds one row per table language named in ``routes``,
-    each an array of at most ``min_freq_rank`` words (see ``common_words``), so
-    its size does not depend on the corpus.
+    ``common`` holds one row per language with an array of its words (see
+    ``common_words``). Those of the languages named in ``routes`` are looked up in
+    place, as sets in the expression, if there are up to ``literal_words`` of
+    them. More are broadcast as arrays; the ``min_freq_rank`` that they come from bounds
+    their number, which does not depend on the corpus.
     """
     tables = sorted({*routes.values(), default})
     listed = common.filter(F.col("lang").isin(tables)).select(
         F.col("lang").alias("_route"), "common"
     )
+    routed = tokens.withColumn("_route", route_language(F.col("lang"), routes, default))
+    few = listed.select("_route", F.explode("common").alias("_word")).distinct()
+    few = few.limit(literal_words + 1).collect()
+    if len(few) <= literal_words:
+        return _drop_in_place(routed, few, tokens.columns)
     # The hits are used twice so that Catalyst computes them once per post and
     # not once per token.
     hits = F.array_intersect("tokens", "common")
     left = F.filter("tokens", lambda w: ~F.array_contains("_hits", w))
     untouched = F.coalesce(F.size("_hits"), F.lit(0)) <= 0
-    columns = tokens.columns
     return (
-        tokens.withColumn("_route", route_language(F.col("lang"), routes, default))
-        .join(F.broadcast(listed), "_route", "left")
+        routed.join(F.broadcast(listed), "_route", "left")
         .withColumn("_hits", hits)
         .withColumn("tokens", F.when(untouched, F.col("tokens")).otherwise(left))
-        .select(*columns)
+        .select(*tokens.columns)
     )
 
 
+def _drop_in_place(routed: DataFrame, few: Iterable, columns: Sequence[str]) -> DataFrame:
+    """Remove the ``(route, word)`` pairs ``few`` from the ``tokens`` of their ``_route``."""
+    listed: dict[str, list[str]] = {}
+    for route, word in few:
+        listed.setdefault(route, []).append(word)
+    left = F.col("tokens")
+    for route, words in listed.items():
+        among = ", ".join(map(_literal, words))
+        kept = F.expr(f"filter(tokens, w -> NOT coalesce(w IN ({among}), false))")
+        left = F.when(F.col("_route") == route, kept).otherwise(left)
+    return routed.select(*[left.alias(c) if c == "tokens" else F.col(c) for c in columns])
+
+
+def _literal(word: str) -> str:
+    """A word as SQL text; one with any unusual character by its bytes."""
+    if word.isalnum():
+        return f"'{word}'"
+    return f"CAST(X'{word.encode().hex()}' AS STRING)"
+
+
 def drop_words(
     tokens: DataFrame,
     listed: DataFrame,
@@ -160,22 +186,7 @@ def drop_words(
         few = used.select("_route", "_word").limit(literal_words + 1).collect()
         if len(few) > literal_words:
             return _drop_joined(tokens, uses, used, keep)
-    listed_of: dict[str, list[str]] = {}
-    for route, word in few:
-        listed_of.setdefault(route, []).append(word)
-    left = F.col("tokens")
-    for route, words in listed_of.items():
-        among = ", ".join(map(_literal, words))
-        kept = F.expr(f"filter(tokens, w -> NOT coalesce(w IN ({among}), false))")
-        left = F.when(F.col("_route") == route, kept).otherwise(left)
-    return routed.select(*keep, left.alias("tokens"))
-
-
-def _literal(word: str) -> str:
-    """A word as SQL text; one with any unusual character by its bytes."""
-    if word.isalnum():
-        return f"'{word}'"
-    return f"CAST(X'{word.encode().hex()}' AS STRING)"
+    return _drop_in_place(routed, few, [*keep, "tokens"])
 
 
 def _drop_joined(

@@ -54,6 +54,9 @@ def test_common_words_by_route(spark):
     ):
         common = vocab.common_words(ranks, threshold)
         assert tokens_of(terms.topical_tokens(df, stop_words=(), common=common)) == expected
+        tokens = terms.topical_tokens(df, stop_words=(), keep=("post_id", "lang"))
+        for few in (50_000, 0):
+            assert tokens_of(vocab.drop_common(tokens, common, literal_words=few)) == expected
 
 
 def test_lexicon_drops_by_pos_and_rank(spark):

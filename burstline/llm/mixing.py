@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from burstline.llm.repeats import row_hash
 from burstline.sources.layout import work_path
 
 #: Rest of a budget, in words, that is left to the dynamic programme at least ...
@@ -180,7 +181,7 @@ def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: floa
     drawn = F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit(seed))
     docs.select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), drawn.alias("drawn"),
-        F.xxhash64(F.col("doc_id").cast("string"), "text", "source").alias("key"),
+        _row_key(docs).alias("key"),
     ).write.parquet(path)
     sized = spark.read.parquet(path).withColumn(
         "part", F.shiftrightunsigned("drawn", 64 - (PARTS - 1).bit_length())
@@ -235,6 +236,12 @@ def mix(docs: DataFrame, share: float = 1.5, weights=(5.0, 2.0, 1.0), most: floa
     )
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """128 bits of hash of id, text and source, of which nulls are values of their own."""
+    own = (docs["doc_id"].cast("string"), docs["text"], docs["source"])
+    return F.struct(row_hash(*own).alias("a"), row_hash(*own, seed=1).alias("b"))
+
+
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix, each as often as it is taken, with the columns of ``docs``.
 
@@ -242,8 +249,7 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     columns of one of them.
     """
     names = list(docs.columns)
-    key = F.xxhash64(docs["doc_id"].cast("string"), docs["text"], docs["source"])
-    keyed = docs.select(F.struct(*names).alias("row"), key.alias("key"))
+    keyed = docs.select(F.struct(*names).alias("row"), _row_key(docs).alias("key"))
     own = docs.select("doc_id", "text", "source")
     chosen = mix(own, **options, keep_key=True).groupBy("key").agg(
         F.sum("copies").alias("copies")

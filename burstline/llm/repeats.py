@@ -22,10 +22,16 @@ from burstline.sources.layout import remove, work_path
 RUNS = "key long, variant long, uid long, doc long, lo long, n int"
 
 
+def row_hash(*columns: Column, seed: int = 0) -> Column:
+    """64-bit hash of values that also tells which of them are null."""
+    missing = [c.isNull() for c in columns]
+    return F.xxhash64(F.lit(seed), *columns, *missing)
+
+
 def row_names() -> tuple[Column, Column]:
     """``doc``, a row's id with null as the largest, and ``uid``, a hash of id and text."""
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
-    return rank, F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    return rank, row_hash(F.col("doc_id").cast("string"), F.col("text"))
 
 
 def with_uid(docs: DataFrame) -> DataFrame:

@@ -242,3 +242,16 @@ def test_sum_of_squares_rule():
         chosen = gaps.get(own, 10)
         assert options[chosen] == min(options.values())
         gaps[own] = chosen - n
+
+
+def test_rows_whose_nulls_change_places_are_different_rows(spark):
+    rows = [(1, None, "a"), (1, "a", None), (None, "1", "a"), (1, "x y", "b"), (1, "x y", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = {}
+    for r in mixing.mix(docs).collect():
+        copies[r["doc_id"], r["source"], r["size"]] = copies.get((r["doc_id"], r["source"], r["size"]), 0) + r["copies"]
+    got = {}
+    for r in mixing.mixed_rows(docs).collect():
+        own = (r["doc_id"], r["source"], len((r["text"] or "").split()))
+        got[own] = got.get(own, 0) + 1
+    assert got == {k: n for k, n in copies.items() if n}

@@ -8,18 +8,18 @@ counts and ranks a date's windows against all windows closed by then;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from burstline.operators import bursts
 from burstline.schemas import TERM_COUNTS
-from burstline.sources import layout
 from burstline.streaming.ingest import triggered
 
-TOTALS = "topic string, total long, windows long"
+CLOSED = f"{TERM_COUNTS}, total long, windows long, date date, batch long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -60,51 +60,51 @@ def start_append(
     return triggered(writer, every, available_now).start()
 
 
+def with_totals(counts: DataFrame, expire_days: float | None = None) -> DataFrame:
+    """``start_time, topic, count, total, windows`` of each closed count.
+
+    ``total`` and ``windows`` are the sum and the number of the topic's counts up to
+    the last one of the micro-batch. They are keyed state, two numbers per topic in the RocksDB
+    store (``use_rocksdb``), so a micro-batch reads and writes its own topics only.
+    See ``running_burst`` for ``expire_days``.
+    """
+    return _stateful(counts, expire_days).drop("own_total", "own_windows")
+
+
 def store_closed(closed: DataFrame, path: str, batch: int) -> None:
-    """Store the counts one micro-batch closed, in a folder of its own by date.
+    """Store the counts one micro-batch closed, by date and then by micro-batch.
 
-    A window closes in one micro-batch with all its topics, and a repeated
-    micro-batch overwrites its folder, so nothing is counted twice. A query
-    that starts over with a new checkpoint needs a new path.
+    ``closed`` is a micro-batch of ``with_totals``. A window closes in one
+    micro-batch with all its topics, and a repeated micro-batch overwrites its
+    folders, so nothing is counted twice. A query that starts over with a new
+    checkpoint needs a new path.
     """
-    start = F.col("time_window.start")
     closed.select(
-        start.alias("start_time"), "topic", "count", F.to_date(start).alias("date")
-    ).write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch}")
+        "start_time", "topic", "count", "total", "windows",
+        F.to_date("start_time").alias("date"), F.lit(batch).cast("long").alias("batch"),
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date", "batch"
+    ).parquet(path)
 
 
-def read_closed(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+def read_closed(
+    spark: SparkSession, path: str, since: str | None = None, dates: Sequence[date] | None = None
+) -> DataFrame:
     """Stored counts of the windows from ``since`` (a timestamp) on, or of all.
 
-    The columns ``batch`` and ``date`` are those of the folders.
+    With ``dates`` only the folders of these dates are listed and read. The columns
+    ``date`` and ``batch`` are those of the folders.
     """
-    schema = f"{TERM_COUNTS}, batch long, date date"
-    stored = spark.read.schema(schema).option("basePath", path).parquet(path)
+    reader = spark.read.schema(CLOSED).option("basePath", path)
+    if dates is not None:
+        return reader.parquet(*[f"{path}/date={d}" for d in dates])
+    stored = reader.parquet(path)
     if since is not None:
         start = F.lit(since).cast("timestamp")
         stored = stored.filter((F.col("date") >= F.to_date(start)) & (F.col("start_time") >= start))
     return stored
 
 
-def merge_totals(counts: DataFrame, path: str, batch: int) -> DataFrame:
-    """Add a micro-batch's counts to the totals per topic of the one before.
-
-    The totals, ``topic, total, windows``, lie in a folder per micro-batch, of
-    which the last two stay: a repeated micro-batch starts from the same totals.
-    """
-    spark = counts.sparkSession
-    totals = counts.select("topic", F.col("count").alias("total"), F.lit(1).cast("long").alias("windows"))
-    if batch > 0:
-        before = spark.read.schema(TOTALS).parquet(f"{path}/batch={batch - 1}")
-        totals = totals.unionByName(before)
-    totals.groupBy("topic").agg(
-        F.sum("total").alias("total"), F.sum("windows").alias("windows")
-    ).write.mode("overwrite").parquet(f"{path}/batch={batch}")
-    if batch > 1:
-        layout.remove(spark, f"{path}/batch={batch - 2}")
-    return spark.read.schema(TOTALS).parquet(f"{path}/batch={batch}")
-
-
 def start_trending(
     counts: DataFrame,
     counts_path: str,
@@ -118,24 +118,30 @@ def start_trending(
 ) -> StreamingQuery:
     """Store closed counts, and the trends of the dates that a micro-batch closed.
 
-    A topic's mean covers all windows closed so far, from totals that each
-    micro-batch adds to (next to the counts, in ``totals``). A micro-batch reads
-    the counts of its own dates only and replaces the trends of these dates;
-    those of other dates stay as they were when their last window closed.
+    A topic's mean covers all windows closed so far, from totals in keyed state.
+    A micro-batch reads the counts of its own dates only and replaces the trends of
+    these dates; those of other dates stay as they were when their last window
+    closed. So its work follows its own topics and dates, however many there were
+    before. The session needs the RocksDB state store (``use_rocksdb``).
     """
 
     def run(closed: DataFrame, batch: int) -> None:
         spark = closed.sparkSession
-        store_closed(closed, counts_path, batch)
-        stored = read_closed(spark, counts_path)
-        own = stored.filter(F.col("batch") == batch)
-        totals = merge_totals(own, f"{counts_path.rstrip('/')}-totals", batch)
-        dates = [r["date"] for r in own.select("date").distinct().collect()]
+        seen = Observation()
+        dated = closed.observe(seen, F.collect_set(F.to_date("start_time")).alias("dates"))
+        store_closed(dated, counts_path, batch)
+        dates = sorted(seen.get["dates"])
         if not dates:
             return
-        means = totals.select("topic", (F.col("total") / F.col("windows")).alias("avg_count"))
+        stored = read_closed(spark, counts_path, dates=dates)
+        # windows close in the order of time, so since a date's topic was stored
+        # last, it was in no other date but those of this micro-batch
+        last = stored.groupBy("topic").agg(
+            F.max_by(F.struct("total", "windows"), "batch").alias("last")
+        )
+        means = last.select("topic", (F.col("last.total") / F.col("last.windows")).alias("avg_count"))
         scored = bursts.with_burst_score(
-            stored.filter(F.col("date").isin(dates)).drop("batch").join(means, "topic")
+            stored.select("start_time", "topic", "count").join(means, "topic")
         )
         ranked = bursts.top_n(bursts.min_count_floor(scored, min_count), n)
         bursts.flatten_window(ranked, interval).withColumn(
@@ -145,7 +151,7 @@ def start_trending(
         ).parquet(trends_path)
 
     writer = (
-        counts.writeStream.option("checkpointLocation", checkpoint)
+        with_totals(counts).writeStream.option("checkpointLocation", checkpoint)
         .outputMode("append")
         .foreachBatch(run)
     )
@@ -157,55 +163,74 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def _running_mean(ttl_ms: int | None) -> StatefulProcessor:
-    class RunningMean(StatefulProcessor):
-        """Keeps (sum, windows) of one topic."""
+def _running_totals(expire_ms: int | None) -> StatefulProcessor:
+    class RunningTotals(StatefulProcessor):
+        """Keeps (sum, windows, last window) of one topic."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", "total long, windows long", ttl_ms)
-
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-            total, windows = self.seen.get() if self.seen.exists() else (0, 0)
-            for start, topic, count in sorted(
-                ((r["start_time"], r["topic"], r["count"]) for r in rows), key=lambda r: r[0]
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "total long, windows long, last long")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            total, windows, last = self.seen.get() if self.seen.exists() else (0, 0, None)
+            out = []
+            for at, start, topic, count in sorted(
+                (r["at"], r["start_time"], r["topic"], r["count"]) for r in rows
             ):
-                total, windows = total + count, windows + 1
+                if expire_ms is not None and last is not None and at - last > expire_ms:
+                    total, windows = 0, 0
+                total, windows, last = total + count, windows + 1, at
+                out.append((start, topic, count, total, windows))
+            self.seen.update((total, windows, last))
+            if expire_ms is not None:
+                for timer in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(timer)
+                self.handle.registerTimer(last + expire_ms)
+            for start, topic, count, own_total, own_windows in out:
                 yield Row(
-                    start_time=start, topic=topic, count=count, running_avg=total / windows
+                    start_time=start, topic=topic, count=count, total=total, windows=windows,
+                    own_total=own_total, own_windows=own_windows,
                 )
-            self.seen.update((total, windows))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            self.seen.clear()
+            return iter(())
 
         def close(self) -> None:
             pass
 
-    return RunningMean()
+    return RunningTotals()
+
+
+def _stateful(counts: DataFrame, expire_days: float | None) -> DataFrame:
+    expire_ms = None if expire_days is None else int(expire_days * 86_400_000)
+    rows = counts.select(
+        F.col("time_window.start").alias("start_time"), "topic", "count",
+        F.unix_millis(F.col("time_window.start")).alias("at"),
+        F.window_time("time_window").alias("event_time"),
+    )
+    return rows.groupBy("topic").transformWithState(
+        statefulProcessor=_running_totals(expire_ms),
+        outputStructType="start_time timestamp, topic string, count long, total long, "
+        "windows long, own_total long, own_windows long",
+        outputMode="Append",
+        timeMode="None" if expire_ms is None else "EventTime",
+    )
 
 
 def running_burst(counts: DataFrame, expire_days: float | None = None) -> DataFrame:
     """``start_time, topic, count, burst_score``: count over the mean so far.
 
     The mean covers the topic's windows up to and including this one, so a
-    topic's first window scores 1.0. State per topic is two numbers; the counts
-    are aggregated already, so a topic brings one row per window. ``expire_days``
-    forgets a topic that has brought no window for so many days of processing
-    time, so that state doesn't grow with all topics ever seen; one that comes
-    back starts anew. Such a query has to run at an interval: with ``available_now``
-    it would not end, as time alone brings it new batches. By default nothing
+    topic's first window scores 1.0. State per topic is two numbers and a time; the
+    counts are aggregated already, so a topic brings one row per window. With
+    ``expire_days`` a topic whose next window starts more than so many days of event
+    time later starts anew, and is forgotten once the watermark has passed that time,
+    so that state doesn't grow with all topics ever seen. By default nothing
     expires. The session needs the RocksDB state store (``use_rocksdb``).
     """
-    ttl = None if expire_days is None else int(expire_days * 86_400_000)
-    scored = (
-        counts.select(F.col("time_window.start").alias("start_time"), "topic", "count")
-        .groupBy("topic")
-        .transformWithState(
-            statefulProcessor=_running_mean(ttl),
-            outputStructType="start_time timestamp, topic string, count long, "
-            "running_avg double",
-            outputMode="Append",
-            timeMode="None" if ttl is None else "ProcessingTime",
-        )
-    )
+    scored = _stateful(counts, expire_days)
+    mean = F.col("own_total") / F.col("own_windows")
     return scored.select(
-        "start_time", "topic", "count",
-        F.round(F.col("count") / F.col("running_avg"), 2).alias("burst_score"),
+        "start_time", "topic", "count", F.round(F.col("count") / mean, 2).alias("burst_score")
     )

@@ -550,6 +550,14 @@ oracle("stream_running_burst", f"""
     SELECT start_time, topic, count, {s_round('count', 'so_far')} AS burst_score
     FROM (SELECT *, avg(count) OVER (PARTITION BY topic ORDER BY start_time) AS so_far
           FROM closed)""", "day_counts", extra=CLOSED_DAYS)
+oracle("stream_burst_expiring", f"""
+    SELECT start_time, topic, count, {s_round('count', 'so_far')} AS burst_score
+    FROM (SELECT *, avg(count) OVER (PARTITION BY topic, life ORDER BY start_time) AS so_far
+          FROM (SELECT *, sum(anew) OVER (PARTITION BY topic ORDER BY start_time) AS life
+                FROM (SELECT *, CASE WHEN start_time - lag(start_time) OVER (
+                          PARTITION BY topic ORDER BY start_time) > INTERVAL 3 DAYS
+                          THEN 1 ELSE 0 END AS anew FROM closed)))""", "day_counts",
+       extra=CLOSED_DAYS)
 oracle("stream_daily_avg", f"""
     SELECT day_start, topic, avg(count) AS avg_count, count(*) AS n_hours
     FROM (SELECT *, date_trunc('day', start_time) AS day_start

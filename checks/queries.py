@@ -588,6 +588,7 @@ def stream_term_counts(spark, sf):
 
 @query
 def stream_trending(spark, sf):
+    streams.use_rocksdb(spark)
     counts = streams.term_counts(inputs.event_term_stream(spark, sf), "day")
     path = layout.work_path(spark, "stream-trending")
     streams.start_trending(
@@ -607,6 +608,14 @@ def stream_running_burst(spark, sf):
     )
 
 
+@query
+def stream_burst_expiring(spark, sf):
+    streams.use_rocksdb(spark)
+    counts = streams.term_counts(inputs.event_term_stream(spark, sf), "day")
+    scored = streams.running_burst(counts, expire_days=3)
+    return _utc(_appended(spark, "stream-expiring", scored), "start_time")
+
+
 @query
 def stream_daily_avg(spark, sf):
     hourly = streams.term_counts(inputs.event_term_stream(spark, sf))

@@ -1,5 +1,5 @@
 import json
-import time
+from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
@@ -74,6 +74,7 @@ def test_closed_windows_equal_batch(spark, tmp_path):
 
 def test_trending_over_batches_and_rerun(spark, tmp_path, arriving):
     write, stream = arriving
+    streams.use_rocksdb(spark)
     paths = [str(tmp_path / name) for name in ("counts", "trends", "c")]
     write("a", [(T0, "x")] * 4 + [(T0, "y")] * 2 + [(T0 + hours(4), "x")])
     for name in ("b", None):
@@ -97,23 +98,45 @@ def test_trending_over_batches_and_rerun(spark, tmp_path, arriving):
     write("d", [(T0 + hours(100), "x")] * 9 + [(T0 + hours(200), "end")])
     run(streams.start_trending(streams.term_counts(stream), *paths, n=1, available_now=True))
     assert stored() == third | {(T0 + hours(100), "x"): (9, 2.25, 1)}
-    closed = spark.createDataFrame([(T0 + hours(4), "x", 1)], "s timestamp, topic string, count long")
-    again = closed.select(F.window("s", "1 hour").alias("time_window"), "topic", "count")
+    closed = spark.createDataFrame(
+        [(T0 + hours(4), "x", 1, 9, 3)], "start_time timestamp, topic string, count long, total long, windows long"
+    )
     before = streams.read_closed(spark, paths[0]).count()
-    streams.store_closed(again, paths[0], 99)
-    streams.store_closed(again, paths[0], 99)  # a repeated micro-batch
+    streams.store_closed(closed, paths[0], 99)
+    streams.store_closed(closed, paths[0], 99)  # a repeated micro-batch
     assert streams.read_closed(spark, paths[0]).count() == before + 1
+    one = streams.read_closed(spark, paths[0], dates=[T0.date()])
+    assert {r["start_time"] for r in one.collect()} == {T0 + hours(h) for h in (0, 4, 5, 9)}
     recent = streams.read_closed(spark, paths[0], since="2024-01-01 04:30:00")
     assert {r["start_time"] for r in recent.collect()} == {T0 + hours(h) for h in (5, 9, 50, 75, 100)}
 
 
-def test_totals_of_a_repeated_batch(spark, tmp_path):
-    path = str(tmp_path / "totals")
-    counts = [spark.createDataFrame([("x", n), ("y", 1)], "topic string, count long") for n in (3, 5, 7)]
-    for batch in (0, 1, 1, 2, 2):
-        got = {r["topic"]: (r["total"], r["windows"])
-               for r in streams.merge_totals(counts[batch], path, batch).collect()}
-    assert got == {"x": (15, 3), "y": (3, 3)}
+def test_a_micro_batch_reads_and_writes_its_own_topics(spark, tmp_path, arriving):
+    """Many restarts: totals go on, only the dates of a micro-batch are written again."""
+    write, stream = arriving
+    streams.use_rocksdb(spark)
+    paths = [str(tmp_path / name) for name in ("counts", "trends", "c")]
+    counts = defaultdict(int)
+    for day in range(6):
+        start = T0 + hours(24 * day)
+        rows = [(start, "always")] * (day + 2) + [(start, f"day{day}")] * 3
+        for t, topic in rows:
+            counts[t, topic] += 1
+        write(f"d{day}", rows)
+        query = run(streams.start_trending(
+            streams.term_counts(stream, "day"), *paths, interval="day", available_now=True
+        ))
+        state = [op for op in query.recentProgress[0]["stateOperators"] if "transformWithState" in op["operatorName"]]
+        closing = [p for p in query.recentProgress if p["stateOperators"]]
+        updated = sum(op["numRowsUpdated"] for p in closing for op in p["stateOperators"]
+                      if "transformWithState" in op["operatorName"])
+        assert state and updated <= 2 * (day > 0)
+    trends = {(r["start_time"], r["topic"]): r["burst_score"] for r in spark.read.parquet(paths[1]).collect()}
+    own = [day + 2 for day in range(4)]  # the watermark has not passed the fifth day
+    assert trends == {
+        **{(T0 + hours(24 * d), "always"): round(own[d] / (sum(own[: d + 1]) / (d + 1)) + 1e-9, 2) for d in range(4)},
+        **{(T0 + hours(24 * d), f"day{d}"): 1.0 for d in range(4)},
+    }
 
 
 def test_redelivered_posts_count_once(spark, tmp_path):
@@ -159,27 +182,24 @@ def test_posts_stream_to_archive_and_terms(spark, tmp_path):
     topics = {r["topic"] for r in spark.read.parquet(found).collect()}
     assert topics == {"storm", "sea", "#storm", "storm sea", "sea storm", "storm #storm"}
 
-def test_running_burst_may_expire(spark, tmp_path, arriving):
+
+def test_topics_expire_by_event_time(spark, tmp_path, arriving):
     write, stream = arriving
     streams.use_rocksdb(spark)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
-    scored = streams.running_burst(streams.term_counts(stream), expire_days=1 / 86_400)
-    query = streams.start_append(scored, out, checkpoint, every="1 second")
-    schema = "start_time timestamp, topic string, count long, burst_score double"
-
-    def found():
-        return spark.read.schema(schema).parquet(out).filter("topic = 'x'")
-
-    try:
-        for name, hour in (("a", 0), ("b", 6)):
-            write(name, [(T0 + hours(hour), "x")] * (hour + 2) + [(T0 + hours(hour + 4), "end")])
-            deadline = time.time() + 40
-            while time.time() < deadline:
-                time.sleep(2)
-                if (tmp_path / "out").exists() and found().count() == 1 + hour // 6:
-                    break
-            time.sleep(2)
-        scores = [r["burst_score"] for r in found().collect()]
-    finally:
-        query.stop()
-    assert scores == [1.0, 1.0]  # each time the topic is new
+
+    def step(name, rows):
+        write(name, rows)
+        scored = streams.running_burst(streams.term_counts(stream), expire_days=1)
+        query = run(streams.start_append(scored, out, checkpoint, available_now=True))
+        return [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]
+                if "transformWithState" in op["operatorName"]]
+
+    step("a", [(T0, "x")] * 2 + [(T0 + hours(20), "x")] * 4 + [(T0 + hours(23), "end")])
+    step("b", [(T0 + hours(60), "x")] * 8 + [(T0 + hours(61), "x")] * 2 + [(T0 + hours(64), "end")])
+    kept = step("c", [(T0 + hours(500), "y")])
+    kept = step("d", [(T0 + hours(600), "y")])
+    scores = {r["start_time"]: r["burst_score"] for r in spark.read.parquet(out).filter("topic = 'x'").collect()}
+    # after forty hours without it the topic starts anew
+    assert scores == {T0: 1.0, T0 + hours(20): 1.33, T0 + hours(60): 1.0, T0 + hours(61): 0.4}
+    assert kept and kept[0] <= 4  # all but the last topic are forgotten

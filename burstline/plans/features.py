@@ -5,32 +5,36 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burstline.operators import bursts
 from burstline.operators.joins import left_join_split_hot
+from burstline.operators.ranking import first_places
 
 FEATURES = ("count", "previous_count", "delta", "burst_ratio", "window_share")
 
 
-def trend_features(counts: DataFrame) -> DataFrame:
+def trend_features(counts: DataFrame, causal: bool = False) -> DataFrame:
     """Add the features of every (window, topic) count.
 
     ``previous_count`` is the topic's count in the last window it occurred in,
     zero at first; ``burst_ratio`` its count over its mean; ``window_share`` its
-    share of all occurrences in the window. A topic has one row per window, so
+    share of all occurrences in the window. The mean covers all windows of the topic
+    or, if ``causal``, those up to this one: a model of what comes next must not know
+    later windows. A topic has one row per window, so
     the windows over topics stay small. A time window can hold any number of
     topics, so its total is aggregated and joined, not computed over a frame.
     """
     by_topic = Window.partitionBy("topic")
     in_time = by_topic.orderBy("start_time")
+    mean_over = in_time.rowsBetween(Window.unboundedPreceding, 0) if causal else by_topic
     per_topic = counts.select(
         "start_time",
         "topic",
         "count",
         F.lag("count", 1, 0).over(in_time).alias("previous_count"),
-        (F.col("count") / F.avg("count").over(by_topic)).alias("burst_ratio"),
+        (F.col("count") / F.avg("count").over(mean_over)).alias("burst_ratio"),
     )
     totals = counts.groupBy("start_time").agg(
         F.sum("count").alias("window_total"), F.count("*").alias("n_topics")
@@ -48,7 +52,8 @@ def trend_features(counts: DataFrame) -> DataFrame:
 
 
 def labelled_features(
-    counts: DataFrame, n: int = 5, interval: str = "hour", min_count: int = 2
+    counts: DataFrame, n: int = 5, interval: str = "hour", min_count: int = 2,
+    causal: bool = False,
 ) -> DataFrame:
     """Features with ``label`` 1.0 if the topic is in the next window's top ``n``."""
     trends = bursts.trends_from_counts(counts, n, interval, min_count)
@@ -59,12 +64,37 @@ def labelled_features(
         F.lit(1.0).alias("label"),
     )
     return (
-        trend_features(counts)
+        trend_features(counts, causal)
         .join(next_up, ["start_time", "topic"], "left")
         .na.fill(0.0, ["label"])
     )
 
 
+def middle_window(labelled: DataFrame) -> Column:
+    """Start of the middle one of the data's windows, which splits them into two halves.
+
+    Windows are as many as the time span has, whatever the number of posts.
+    """
+    starts = F.sort_array(F.collect_set("start_time"))
+    middle = F.get(starts, F.floor(F.size(starts) / 2).cast("int"))
+    return labelled.agg(middle.alias("cut")).scalar()
+
+
+def hits_in_top(scored: DataFrame, labelled: DataFrame, n: int = 5) -> DataFrame:
+    """How well scores find the next trends: ``start_time, trends, hits`` per window.
+
+    ``trends`` counts the window's topics with label 1, ``hits`` those of them among the ``n`` highest
+    scores; ties go to the smaller topic.
+    """
+    order = (F.desc("score"), F.asc("topic"))
+    first = first_places(scored, ["start_time"], order, n).select("start_time", "topic", F.lit(1).alias("first"))
+    judged = labelled.select("start_time", "topic", "label").join(first, ["start_time", "topic"], "left")
+    right = F.col("label") > 0
+    return judged.groupBy("start_time").agg(
+        F.count_if(right).alias("trends"), F.count_if(right & F.col("first").isNotNull()).alias("hits")
+    )
+
+
 def train_classifier(
     labelled: DataFrame, max_iter: int = 20, reg_param: float = 0.01
 ) -> PipelineModel:

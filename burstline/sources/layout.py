@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,11 +81,67 @@ def archive(df: DataFrame, path: str, days: int = 30, ts: str = "created_at") ->
     write_partitioned(dated.withColumn("tier", tier), path, by=("tier", "dt"))
 
 
+def stored_dates(spark: SparkSession, path: str, tier: str) -> list[str]:
+    """The dates of a tier of a stored archive, from its folders' names alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/tier={tier}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(n.removeprefix("dt=") for n in names if n.startswith("dt="))
+
+
+def advance_archive(spark: SparkSession, path: str, days: int = 30) -> list[str]:
+    """Move the dates that have become too old to the archive tier; returns them.
+
+    ``path`` is what ``archive`` wrote, to which newer dates may have been added
+    since. Which dates are more than ``days`` older than the newest one is decided
+    from the folders' names, and only their folders are renamed: no row is read or
+    written, and a run without such a date changes nothing. A date that is in the archive
+    already gets the files of the current tier besides its own.
+    """
+    base = path.rstrip("/")
+    real = [d for d in stored_dates(spark, base, "current") if not d.startswith("__")]
+    newest = max(real + stored_dates(spark, base, "archive"), default=None)
+    if newest is None:
+        return []
+    limit = (date.fromisoformat(newest) - timedelta(days=days)).isoformat()
+    old = [d for d in real if d < limit]
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    for dt in old:
+        source, target = hadoop(f"{base}/tier=current/dt={dt}"), hadoop(f"{base}/tier=archive/dt={dt}")
+        if not fs.exists(target):
+            fs.mkdirs(target.getParent())
+            moved = fs.rename(source, target)
+        else:
+            files = [status.getPath() for status in fs.listStatus(source)]
+            moved = all(fs.rename(file, hadoop(target, file.getName())) for file in files)
+            moved = moved and fs.delete(source, True)
+        if not moved:
+            raise OSError(f"could not move {source} to {target}")
+    return old
+
+
 def register_view(df: DataFrame, name: str) -> None:
     """Make a result available to ``spark.sql`` in this session."""
     df.createOrReplaceTempView(name)
 
 
+def register_bucketed(
+    df: DataFrame, name: str, by: Sequence[str], buckets: int, fmt: str = "parquet"
+) -> None:
+    """Store a result as a catalog table, bucketed and sorted by columns.
+
+    Tables with the same buckets are joined and grouped by these columns without a
+    shuffle. Rows are dealt by the columns first, so that each bucket is one file.
+    """
+    (
+        df.repartition(buckets, *by)
+        .write.mode("overwrite").format(fmt).bucketBy(buckets, *by).sortBy(*by).saveAsTable(name)
+    )
+
+
 def register_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     """Store a result as a catalog table."""
     df.write.mode("overwrite").format(fmt).saveAsTable(name)

@@ -211,6 +211,8 @@ oracle("archive_split", """
            dt, event_id, user_id
     FROM (SELECT *, CAST(ts AS DATE) AS dt FROM events)""")
 
+ORACLE["archive_advance"] = ORACLE["archive_split"]
+
 # ------------------------------------------------------------------- text, per row
 
 for name, step in {
@@ -372,6 +374,7 @@ oracle("burst_join", f"""
     FROM day_counts JOIN (
         SELECT topic, avg(count) AS avg_count FROM day_counts GROUP BY topic) USING (topic)""",
        "day_counts")
+ORACLE["bucketed_join"] = ORACLE["burst_join"]
 oracle("min_count_floor", "SELECT * FROM day_scored WHERE count >= 4", "day_scored")
 
 ORDER = "PARTITION BY start_time ORDER BY burst_score DESC, count DESC, topic"
@@ -504,6 +507,8 @@ oracle("trend_given_weights", f"""
            CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction
     FROM (SELECT *, 1 / (1 + exp(-(-2.0 + delta * 0.5 + burst_ratio * 1.25))) AS p
           FROM ({ORACLE['trend_features']}))""")
+MIDDLE = """
+    SELECT list_sort(list(DISTINCT start_time))[count(DISTINCT start_time) // 2 + 1] AS cut FROM labelled"""
 oracle("trend_least_squares", """
     SELECT start_time, topic,
            round((mz - w1 * mx - w2 * my) + w1 * burst_ratio + w2 * previous_count, 6) AS score
@@ -517,8 +522,21 @@ oracle("trend_least_squares", """
                      sum(x * z) - sum(x) * sum(z) / count(*) AS sxz,
                      sum(y * z) - sum(y) * sum(z) / count(*) AS syz
               FROM (SELECT burst_ratio AS x, CAST(previous_count AS DOUBLE) AS y, label AS z
-                    FROM labelled WHERE start_time < TIMESTAMP '2024-01-16')))
-    WHERE start_time >= TIMESTAMP '2024-01-16'""", extra={"labelled": ORACLE["trend_labels"]})
+                    FROM labelled WHERE start_time < (SELECT cut FROM middle))))""",
+       extra={"labelled": ORACLE["trend_labels"], "middle": MIDDLE})
+CAUSAL = ORACLE["trend_features"].replace("count / avg_count", "count / so_far").replace(
+    "AS previous_count FROM", "AS previous_count, avg(count) OVER (PARTITION BY topic ORDER BY "
+    "start_time) AS so_far FROM")
+oracle("trend_features_causal", CAUSAL)
+# the same fit, on the causal features
+FITTED = ORACLE["trend_least_squares"].replace(ORACLE["trend_features"], CAUSAL)
+oracle("trend_evaluation", f"""
+    SELECT start_time, count(*) FILTER (WHERE label = 1) AS trends,
+           count(*) FILTER (WHERE label = 1 AND place <= 100) AS hits
+    FROM (SELECT *, row_number() OVER (PARTITION BY start_time ORDER BY score DESC, topic) AS place
+          FROM ({FITTED}) JOIN labelled USING (start_time, topic))
+    WHERE start_time >= (SELECT cut FROM middle) GROUP BY start_time""",
+       extra={"labelled": ORACLE["trend_labels"].replace(ORACLE["trend_features"], CAUSAL), "middle": MIDDLE})
 oracle("job_trending", """
     SELECT start_time AS timestamp_start, end_time AS timestamp_end, topic, count,
            burst_score, rank FROM trends""", "prepared_tokens",
@@ -567,3 +585,11 @@ oracle("stream_daily_avg", f"""
 oracle("stream_archive", """
     SELECT post_id, CAST(created_at AS DATE) AS dt, lang, created_at, cleaned_text
     FROM prepared""", "prepared")
+oracle("stream_metrics", """
+    SELECT 'read' AS metric, count(*) AS value FROM raw
+    UNION ALL SELECT 'dated', count(created_at) FROM raw
+    UNION ALL SELECT 'terms', count(*) FROM own_terms
+    UNION ALL SELECT 'closed', count(*) FROM counts WHERE start_time + INTERVAL 1 HOUR
+        <= (SELECT max(created_at) - INTERVAL 2 HOURS FROM own_terms)
+    UNION ALL SELECT 'late', 0""", "prepared_tokens", extra=PREPARED_TERMS)
+ORACLE["stream_archive_merged"] = ORACLE["stream_archive"]

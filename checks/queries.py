@@ -16,7 +16,7 @@ from burstline.operators import bursts, entities as ent, terms, vocabulary, weig
 from burstline.plans import etl, features, quality
 from burstline.plans.trending import post_terms, trending
 from burstline.sources import layout, posts as src, results
-from burstline.streaming import ingest, trends as streams
+from burstline.streaming import compaction, ingest, metrics, trends as streams
 from checks import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +160,25 @@ def archive_split(spark, sf):
     return spark.read.parquet(path).select("tier", "dt", "event_id", "user_id")
 
 
+@query
+def archive_advance(spark, sf):
+    # Stored with a later limit first, then the dates between the limits are moved.
+    path = layout.work_path(spark, "tiers")
+    layout.archive(inputs.table(spark, sf, "events"), path, days=14, ts="ts")
+    layout.advance_archive(spark, path, days=7)
+    return spark.read.parquet(path).select("tier", "dt", "event_id", "user_id")
+
+
+@query
+def bucketed_join(spark, sf):
+    counts, names = _day_counts(spark, sf), []
+    for table in (counts, bursts.topic_averages(counts)):
+        names.append(f"burstline_buckets_{uuid.uuid4().hex}")
+        layout.register_bucketed(table, names[-1], ["topic"], 8)
+    joined = spark.sql(f"SELECT * FROM {names[0]} JOIN {names[1]} USING (topic)")
+    return bursts.with_burst_score(joined)
+
+
 # ------------------------------------------------------------------- text, per row
 
 
@@ -508,7 +527,9 @@ def trend_labels(spark, sf):
 def trend_classifier(spark, sf):
     # Training reads its input many times, so it is stored once.
     path = layout.work_path(spark, "labelled-features")
-    features.labelled_features(_day_counts(spark, sf), interval="day").write.parquet(path)
+    features.labelled_features(
+        _day_counts(spark, sf), interval="day", causal=True
+    ).write.parquet(path)
     labelled = spark.read.parquet(path)
     return features.classify(features.train_classifier(labelled), labelled)
 
@@ -520,15 +541,29 @@ def trend_given_weights(spark, sf):
     return scored.withColumn("probability", F.round("probability", 9))
 
 
+def _fitted(labelled):
+    """Scores of all windows by a fit to those before the middle one."""
+    before = labelled.filter(F.col("start_time") < features.middle_window(labelled))
+    return features.fitted_scores(before, labelled).withColumn("score", F.round("score", 6))
+
+
 @query
 def trend_least_squares(spark, sf):
-    # Earlier windows teach, later ones are scored.
-    labelled = features.labelled_features(_day_counts(spark, sf), interval="day")
-    cut = F.lit("2024-01-16").cast("timestamp_ntz")
-    scored = features.fitted_scores(
-        labelled.filter(F.col("start_time") < cut), labelled.filter(F.col("start_time") >= cut)
-    )
-    return scored.withColumn("score", F.round("score", 6))
+    return _fitted(features.labelled_features(_day_counts(spark, sf), interval="day"))
+
+
+@query
+def trend_features_causal(spark, sf):
+    return features.trend_features(_day_counts(spark, sf), causal=True)
+
+
+@query
+def trend_evaluation(spark, sf):
+    # Earlier windows teach, later ones are judged, by features of their past alone.
+    labelled = features.labelled_features(_day_counts(spark, sf), interval="day", causal=True)
+    later = labelled.filter(F.col("start_time") >= features.middle_window(labelled))
+    scored = _fitted(labelled).join(later.select("start_time", "topic"), ["start_time", "topic"])
+    return features.hits_in_top(scored, later, 100)
 
 
 @query
@@ -646,3 +681,38 @@ def stream_archive(spark, sf):
         lambda p, c: ingest.start_archive(zoned, p, c, available_now=True),
     )
     return stored.select("post_id", "dt", "lang", "created_at", "cleaned_text")
+
+
+@query
+def stream_metrics(spark, sf):
+    raw = metrics.counted(ingest.stream_posts(spark, inputs.raw_json(spark, sf)), "read")
+    dated = metrics.counted(src.prepare_posts(raw), "dated")
+    found = metrics.counted(post_terms(dated), "terms")
+    counts = metrics.counted(streams.term_counts(found), "closed")
+    path, listener = layout.work_path(spark, "stream-metrics"), metrics.BatchMetrics()
+    spark.streams.addListener(listener)
+    try:
+        started = streams.start_append(counts, f"{path}/rows", f"{path}/checkpoint", available_now=True)
+        started.awaitTermination()
+        listener.wait_for(started)
+    finally:
+        spark.streams.removeListener(listener)
+    return listener.take(spark).groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+@query
+def stream_archive_merged(spark, sf):
+    # Two deliveries, each a micro-batch; merged in between and after.
+    path = layout.work_path(spark, "stream-merged")
+    raw = inputs.raw_posts(spark, sf)
+    even = F.col("twitter.id").cast("long") % 2 == 0
+    for number, part in enumerate((raw.filter(even), raw.filter(~even))):
+        part.write.json(f"{path}/in/{number}")
+        posts = src.prepare_posts(ingest.stream_posts(spark, f"{path}/in/*"))
+        zoned = posts.withColumn("created_at", inputs.as_utc(F.col("created_at")))
+        ingest.start_archive(
+            zoned, f"{path}/rows", f"{path}/checkpoint", available_now=True
+        ).awaitTermination()
+        compaction.merge_dates(spark, f"{path}/rows", least=1 + number)
+    stored = compaction.read_archive(spark, f"{path}/rows")
+    return stored.select("post_id", "dt", "lang", "created_at", "cleaned_text")

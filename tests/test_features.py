@@ -75,3 +75,24 @@ def test_classifier_after_an_observation(spark):
     labelled = features.labelled_features(counts(spark), n=3, interval="day")
     scored = features.classify(features.train_classifier(labelled), labelled)
     assert scored.count() == 480 and len(scored.collect()) == 480
+
+
+def test_causal_features_do_not_know_later_windows(spark):
+    whole = counts(spark)
+    early = whole.filter(F.col("start_time") < DAY + timedelta(days=6))
+    seen = {tuple(r) for r in features.trend_features(early, causal=True).collect()}
+    later = features.trend_features(whole, causal=True).filter(F.col("start_time") < DAY + timedelta(days=6))
+    assert {tuple(r) for r in later.collect()} == seen
+    assert {r["burst_ratio"] for r in features.trend_features(whole, causal=True)
+            .filter(F.col("start_time") == DAY).collect()} == {1.0}
+
+
+def test_middle_window_and_hits(spark):
+    whole = counts(spark)
+    cut = whole.select(features.middle_window(whole).alias("cut")).first()["cut"]
+    assert cut == DAY + timedelta(days=6)
+    rows = [(DAY, "a", 1.0, 0.5), (DAY, "b", 0.0, 0.5), (DAY, "c", 1.0, 0.4), (DAY, "d", 1.0, None)]
+    df = spark.createDataFrame(rows, "start_time timestamp_ntz, topic string, label double, score double")
+    scored = df.select("start_time", "topic", "score")
+    for n, hits in ((1, 1), (2, 1), (3, 2), (9, 3)):
+        assert [tuple(r) for r in features.hits_in_top(scored, df, n).collect()] == [(DAY, 3, hits)]

@@ -72,6 +72,43 @@ def test_catalog(spark):
     assert spark.table("burstline_test_table").count() == 200
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    left = posts(spark).select("post_id", "lang")
+    right = left.select("post_id", (F.col("post_id") * 2).alias("double"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name, df in (("burstline_left", left), ("burstline_right", right)):
+            layout.register_bucketed(df, name, ["post_id"], 4)
+        joined = spark.table("burstline_left").join(spark.table("burstline_right"), "post_id")
+        assert "Exchange" not in plan_of(joined)
+        assert "Exchange" not in plan_of(joined.groupBy("post_id").count())
+        assert joined.filter("double = 2 * post_id").count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_archive_advances_by_folders(spark, tmp_path):
+    path = str(tmp_path / "tiers")
+    undated = spark.createDataFrame([(900, "en", None)], posts(spark).schema)
+    layout.archive(posts(spark).unionAll(undated), path, days=3)
+    assert layout.stored_dates(spark, path, "archive") == []
+    days = [f"2024-01-0{d}" for d in (1, 2, 3, 4)]
+    kept = {f.name for f in (tmp_path / "tiers").rglob("*.parquet")}
+    assert layout.advance_archive(spark, path, days=1) == days[:2]
+    assert layout.advance_archive(spark, path, days=1) == []
+    assert layout.stored_dates(spark, path, "archive") == days[:2]
+    assert {f.name for f in (tmp_path / "tiers").rglob("*.parquet")} == kept  # nothing was written anew
+    # a date that comes again joins what the archive has of it
+    again = posts(spark).filter("day(created_at) = 1").withColumn("tier", F.lit("current"))
+    layout.with_date(again).write.mode("append").partitionBy("tier", "dt").parquet(path)
+    assert layout.advance_archive(spark, path, days=1) == days[:1]
+    stored = spark.read.parquet(path)
+    assert stored.count() == 201 + again.count()
+    assert {r["d"] for r in stored.filter("tier = 'archive'").select(F.day("dt").alias("d")).collect()} == {1, 2}
+    assert layout.advance_archive(spark, str(tmp_path / "none"), days=1) == []
+
+
 def test_work_paths_are_new_and_under_the_given_folder(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     paths = {layout.work_path(spark, "x") for _ in range(3)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from burstline.operators import bursts
 from burstline.plans.trending import post_terms
 from burstline.sources import posts as src
-from burstline.streaming import ingest, trends as streams
+from burstline.streaming import compaction, ingest, metrics, trends as streams
 from checks import inputs
 
 SF = "/root/testdata/sf0.001"
@@ -203,3 +203,62 @@ def test_topics_expire_by_event_time(spark, tmp_path, arriving):
     # after forty hours without it the topic starts anew
     assert scores == {T0: 1.0, T0 + hours(20): 1.33, T0 + hours(60): 1.0, T0 + hours(61): 0.4}
     assert kept and kept[0] <= 4  # all but the last topic are forgotten
+
+
+def test_metrics_of_each_micro_batch(spark, tmp_path, arriving):
+    write, stream = arriving
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    listener = metrics.BatchMetrics()
+    spark.streams.addListener(listener)
+    found = []
+    try:
+        for name, rows in (("a", [(T0, "x"), (T0 + hours(5), "y")]), ("b", [(T0, "late"), (T0 + hours(9), "z")])):
+            write(name, rows)
+            counts = metrics.counted(streams.term_counts(metrics.counted(stream, "read")), "closed")
+            query = run(streams.start_append(counts, out, checkpoint, available_now=True))
+            assert listener.wait_for(query)
+            got = listener.take(spark)
+            assert got.columns == ["query", "batch", "metric", "value"]
+            found.append({m: sum(r["value"] for r in got.collect() if r["metric"] == m)
+                          for m in ("read", "closed", "late")})
+    finally:
+        spark.streams.removeListener(listener)
+    assert found == [{"read": 2, "closed": 1, "late": 0}, {"read": 2, "closed": 1, "late": 1}]
+    assert listener.take(spark).isEmpty()
+
+
+def test_archive_is_merged_beside_the_stream(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+
+    def files():
+        return len([f for f in out.rglob("*.parquet") if "_merging" not in str(f)])
+
+    def deliver(n, days):
+        for day in days:
+            record = {"interaction": {"content": f"post {n}"}, "language": {"tag": "en" if n % 2 else None}, "twitter": {
+                "id": f"{n}-{day}", "created_at": f"Sat, 0{day} Feb 2012 09:38:03 +0000"}}
+            (folder / f"{n}-{day}.json").write_text(json.dumps(record))
+        posts = src.prepare_posts(ingest.stream_posts(spark, str(folder)))
+        run(ingest.start_archive(posts, str(out), str(tmp_path / "c"), available_now=True))
+
+    def ids():
+        return sorted(r["post_id"] for r in compaction.read_archive(spark, str(out)).collect())
+
+    assert compaction.read_archive(spark, str(out)) is None
+    for n in range(4):
+        deliver(n, [4, 5] if n < 3 else [5])
+    expected, before = ids(), files()
+    assert len(expected) == 7 and before == 7
+    assert compaction.merge_dates(spark, str(out), ["2012-02-04"], clean=False) == ["2012-02-04"]
+    assert ids() == expected and files() == before + 2  # both versions are there, one is read
+    assert compaction.merge_dates(spark, str(out)) == ["2012-02-05"]
+    assert ids() == expected
+    deliver(9, [5])
+    assert len(ids()) == 8
+    assert compaction.merge_dates(spark, str(out)) == ["2012-02-05"]
+    assert compaction.merge_dates(spark, str(out)) == []
+    assert len(ids()) == 8
+    one = compaction.read_archive(spark, str(out), ["2012-02-05"])
+    assert one.count() == 5 and {str(r["dt"]) for r in one.collect()} == {"2012-02-05"}
+    assert len(list((out / "merged" / "dt=2012-02-05").rglob("*.parquet"))) == 2

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burstline.llm.repeats import RUNS, fetch_plan, shared_runs, stored, with_uid
-from burstline.llm.textbytes import flat, mix, range_hash, signed, span_hash, steps, words
+from burstline.llm.textbytes import flat, mix, range_hash, signed, steps, words
+from burstline.llm.wordkeys import word_keys
 
 #: Rounds of run and pair naming; the symbols of the last one serve as anchors.
 ROUNDS = 3
@@ -153,7 +154,7 @@ def _windows_runs(window: int, rounds: int):
         for batch in steps(batches):
             data, offsets = flat(batch.column("text"))
             begin, end, bounds = words(data, offsets)
-            names = span_hash(data, begin, end)
+            names = word_keys(data, begin, end)
             starts, key, place = anchors(names, bounds, window, rounds)
             if not len(starts):
                 continue
@@ -186,7 +187,7 @@ def _read_windows(window: int):
         for batch in steps(batches):
             data, offsets = flat(batch.column("text"))
             begin, end, bounds = words(data, offsets)
-            names = span_hash(data, begin, end)
+            names = word_keys(data, begin, end)
             places = batch.column("places")
             row = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy())
             items = places.flatten()

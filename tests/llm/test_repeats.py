@@ -161,3 +161,19 @@ def test_suffix_arrays():
             while max(a, b) + same < len(text) and text[a + same] == text[b + same]:
                 same += 1
             assert min(shared[b], most) == min(same, most)
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_polynomial_hashes_confuse_stay(spark, size):
+    odd = ["".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(size)) for swap in (0, 1)]
+    rest = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{rest} {odd[0]}"), (2, f"{rest} {odd[1]}")]
+    got = recompression.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50)
+    assert {r.doc_id: r.n_removed for r in got.collect()} == {1: 0, 2: 60}
+
+
+@pytest.mark.parametrize("remove, size", [(recompression.remove_repeats, 50), (suffixes.remove_repeats, 400)])
+def test_rows_whose_nulls_change_places_are_different_texts(spark, remove, size):
+    rows = [(1, None), (None, "1"), (2, "1 " * 700)]
+    got = remove(spark.createDataFrame(rows, "doc_id long, text string"), size)
+    assert sorted(r.doc_id or 0 for r in got.collect()) == [0, 1, 2]

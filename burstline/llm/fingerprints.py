@@ -349,9 +349,11 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         "asked",
     )
     texts = rows.groupBy("uid").agg(
-        F.first("text").alias("text"), F.first("doc_id").alias("doc_id"), F.count("*").alias("times")
+        F.first(F.struct("text", "doc_id")).alias("row"), F.count("*").alias("times")
     )
-    given = texts.select("uid", "text").join(asked, texts["uid"] == asked["next_key"]).select(
+    # a condition on all columns, so that both uses of the texts share one shuffle
+    texts = texts.filter("times > 0").select("uid", "row.text", "row.doc_id", "times")
+    given = texts.join(asked, texts["uid"] == asked["next_key"]).select(
         F.col("asker").alias("uid"),
         F.substr("text", F.lit(1), F.col("half").cast("int")).alias("given"),
         digests(F.col("text")).alias("next"),

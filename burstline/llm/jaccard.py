@@ -34,12 +34,16 @@ from pyspark.sql import functions as F
 
 from burstline.llm.components import components
 from burstline.llm.exact import normalised
-from burstline.llm.repeats import one_each, row_names, stored, with_uid
-from burstline.llm.textbytes import LOWER, flat, mix, signed, span_hash, steps, words
+from burstline.llm.repeats import one_each, row_names, stored, with_uid, write
+from burstline.llm.textbytes import LOWER, flat, mix, signed, steps, words
+from burstline.llm.wordkeys import word_keys
+from burstline.sources.layout import remove
 
 #: Bytes of a packed shingle besides its owner; with up to 2**19 owners and five
 #: bits for the frequency they make a code of 64 bits.
 PACKED = 5
+#: Shingles that an owner holds on average, about 40 bytes each while it counts them.
+OWNED = 1 << 21
 #: Largest size that is considered for light nodes.
 LIGHT = 12
 #: Cost of a list's entry against a subset's row: it is scanned, paired and compared.
@@ -54,7 +58,7 @@ def shingles(texts: pa.Array, size: int):
     """
     data, offsets = flat(texts)
     begin, end, bounds = words(data, offsets)
-    names = span_hash(LOWER[data], begin, end)
+    names = word_keys(LOWER[data], begin, end)
     count = np.diff(bounds)
     made = np.where(count >= size, count - size + 1, (count > 0).astype(np.int64))
     row = np.repeat(np.arange(len(count)), made)
@@ -74,7 +78,7 @@ def shingles(texts: pa.Array, size: int):
 
 
 def _sets(size: int):
-    """``uid, doc, n, node``: the size of each set and a hash of all of it."""
+    """``uid, doc, nameless, n, node``: the size of each set and a hash of all of it."""
 
     def make(batches: Iterator[pa.RecordBatch]):
         for batch in steps(batches):
@@ -89,8 +93,8 @@ def _sets(size: int):
                 pa.binary(16), len(n), [None, pa.py_buffer(node)]
             ).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("doc"), pa.array(n), nodes],
-                ["uid", "doc", "n", "node"],
+                [*(batch.column(c) for c in ("uid", "doc", "nameless")), pa.array(n), nodes],
+                ["uid", "doc", "nameless", "n", "node"],
             )
 
     return make
@@ -219,13 +223,17 @@ def light_bound(sizes: dict[int, int]) -> int:
 
 
 def _postings(light: int):
-    """Rows ``token, c, node, n``: subsets of light nodes (c > 0) and list entries (c = 0)."""
+    """Rows ``token, c, node, n, rest``: subsets of light nodes (c > 0), list entries (c = 0).
+
+    ``rest`` is how many of the node's shared shingles an entry's own and those after
+    it are: what can be common with a node whose first common shingle this is.
+    """
 
     def post(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for begin in range(0, batch.num_rows, 2000):
                 part = batch.slice(begin, 2000)
-                token, size, owner = [], [], []
+                token, size, owner, rest = [], [], [], []
                 for i, (n, raw) in enumerate(
                     zip(part.column("n").to_pylist(), part.column("codes").to_pylist())
                 ):
@@ -234,6 +242,7 @@ def _postings(light: int):
                         prefix = mix(own[: max(0, len(own) - -(-3 * n // 4) + 1)])
                         token.append(prefix)
                         size.append(np.zeros(len(prefix), np.int32))
+                        rest.append(len(own) - np.arange(len(prefix)))
                     if n <= light:
                         for c in subset_sizes(n):
                             if c > len(own):
@@ -244,6 +253,7 @@ def _postings(light: int):
                                 value = mix(value * np.uint64(0x9E3779B97F4A7C15) ^ mix(column))
                             token.append(value)
                             size.append(np.full(len(value), c, np.int32))
+                            rest.append(np.zeros(len(value), np.int64))
                     owner.append(sum(map(len, token)))
                 if not token:
                     continue
@@ -253,13 +263,38 @@ def _postings(light: int):
                     [
                         pa.array(signed(np.concatenate(token))), pa.array(np.concatenate(size)),
                         part.column("node").take(entry), part.column("n").take(entry),
+                        pa.array(np.concatenate(rest).astype(np.int32)),
                     ],
-                    ["token", "c", "node", "n"],
+                    ["token", "c", "node", "n", "rest"],
                 )
 
     return post
 
 
+def _prefixes(light: int):
+    """Rows ``node, tokens, l``: the tokens of a node's list entries in order, and its shared shingles."""
+
+    def cut(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            sets = [np.frombuffer(raw, "<u8") for raw in batch.column("codes").to_pylist()]
+            n = batch.column("n").to_pylist()
+            tokens = [
+                signed(mix(own[: max(0, len(own) - -(-3 * k // 4) + 1)])) if 4 * k > 3 * light else own[:0].view("<i8")
+                for own, k in zip(sets, n)
+            ]
+            ends = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
+            values = np.concatenate([np.empty(0, np.int64), *tokens])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+                    pa.array([len(own) for own in sets], pa.int32()),
+                ],
+                ["node", "tokens", "l"],
+            )
+
+    return cut
+
+
 def _overlap(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         common = [
@@ -278,7 +313,7 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("codes").alias("cb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     counted = both.select("a", "b", "na", "nb", "ca", "cb").mapInArrow(
-        _overlap, "a binary, b binary, na long, nb long, common long"
+        _overlap, "a long, b long, na long, nb long, common long"
     )
     union = F.col("na") + F.col("nb") - F.col("common")
     return counted.select(
@@ -288,8 +323,14 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def shared_sets(docs: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """Nodes that may link: ``node, n, codes`` with their shared shingles in order."""
+    """Nodes that may link: ``node, n, codes`` with their shared shingles in order.
+
+    There are as many owners as shuffle partitions, or more, so that the hash range
+    of each has ``OWNED`` shingles on average.
+    """
+    made = sets.agg(F.sum("n")).first()[0] or 0
     owners = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    owners = min(1 << 19, max(owners, made // OWNED + 1))
     sent = docs.select("uid", "text").mapInArrow(
         _send(size, owners),
         "owner int, chunk long, uids binary, counts binary, codes binary",
@@ -309,12 +350,18 @@ def _merge(links: DataFrame) -> DataFrame:
 
 
 def link_nodes(sets: DataFrame) -> DataFrame:
-    """``node, root`` of the nodes that link with another; ``sets`` has ``node, n, codes``."""
+    """``node, root`` of the nodes that link with another; ``sets`` has ``node, n, codes``.
+
+    Nodes are numbers. Tables between the steps are deleted when the next ones are
+    written.
+    """
+    spark = sets.sparkSession
     counts = sets.filter(F.col("n") <= 2 * LIGHT).groupBy("n").count().collect()
     light = light_bound({r["n"]: r["count"] for r in counts})
-    posted = stored(
-        sets.mapInArrow(_postings(light), "token long, c int, node binary, n long"), "postings"
+    posted_path = write(
+        sets.mapInArrow(_postings(light), "token long, c int, node long, n long, rest int"), "postings"
     )
+    posted = spark.read.parquet(posted_path)
     subsets = posted.filter("c > 0")
     least = subsets.groupBy("c", "token").agg(
         F.min(F.struct("n", "node")).alias("m"), F.count("*").alias("k")
@@ -326,7 +373,8 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     lists = posted.filter("c = 0")
     firsts = lists.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     firsts = firsts.filter("a <> z").select("token", "a")
-    lists = stored(lists.join(firsts, "token").select("token", "a", "node", "n"), "lists")
+    lists_path = write(lists.join(firsts, "token").select("token", "a", "node", "n", "rest"), "lists")
+    lists = spark.read.parquet(lists_path)
 
     # first, each node against the one first node that it shares most lists with
     stars = lists.filter("a <> node").groupBy("a", "node").agg(F.count("*").alias("k"))
@@ -335,6 +383,7 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     compared = stored(compare(nearest, sets), "compared")
     linked = of_light.unionAll(compared.filter("linked").select("a", "b"))
     roots = _merge(stored(linked, "linked"))
+    remove(spark, posted_path)
 
     # then against the first nodes of all lists that still hold several components
     open_ = _open(lists, roots)
@@ -347,13 +396,26 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     more = compared.filter("linked").select("a", "b")
     roots = _merge(_as_links(roots).unionAll(more))
 
-    # last, every pair of a list across components, but for those too far apart
+    # last, every pair of a list across components, but for those too far apart, and
+    # those that would have too little in common from this shingle on: the first
+    # common shingle of a pair that links leaves enough on both sides. A pair is made
+    # at its first common shingle alone, so that long shared passages don't multiply it
     far = compared.select("a", F.col("b").alias("node"), "distance")
     own = F.when(F.col("a") == F.col("node"), F.lit(0.0))
     open_ = stored(
         _open(lists, roots).join(far, ["a", "node"], "left")
         .withColumn("distance", F.coalesce(own, "distance"))
-        .select("token", "node", "n", "root", "distance"),
+        .select("token", "node", "n", "rest", "root", "distance"),
+        "open",
+    )
+    remove(spark, lists_path)
+    prefixes = sets.join(open_.select("node").distinct(), "node", "left_semi").select(
+        "node", "n", "codes"
+    ).mapInArrow(_prefixes(light), "node long, tokens array<long>, l int")
+    open_ = stored(
+        open_.join(prefixes, "node").withColumn(
+            "before", F.slice("tokens", F.lit(1), F.col("l") - F.col("rest"))
+        ).drop("tokens", "l"),
         "open",
     )
     x, y = open_.alias("x"), open_.alias("y")
@@ -362,6 +424,8 @@ def link_nodes(sets: DataFrame) -> DataFrame:
         y,
         (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
         & F.coalesce(near, F.lit(True))
+        & (7 * F.least("x.rest", "y.rest") >= 3 * (F.col("x.n") + F.col("y.n")))
+        & ~F.arrays_overlap("x.before", "y.before")
         & (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n")),
     ).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
@@ -387,16 +451,23 @@ def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _linked(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """The stored set of every row, ``uid, doc, n, node``, and the roots of linked nodes."""
+    """The stored set of every row, ``uid, doc, nameless, n, node``, and the roots of linked nodes."""
     own = with_uid(docs)
+    nameless = F.col("doc_id").isNull().alias("nameless")
     sets = stored(
-        own.select("uid", "doc", "text").mapInArrow(
-            _sets(size), "uid long, doc long, n long, node binary"
+        own.select("uid", "doc", nameless, "text").mapInArrow(
+            _sets(size), "uid long, doc long, nameless boolean, n long, node binary"
         ),
         "sets",
     )
-    candidates = stored(shared_sets(own, sets, size), "candidates")
-    return sets, link_nodes(candidates)
+    candidates = stored(
+        shared_sets(own, sets, size).withColumn("id", F.monotonically_increasing_id()), "candidates"
+    )
+    roots = link_nodes(candidates.select(F.col("id").alias("node"), "n", "codes"))
+    named = candidates.select("id", "node")
+    named_root = named.select(F.col("id").alias("root_id"), F.col("node").alias("root"))
+    roots = roots.select(F.col("node").alias("id"), F.col("root").alias("root_id"))
+    return sets, roots.join(named, "id").join(named_root, "root_id").select("node", "root")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -410,15 +481,15 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     Columns other than ``doc_id`` and ``text`` are not used.
     """
     sets, roots = _linked(docs, size)
-    nodes = sets.filter("n > 0").groupBy("node").agg(F.min("doc").alias("least"))
+    own = F.struct((F.col("nameless")).alias("nameless"), "doc")
+    nodes = sets.filter("n > 0").groupBy("node").agg(F.min(own).alias("least"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
     of_node = rooted.join(least, "root").select("node", "component")
-    component = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component"))
-    back = F.when(F.col("doc") != 2**63 - 1, F.col("doc"))
+    component = F.when(F.col("n") == 0, own).otherwise(F.col("component"))
     return sets.join(of_node, "node", "left").select(
-        back.alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(component != 2**63 - 1, component).alias("component_id"),
+        F.when(~F.col("nameless"), F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.when(~component["nameless"], component["doc"]).alias("component_id"),
     )
 
 

@@ -177,3 +177,22 @@ def test_components(spark):
     assert {r.node: r.root for r in found} == {
         x: root[x] for pair in links if pair[0] != pair[1] for x in pair
     }
+
+
+def thue_morse(size, swap=False):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_words_that_polynomial_hashes_confuse_are_different(spark, size):
+    rows = [(1, thue_morse(size)), (2, thue_morse(size, True)), (3, thue_morse(size))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_the_largest_id_is_no_null(spark):
+    top = 2**63 - 1
+    rows = [(top, "one two three four five six"), (None, "one two three four five six"), (None, "else"), (None, None)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = sorted(((r.doc_id, r.component_id, r.n_shingles) for r in got.collect()), key=str)
+    assert found == sorted([(top, top, 2), (None, top, 2), (None, None, 1), (None, None, 0)], key=str)

@@ -152,19 +152,25 @@ def token_pieces(
         encoder = word_tokenizer(tokenizer)
         for batch in steps(batches):
             codes, offsets = encoder.encode(batch.column("text"))
-            rows = []
-            for d, doc in enumerate(batch.column("doc_id").to_pylist()):
-                own = np.append(codes[offsets[d] : offsets[d + 1]], np.uint32(separator))
-                for piece, start in enumerate(range(0, len(own), most)):
-                    part = own[start : start + most].astype("<u4")
-                    row = (doc, piece, start, len(part), zlib.crc32(part.tobytes()), d)
-                    rows.append((*row, part.astype(np.int32)) if ids else row)
-            frame = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
-            kinds += [pa.list_(pa.int32())] * ids
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(frame, kinds, strict=True)], names
-            )
+            # each text's ids with the separator after them, in one array
+            sizes = np.diff(offsets) + 1
+            codes = np.insert(codes, offsets[1:], separator).astype("<u4", copy=False)
+            pieces = -(-sizes // most)
+            row = np.repeat(np.arange(len(sizes)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            begin = (np.cumsum(sizes) - sizes)[row] + piece * most
+            length = np.minimum(most, sizes[row] - piece * most)
+            bounds = zip(begin.tolist(), (begin + length).tolist())
+            sums = [zlib.crc32(codes[a:b].data) for a, b in bounds]
+            columns = [
+                batch.column("doc_id").cast(pa.int64()).take(pa.array(row)), pa.array(piece.astype(np.int32)),
+                pa.array(piece * most), pa.array(length), pa.array(sums, pa.int64()),
+                pa.array(row.astype(np.int32)),
+            ]
+            if ids:  # the pieces lie one after another
+                cuts = np.append(begin, len(codes)).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(codes.view(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select("doc_id", "text").mapInArrow(cut, columns)
 

@@ -7,6 +7,7 @@ and code point views agree on them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,19 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = STE
             end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    release()
+
+
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system.
+
+    Workers are kept for later tasks, and what their allocators hold on to counts
+    against the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

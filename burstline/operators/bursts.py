@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import left_join_split_hot
+from burstline.operators.joins import hot_keys, left_join_split_hot
 from burstline.operators.ranking import complete_rank, first_places
 
 SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
@@ -188,28 +188,29 @@ def post_scores(
     ``terms`` is ``(post_id, created_at, topic)``. ``trends`` holds the scores of
     some topics, by default of every topic in every window, from the terms
     themselves. Every post with a term gets ``post_id, n_trending, max_score,
-    avg_score``; zero if none of its terms has a score. The terms are counted per
-    post once, and the counts serve as the rows to score, as the weights of the
-    keys and as the counts of the topics.
+    avg_score``; zero if none of its terms has a score. A post's terms are hardly
+    ever alike, so they are not counted per post: they are joined as they come. The
+    scores of hot keys are computed from the counts of their topics alone.
     """
     keys = ["start_time", "topic"]
-    per_post = (
-        terms.select(
-            "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
-        )
-        .groupBy("post_id", *keys)
-        .agg(F.count("*").alias("uses"))
+    rows = terms.select(
+        "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
     )
-    counts = per_post.groupBy(*keys).agg(F.sum("uses").alias("count"))
+    # One table of counts for all uses, so that its shuffle is reused.
+    counts = window_term_counts(terms, interval)
+    of_hot = None
     if trends is None:
-        dated = counts.filter(F.col("start_time").isNotNull())
-        trends = with_burst_score(with_baseline(dated))
+        trends = with_burst_score(with_baseline(counts))
+        topics = hot_keys(counts, keys).select("topic").distinct()
+        of_hot = with_burst_score(
+            with_baseline(counts.join(F.broadcast(topics), "topic", "left_semi"))
+        )
     matched = left_join_split_hot(
-        per_post, trends.select(*keys, "burst_score"), keys, counts
+        rows, trends.select(*keys, "burst_score"), keys, counts, hot_right=of_hot
     )
     # Scores have two decimals: a decimal sum does not depend on the row order.
-    exact = F.col("burst_score").cast("decimal(18,2)") * F.col("uses")
-    scored = F.when(F.col("burst_score").isNotNull(), F.col("uses")).otherwise(0)
+    exact = F.col("burst_score").cast("decimal(18,2)")
+    scored = F.when(F.col("burst_score").isNotNull(), 1).otherwise(0)
     return (
         matched.groupBy("post_id")
         .agg(

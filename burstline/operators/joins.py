@@ -15,12 +15,19 @@ BITS_PER_KEY = 16
 HOT_KEYS = 1000
 
 
+def hot_keys(key_counts: DataFrame, on: list[str], weight: str = "count") -> DataFrame:
+    """The keys with more than one in ``HOT_KEYS`` of all rows."""
+    total = key_counts.agg(F.sum(weight)).scalar()
+    return key_counts.filter(F.col(weight) * HOT_KEYS > total).select(*on)
+
+
 def left_join_split_hot(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     key_counts: DataFrame,
     weight: str = "count",
+    hot_right: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join of ``left`` to a ``right`` that has one row per key.
 
@@ -28,25 +35,27 @@ def left_join_split_hot(
     in ``weight``. Rows of hot keys meet their right rows, fewer than
     ``HOT_KEYS``, by broadcast; in the shuffle that joins all other rows they
     carry no key but a hash of the whole row, so that they spread over the tasks.
-    Left keys must not be null.
+    Left keys must not be null. ``hot_right`` may give the rows of ``right`` with hot
+    keys, and perhaps others, where they come cheaper than by computing ``right`` twice.
     """
     added = [c for c in right.columns if c not in on]
     packed = right.select(*on, F.struct(*added).alias("_right"))
+    few = packed if hot_right is None else hot_right.select(*on, F.struct(*added).alias("_right"))
 
-    total = key_counts.agg(F.sum(weight)).scalar()
-    hot = key_counts.filter(F.col(weight) * HOT_KEYS > total).select(*on)
-    hot_rows = hot.join(packed, on, "left").select(
+    hot = hot_keys(key_counts, on, weight)
+    hot_rows = hot.join(few, on, "left").select(
         *on, F.lit(True).alias("_hot"), F.col("_right").alias("_hot_right")
     )
     marked = left.join(F.broadcast(hot_rows), on, "left")
 
     # Both sides' spread comes from columns: a constant one would be taken out of
-    # the join keys, and the hot rows' null keys would all go to one task.
+    # the join keys, and the hot rows' null keys would all go to one task. It is the
+    # first key, as rows are sorted faster by a number that hardly ever ties.
     key_hash, row_hash = F.xxhash64(*on), F.xxhash64(*left.columns)
     shuffle_keys = [f"_key_{name}" for name in on]
     keyed = marked.select(
         "*",
-        F.when(F.col("_hot"), row_hash).otherwise(key_hash).alias("_spread"),
+        F.when(F.col("_hot"), row_hash).otherwise(key_hash).alias("_key_spread"),
         *[
             F.when(F.col("_hot").isNull(), F.col(name)).alias(key)
             for name, key in zip(on, shuffle_keys)
@@ -54,12 +63,12 @@ def left_join_split_hot(
     )
     cold = packed.select(
         *[F.col(name).alias(key) for name, key in zip(on, shuffle_keys)],
-        key_hash.alias("_spread"),
+        key_hash.alias("_key_spread"),
         F.col("_right").alias("_cold_right"),
     )
     found = F.coalesce("_hot_right", "_cold_right")
     return (
-        keyed.join(cold, [*shuffle_keys, "_spread"], "left")
+        keyed.join(cold, ["_key_spread", *shuffle_keys], "left")
         .select(*left.columns, found.alias("_right"))
         .select(*left.columns, *[F.col(f"_right.{name}").alias(name) for name in added])
     )

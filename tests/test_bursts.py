@@ -1,5 +1,6 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,3 +150,27 @@ def test_post_scores(spark):
         for r in bursts.post_scores(found, trends).collect()
     }
     assert got == {1: (3, 3.0, 2.5), 2: (1, 1.5, 1.5), 3: (0, 0.0, 0.0)}
+
+
+def test_post_scores_of_hot_repeated_and_undated_rows(spark):
+    """Posts share ids, some are undated, one topic of one window is hot."""
+    rows = [(i % 50 or None, HOUR, "hot") for i in range(300)]
+    rows += [(i % 50 or None, HOUR + timedelta(hours=i % 3), f"t{i % 11}") for i in range(200)]
+    rows += [(7, None, "hot"), (99, None, "t1")]
+    found = spark.createDataFrame(rows, "post_id long, created_at timestamp_ntz, topic string")
+    uses, per_topic = Counter((t, x) for _, t, x in rows if t), defaultdict(list)
+    for (_, topic), count in uses.items():
+        per_topic[topic].append(count)
+    expected = defaultdict(list)
+    for i, t, topic in rows:
+        if t:  # a window holds dated rows only
+            mean = sum(per_topic[topic]) / len(per_topic[topic])
+            expected[i].append(float(Decimal(repr(uses[t, topic] / mean)).quantize(Decimal("0.01"), ROUND_HALF_UP)))
+    result = bursts.post_scores(found)
+    got = {r["post_id"]: (r["n_trending"], r["max_score"], r["avg_score"]) for r in result.collect()}
+    assert got.keys() == expected.keys()
+    for i, scores in expected.items():
+        assert got[i] == (len(scores), max(scores), pytest.approx(sum(scores) / len(scores)))
+    # no table of (post, window, topic) counts, which is as large as the terms
+    for line in plan_of(result).splitlines():
+        assert not ("Aggregate(keys=[post_id" in line and "topic" in line)

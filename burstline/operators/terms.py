@@ -87,12 +87,15 @@ def explode_terms(
 
 
 def union_terms(tokens: DataFrame, keep: Sequence[str] = ("created_at",)) -> DataFrame:
-    """The same bag as ``explode_terms``, as a union of words and pairs."""
-    words = tokens.select(*keep, F.explode_outer("tokens").alias("topic"))
-    pairs = tokens.select(
-        *keep, F.explode_outer(tk.ngrams(F.col("tokens"), 2)).alias("topic")
-    )
-    return drop_blank_topics(words.unionByName(pairs))
+    """The same bag as ``explode_terms``, as a union of words and pairs.
+
+    The union is one of each post's two lists, so that the tokens, and all that they
+    come from, are computed once and not for each side.
+    """
+    words = F.coalesce("tokens", F.array().cast("array<string>"))
+    pairs = tk.ngrams(F.col("tokens"), 2)
+    united = tokens.select(*keep, F.explode_outer(F.flatten(F.array(words, pairs))).alias("topic"))
+    return drop_blank_topics(united)
 
 
 def drop_blank_topics(terms: DataFrame) -> DataFrame:

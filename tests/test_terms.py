@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.errors import PySparkException
@@ -208,3 +209,11 @@ def test_tagger_hook(spark):
 def test_tokens_come_from_one_scan_without_python(spark):
     plan = plan_of(terms.explode_terms(terms.topical_tokens(posts(spark, ("en", "some text")))))
     assert "Python" not in plan and plan.count("Generate") == 1 and "Exchange" not in plan
+
+
+def test_union_of_terms_unnests_once(spark):
+    rows = [(1, ["a", "b", "a"]), (2, []), (3, None), (4, ["c"]), (4, ["c", " ", "d"])]
+    tokens = spark.createDataFrame(rows, "created_at int, tokens array<string>")
+    united = terms.union_terms(tokens)
+    assert plan_of(united).count("Generate") == 1
+    assert Counter(map(tuple, united.collect())) == Counter(map(tuple, terms.explode_terms(tokens).collect()))

@@ -177,8 +177,13 @@ def drop_words(
         .distinct()
     )
     routed = tokens.withColumn("_route", route_language(F.col("lang"), routes, default))
+    # A listed table may itself come from the texts, so it is computed once.
+    table = stored(table, "listed-words")
     few = table.limit(literal_words + 1).collect()
     if len(few) > literal_words:
+        # The tokens are read three times from here on.
+        tokens = stored(tokens.select(*dict.fromkeys([*keep, "lang", "tokens"])), "tokens")
+        routed = tokens.withColumn("_route", route_language(F.col("lang"), routes, default))
         uses = routed.select(*keep, "_route", F.explode(F.array_distinct("tokens")).alias("_word"))
         uses = uses.filter(F.col("_word").isNotNull())
         counts = uses.groupBy("_route", "_word").count()

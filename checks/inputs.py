@@ -54,21 +54,33 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.with_cleaned_text(posts(spark, sf_dir))
 
 
-def tokens(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    """``post_id, created_at, lang, tokens`` of the posts."""
-    return terms.topical_tokens(cleaned(spark, sf_dir), **options)
+def stored_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned posts in a work folder, for queries that read them several times."""
+    kept = cleaned(spark, sf_dir).select("post_id", "created_at", "lang", "cleaned_text")
+    return layout.stored(kept, "cleaned")
 
 
-def routed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokens(
+    spark: SparkSession, sf_dir: str, posts: DataFrame | None = None, **options
+) -> DataFrame:
+    """``post_id, created_at, lang, tokens`` of the posts, or of these cleaned ones."""
+    return terms.topical_tokens(cleaned(spark, sf_dir) if posts is None else posts, **options)
+
+
+def routed_words(
+    spark: SparkSession, sf_dir: str, posts: DataFrame | None = None
+) -> DataFrame:
     """``lang, tokens``: all words of the posts under their table language."""
-    words = terms.with_words(cleaned(spark, sf_dir))
+    words = terms.with_words(cleaned(spark, sf_dir) if posts is None else posts)
     return words.select(
         vocabulary.route_language(F.col("lang")).alias("lang"),
         F.col("words").alias("tokens"),
     )
 
 
-def suffix_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def suffix_lexicon(
+    spark: SparkSession, sf_dir: str, posts: DataFrame | None = None
+) -> DataFrame:
     """A lexicon of the posts' own words, tagged by their endings."""
     word = F.col("word")
     pos = (
@@ -77,7 +89,7 @@ def suffix_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(word.endswith("able") | word.endswith("eux"), "ADJ")
         .otherwise("NOUN")
     )
-    words = routed_words(spark, sf_dir).select(
+    words = routed_words(spark, sf_dir, posts).select(
         "lang", F.explode_outer("tokens").alias("word")
     )
     return (

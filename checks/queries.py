@@ -288,29 +288,32 @@ def corpus_freq_rank(spark, sf):
     return ranks.select("lang", "word", F.col("count").alias("uses"), "rank")
 
 
-def _common(spark, sf):
-    return vocabulary.common_words(vocabulary.top_words(inputs.routed_words(spark, sf)))
+def _common(spark, sf, posts):
+    return vocabulary.common_words(vocabulary.top_words(inputs.routed_words(spark, sf, posts)))
 
 
 @query
 def freq_filter(spark, sf):
-    return joined(inputs.tokens(spark, sf, common=_common(spark, sf), stop_words=()))
+    posts = inputs.stored_cleaned(spark, sf)
+    common = _common(spark, sf, posts)
+    return joined(inputs.tokens(spark, sf, posts, common=common, stop_words=()))
 
 
 @query
 def pos_filter(spark, sf):
-    lexicon = vocabulary.unique_lexicon(inputs.suffix_lexicon(spark, sf))
+    posts = inputs.stored_cleaned(spark, sf)
+    lexicon = vocabulary.unique_lexicon(inputs.suffix_lexicon(spark, sf, posts))
     return joined(
-        inputs.tokens(spark, sf, lexicon=lexicon, min_freq_rank=0, stop_words=())
+        inputs.tokens(spark, sf, posts, lexicon=lexicon, min_freq_rank=0, stop_words=())
     )
 
 
 @query
 def topical_tokens(spark, sf):
-    lexicon = vocabulary.unique_lexicon(inputs.suffix_lexicon(spark, sf))
-    return joined(
-        inputs.tokens(spark, sf, lexicon=lexicon, common=_common(spark, sf))
-    )
+    posts = inputs.stored_cleaned(spark, sf)
+    lexicon = vocabulary.unique_lexicon(inputs.suffix_lexicon(spark, sf, posts))
+    common = _common(spark, sf, posts)
+    return joined(inputs.tokens(spark, sf, posts, lexicon=lexicon, common=common))
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from burstline.operators import terms, vocabulary as vocab
 from burstline.schemas import LEXICON
+from checks.queries import QUERIES
 from conftest import plan_of
 
 POSTS = "post_id long, lang string, created_at timestamp_ntz, cleaned_text string"
@@ -217,3 +218,10 @@ def test_union_of_terms_unnests_once(spark):
     united = terms.union_terms(tokens)
     assert plan_of(united).count("Generate") == 1
     assert Counter(map(tuple, united.collect())) == Counter(map(tuple, terms.explode_terms(tokens).collect()))
+
+
+@pytest.mark.parametrize("name", ["topical_tokens", "pos_filter", "freq_filter"])
+def test_filters_from_the_posts_own_words_clean_them_once(spark, name):
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "documents.parquet" not in plan and "events.parquet" not in plan
+    assert "doc_id" not in plan and "event_id" not in plan

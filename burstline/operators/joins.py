@@ -28,6 +28,7 @@ def left_join_split_hot(
     key_counts: DataFrame,
     weight: str = "count",
     hot_right: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Left outer join of ``left`` to a ``right`` that has one row per key.
 
@@ -37,6 +38,7 @@ def left_join_split_hot(
     carry no key but a hash of the whole row, so that they spread over the tasks.
     Left keys must not be null. ``hot_right`` may give the rows of ``right`` with hot
     keys, and perhaps others, where they come cheaper than by computing ``right`` twice.
+    ``tasks`` may give the number of tasks that join, else the session does.
     """
     added = [c for c in right.columns if c not in on]
     packed = right.select(*on, F.struct(*added).alias("_right"))
@@ -66,6 +68,8 @@ def left_join_split_hot(
         key_hash.alias("_key_spread"),
         F.col("_right").alias("_cold_right"),
     )
+    if tasks is not None:
+        keyed, cold = (x.repartition(tasks, "_key_spread", *shuffle_keys) for x in (keyed, cold))
     found = F.coalesce("_hot_right", "_cold_right")
     return (
         keyed.join(cold, ["_key_spread", *shuffle_keys], "left")

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from burstline.operators.weights import tfidf
 
@@ -25,3 +26,16 @@ def test_against_brute_force(spark):
 
 def test_empty(spark):
     assert tfidf(spark.createDataFrame([], "post_id long, tokens array<string>")).isEmpty()
+
+
+def test_tasks_grow_with_the_words(spark):
+    """No task joins much more than its share, whatever the session's partitions."""
+    rows = [(i, [f"w{i}", f"w{i + 1}", f"w{i + 2}", "sun"]) for i in range(2000)]
+    df = spark.createDataFrame(rows + [(None, ["sea"]), (None, ["sea"]), (7, None)], "post_id long, tokens array<string>")
+    got = tfidf(df, words_per_task=100)
+    task = F.spark_partition_id().alias("task")
+    per_task = [r["count"] for r in got.select("*", task).groupBy("task").count().collect()]
+    assert sum(per_task) == 8001 and max(per_task) < 8001 / 8 / 4
+    null = got.filter("post_id is null").collect()
+    assert [(r["term"], r["tf"], r["df"]) for r in null] == [("sea", 2, 1)]
+    assert got.first()["weight"] is not None

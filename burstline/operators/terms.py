@@ -76,13 +76,18 @@ def explode_terms(
 ) -> DataFrame:
     """One row per term occurrence: every token and n-gram up to ``max_n`` words.
 
-    Words and n-grams are unnested together, in one pass. The outer explode
-    keeps Catalyst from computing the arrays a second time in a filter of its
+    The tokens are unnested in one pass, each beside the n-grams that begin there, and
+    these columns are unpivoted to rows. Grams are null where too few tokens follow. The outer explode
+    keeps Catalyst from computing the tokens a second time in a filter of its
     own; the empty row it adds is dropped with the blank topics.
     """
-    own = F.col("tokens")
-    grams = [own] + [tk.ngrams(own, n) for n in range(2, max_n + 1)]
-    unnested = tokens.select(*keep, F.explode_outer(F.concat(*grams)).alias("topic"))
+    each = tokens.select(*keep, "tokens", F.posexplode_outer("tokens").alias("_at", "_gram1"))
+    grams = [F.col("_gram1")]
+    for n in range(1, max_n):
+        grams.append(F.concat(grams[-1], F.lit(" "), F.get("tokens", F.col("_at") + n)))
+    names = [f"_gram{n}" for n in range(1, max_n + 1)]
+    beside = each.select(*keep, *[gram.alias(name) for gram, name in zip(grams, names)])
+    unnested = beside.unpivot(list(keep), names, "_gram", "topic").drop("_gram")
     return drop_blank_topics(unnested)
 
 

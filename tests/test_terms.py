@@ -183,6 +183,16 @@ def test_explode_and_union_give_the_same_bag(spark):
     assert terms.nonempty(df).count() == 2
 
 
+def test_grams_are_made_as_tokens_are_unnested(spark):
+    rows = [(1, ["a", None, "b", "c"]), (2, None), (3, []), (4, [" ", "d"]), (5, ["e"])]
+    tokens = spark.createDataFrame(rows, "post_id int, tokens array<string>")
+    unnested = terms.explode_terms(tokens, max_n=3, keep=["post_id"])
+    assert "zip_with" not in plan_of(unnested)
+    assert sorted(map(tuple, unnested.collect())) == [
+        (1, "a"), (1, "b"), (1, "b c"), (1, "c"), (4, "  d"), (4, "d"), (5, "e"),
+    ]
+
+
 def test_blank_topics_go(spark):
     df = spark.createDataFrame([("a",), (" ",), ("",), (None,)], "topic string")
     assert [r["topic"] for r in terms.drop_blank_topics(df).collect()] == ["a"]

@@ -51,14 +51,15 @@ def _check(key: Column, level: Column) -> Column:
 
 
 def _item(key: Column, sign: Column, level: Column) -> Column:
-    """A digest with its cells and check at a level of attempts."""
+    """A digest with its cells, as the bits of a number, and check at a level of attempts."""
     spots = [
         (F.lit(t * WIDTH) + F.pmod(F.xxhash64(key, level, F.lit(100 + t)), F.lit(WIDTH))).cast("int")
         for t in range(TABLES)
     ]
+    bits = [F.call_function("shiftleft", F.lit(1), spot) for spot in spots]
     return F.struct(
         key.alias("k"), sign.alias("s"), _check(key, level).alias("h"),
-        *[p.alias(f"p{t}") for t, p in enumerate(spots)],
+        reduce(Column.bitwiseOR, bits).alias("bits"),
     )
 
 
@@ -70,7 +71,7 @@ def _put(cells: Column, item: Column) -> Column:
     """Cells with one more digest; taking one out is putting it with its sign reversed."""
 
     def cell(x: Column, i: Column) -> Column:
-        hit = reduce(Column.__or__, [i == item[f"p{t}"] for t in range(TABLES)])
+        hit = F.getbit(item["bits"], i) == F.lit(1).cast("tinyint")
         more = F.struct(
             (x["c"] + item["s"]).alias("c"), x["k"].bitwiseXOR(item["k"]).alias("k"),
             x["h"].bitwiseXOR(item["h"]).alias("h"),
@@ -348,15 +349,19 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         ),
         "asked",
     )
-    texts = rows.groupBy("uid").agg(
-        F.first(F.struct("text", "doc_id")).alias("row"), F.count("*").alias("times")
+    # a text's digests and sketch go with it, as both it and the one before it need them
+    made = rows.withColumn("keys", digests(F.col("text"))).withColumn("cells", sketch(F.col("keys")))
+    texts = made.groupBy("uid").agg(
+        F.first(F.struct("text", "doc_id", "keys", "cells")).alias("row"), F.count("*").alias("times")
     )
     # a condition on all columns, so that both uses of the texts share one shuffle
-    texts = texts.filter("times > 0").select("uid", "row.text", "row.doc_id", "times")
+    texts = texts.filter("times > 0").select(
+        "uid", "row.text", "row.doc_id", "row.keys", "row.cells", "times"
+    )
     given = texts.join(asked, texts["uid"] == asked["next_key"]).select(
         F.col("asker").alias("uid"),
         F.substr("text", F.lit(1), F.col("half").cast("int")).alias("given"),
-        digests(F.col("text")).alias("next"),
+        F.col("keys").alias("x"), F.col("cells").alias("cx"),
     )
     n = F.char_length("text")
     kept = F.substr("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
@@ -364,12 +369,10 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     keys = both.select(
         "doc_id", "times", n.cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), F.col("next").alias("x"),
-    )
-    cells = keys.select(
-        "*", sketch(F.col("a")).alias("ca"), sketch(F.col("e")).alias("ce"),
-        sketch(F.col("x")).alias("cx"),
+        F.col("keys").alias("a"), digests(F.col("edited")).alias("e"), "x",
+        F.col("cells").alias("ca"), "cx",
     )
+    cells = keys.select("*", sketch(F.col("e")).alias("ce"))
     a, e, x = F.col("a"), F.col("e"), F.col("x")
     apart = cells.select(
         "*",

@@ -94,3 +94,12 @@ def test_text_form_round_trip(spark):
     df = df.withColumn("c", fp.sketch(F.col("a")))
     df = df.withColumn("back", fp.parse(fp.render(F.col("a"), F.col("c"))))
     assert all(r.c == r.back for r in df.collect())
+
+
+def test_each_given_text_is_cut_once(spark):
+    """The next document brings its digests and its sketch instead of being cut again."""
+    df = spark.createDataFrame([(i, f"One {i}. Two. Three {i % 3}.") for i in range(40)], "doc_id long, text string")
+    result = fp.edited_likeness(df)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("split(") == 2  # the texts, and the edited ones

@@ -14,8 +14,12 @@ node. Two nodes link when ``100 * common >= 75 * union``.
    many as make a common one certain. Each node is compared with the first node of the
    lists it shares most; links are merged to components, and only lists with
    several components go on: everyone in them is compared with the list's first
-   node if that is in another component, and last with all of other components. Jaccard distance is a metric, so pairs whose distances to the first
-   node differ by more than the limit are passed over, and the rest are compared.
+   node if that is in another component, then with a centre, the node with the fewest
+   shingles of its own among the lists of one first node. What is left in several
+   components is paired: nodes close to a centre by the differences from it that
+   they share, as many as a link needs, others by their lists. Jaccard distance is a
+   metric, so of the latter those whose distances to the centre differ by more than
+   the limit are passed over.
 
 No step lists the pairs of a group of copies, and none drops a link.
 """
@@ -46,6 +50,8 @@ PACKED = 5
 OWNED = 1 << 21
 #: Largest size that is considered for light nodes.
 LIGHT = 12
+#: Jaccard distance from a centre up to which nodes are paired by their differences from it.
+CLOSE = 0.5
 #: Cost of a list's entry against a subset's row: it is scanned, paired and compared.
 SCAN_COST = 6.0
 
@@ -307,6 +313,43 @@ def _overlap(batches: Iterator[pa.RecordBatch]):
         )
 
 
+def _differences(batches: Iterator[pa.RecordBatch]):
+    """``q`` and the differences of sets from their centres, from rare to common.
+
+    The order is one for all nodes of a centre. How many add a shingle is known by its
+    magnitude; how many lack one is guessed: few, if it is as common as the commonest
+    of the centre, else most. The centre's own shingles, lacked by all others, come last.
+    """
+    kept = ["centre", "node", "root", "n", "n_centre"]
+    for batch in batches:
+        q, tokens = [], []
+        for n, n_centre, raw, raw_centre in zip(
+            *(batch.column(c).to_pylist() for c in ("n", "n_centre", "codes", "of_centre"))
+        ):
+            own, centre = np.frombuffer(raw, "<u8"), np.frombuffer(raw_centre, "<u8")
+            adds = np.setdiff1d(own, centre, True)
+            lacks = np.setdiff1d(centre, own, True)
+            common = len(own) - len(adds)
+            q.append(4 * (n_centre - common) + 3 * (n - common))
+            top = int(centre[-1] >> np.uint64(59))
+            of_lacks = lacks >> np.uint64(59)
+            place = np.concatenate(
+                [adds >> np.uint64(59), np.where(of_lacks == top, max(top - 3, 0), top).astype(np.uint64)]
+            )
+            values = np.concatenate([mix(adds), mix(lacks ^ np.uint64(0x9E3779B97F4A7C15))])
+            alone = mix(np.arange(n_centre - len(centre), dtype=np.uint64) + np.uint64(1))
+            tokens.append(signed(np.concatenate([values[np.lexsort((values, place))], alone])))
+        ends = np.cumsum([0, *map(len, tokens)]).astype(np.int32)
+        values = np.concatenate([np.empty(0, np.int64), *tokens])
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c) for c in kept), pa.array(q, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(values)),
+            ],
+            [*kept, "q", "tokens"],
+        )
+
+
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``a, b`` with ``distance`` (Jaccard) and ``linked``, from their sets."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("codes").alias("ca"))
@@ -396,45 +439,129 @@ def link_nodes(sets: DataFrame) -> DataFrame:
     more = compared.filter("linked").select("a", "b")
     roots = _merge(_as_links(roots).unionAll(more))
 
-    # last, every pair of a list across components, but for those too far apart, and
-    # those that would have too little in common from this shingle on: the first
-    # common shingle of a pair that links leaves enough on both sides. A pair is made
-    # at its first common shingle alone, so that long shared passages don't multiply it
-    far = compared.select("a", F.col("b").alias("node"), "distance")
-    own = F.when(F.col("a") == F.col("node"), F.lit(0.0))
+    # then against the most central node of all lists with one first node
+    open_ = stored(_open(lists, roots), "open")
+    remove(spark, lists_path)
+    if open_.isEmpty():
+        return roots
+    size = sets.select("node", "n", (F.length("codes") / 8).cast("int").alias("l"))
+    members = open_.select("a", "node").distinct()
+    centres = members.join(size, "node").groupBy("a").agg(
+        F.min(F.struct(F.col("n") - F.col("l"), "node")).alias("m")
+    ).select("a", F.col("m.node").alias("centre"))
+    members = stored(members.join(centres, "a"), "members")
+    around = members.filter("centre <> node").select("centre", "node").distinct()
+    around = stored(
+        compare(around.select(F.col("centre").alias("a"), F.col("node").alias("b")), sets)
+        .withColumnsRenamed({"a": "centre", "b": "node"}),
+        "around",
+    )
+    more = around.filter("linked").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    roots = _merge(_as_links(roots).unionAll(more))
+
+    # last, the pairs across components that may link
+    known = members.join(around, ["centre", "node"], "left").select(
+        "a", "centre", "node", F.coalesce("distance", F.lit(0.0)).alias("distance")
+    )
     open_ = stored(
-        _open(lists, roots).join(far, ["a", "node"], "left")
-        .withColumn("distance", F.coalesce(own, "distance"))
-        .select("token", "node", "n", "rest", "root", "distance"),
-        "open",
+        _open(open_.drop("root"), roots).join(known, ["a", "node"]).drop("a"), "open"
     )
-    remove(spark, lists_path)
-    prefixes = sets.join(open_.select("node").distinct(), "node", "left_semi").select(
+    pairs = _pairs_by_difference(open_, sets).unionAll(_pairs_by_lists(open_, sets, light))
+    pairs = pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    more = stored(compare(pairs, sets).filter("linked").select("a", "b"), "linked")
+    if more.isEmpty():
+        return roots
+    return _merge(_as_links(roots).unionAll(more))
+
+
+def _pair() -> list:
+    return [
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+    ]
+
+
+def _sizes_fit():
+    return (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n"))
+
+
+def _pairs_by_difference(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes close to one centre that may link.
+
+    Each node x is the shingles in which it differs from the centre c, those it lacks
+    and those it adds, as most of a group of near copies is common to all. With
+    ``q = 4 * lacks + 3 * adds`` two nodes link if ``7 * s >= q_x + q_y - n_c``, ``s``
+    being how many differences they share, and a node links with the centre if
+    ``q <= n_c``. So a pair that links across components shares a difference, and its
+    first common one, from rare to common, leaves ``s`` of them on both sides.
+    """
+    close = open_.filter((F.col("distance") <= CLOSE) & (F.col("centre") != F.col("node")))
+    close = close.select("centre", "node", "root").distinct()
+    ends = close.groupBy("centre").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    close = close.join(ends.filter("x <> y").select("centre"), "centre", "left_semi")
+    of_centre = sets.select(
+        F.col("node").alias("centre"), F.col("n").alias("n_centre"), F.col("codes").alias("of_centre")
+    )
+    differing = stored(
+        close.join(of_centre, "centre").join(sets.select("node", "n", "codes"), "node")
+        .select("centre", "node", "root", "n", "n_centre", "codes", "of_centre")
+        .mapInArrow(
+            _differences,
+            "centre long, node long, root long, n long, n_centre long, q long, tokens array<long>",
+        ),
+        "differing",
+    )
+    least = differing.groupBy("centre").agg(F.min("q").alias("least"))
+    all_ = F.size("tokens")
+    shared = F.greatest(F.lit(1), F.ceil((F.col("q") + F.col("least") - F.col("n_centre")) / 7))
+    entries = stored(
+        differing.join(least, "centre")
+        .withColumn("prefix", F.slice("tokens", F.lit(1), F.greatest(F.lit(0), all_ - shared + 1).cast("int")))
+        .select("centre", "node", "root", "n", "n_centre", "q", all_.alias("l"), "prefix",
+                F.posexplode("prefix").alias("at", "token"))
+        .select("centre", "token", "node", "root", "n", "n_centre", "q",
+                (F.col("l") - F.col("at")).alias("rest"),
+                F.slice("prefix", F.lit(1), F.col("at")).alias("before")),
+        "entries",
+    )
+    x, y = entries.alias("x"), entries.alias("y")
+    return x.join(
+        y,
+        (F.col("x.centre") == F.col("y.centre")) & (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.root") < F.col("y.root")) & _sizes_fit()
+        & (7 * F.least("x.rest", "y.rest") >= F.col("x.q") + F.col("y.q") - F.col("x.n_centre"))
+        & ~F.arrays_overlap("x.before", "y.before"),
+    ).select(*_pair())
+
+
+def _pairs_by_lists(open_: DataFrame, sets: DataFrame, light: int) -> DataFrame:
+    """Pairs ``a, b`` of a list that may link, one of them far from the centre.
+
+    Left out are those whose distances to the centre tell that they are too far apart,
+    and those that would have too little in common from this shingle on: the first
+    common shingle of a pair that links leaves enough on both sides. A pair is made
+    at its first common shingle alone, so that long shared passages don't multiply it.
+    """
+    far = F.col("distance") > CLOSE
+    lists = open_.join(open_.filter(far).select("token").distinct(), "token", "left_semi")
+    prefixes = sets.join(lists.select("node").distinct(), "node", "left_semi").select(
         "node", "n", "codes"
     ).mapInArrow(_prefixes(light), "node long, tokens array<long>, l int")
-    open_ = stored(
-        open_.join(prefixes, "node").withColumn(
+    lists = stored(
+        lists.join(prefixes, "node").withColumn(
             "before", F.slice("tokens", F.lit(1), F.col("l") - F.col("rest"))
         ).drop("tokens", "l"),
         "open",
     )
-    x, y = open_.alias("x"), open_.alias("y")
-    near = F.abs(F.col("x.distance") - F.col("y.distance")) <= 0.25 + 1e-9
-    pairs = x.join(
+    x, y = lists.filter(far).alias("x"), lists.alias("y")
+    return x.join(
         y,
-        (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root"))
-        & F.coalesce(near, F.lit(True))
+        (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+        & ((F.col("y.distance") <= CLOSE) | (F.col("x.root") < F.col("y.root")))
+        & (F.abs(F.col("x.distance") - F.col("y.distance")) <= 0.25 + 1e-9)
         & (7 * F.least("x.rest", "y.rest") >= 3 * (F.col("x.n") + F.col("y.n")))
         & ~F.arrays_overlap("x.before", "y.before")
-        & (4 * F.col("x.n") >= 3 * F.col("y.n")) & (4 * F.col("y.n") >= 3 * F.col("x.n")),
-    ).select(
-        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
-    ).distinct()
-    pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-    more = stored(compare(pairs, sets).filter("linked").select("a", "b"), "linked")
-    if more.isEmpty():
-        return roots
-    return _merge(_as_links(roots).unionAll(more))
+        & _sizes_fit(),
+    ).select(*_pair())
 
 
 def _as_links(roots: DataFrame) -> DataFrame:

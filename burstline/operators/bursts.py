@@ -36,22 +36,30 @@ def window_end(start: Column, interval: str) -> Column:
     return start + F.make_dt_interval(secs=F.lit(interval_seconds(interval)))
 
 
+def with_window_start(
+    rows: DataFrame, interval: str = "hour", start_offset: str | None = None
+) -> DataFrame:
+    """Add ``start_time``, the window of ``created_at``; undated rows are dropped."""
+    start = window_start(F.col("created_at"), interval, start_offset)
+    return rows.withColumn("start_time", start).filter(F.col("start_time").isNotNull())
+
+
+def count_by_window(terms: DataFrame) -> DataFrame:
+    """Occurrences per (window, topic) of terms that have a ``start_time``.
+
+    Counting is combined before the shuffle, which bounds what a frequent topic sends.
+    """
+    return terms.groupBy("start_time", "topic").count()
+
+
 def window_term_counts(
     terms: DataFrame, interval: str = "hour", start_offset: str | None = None
 ) -> DataFrame:
     """Occurrences per (window, topic): ``start_time, topic, count``.
 
-    The start alone identifies a window, so only it is shuffled; counting is
-    combined before the shuffle, which bounds what a frequent topic sends.
+    The start alone identifies a window, so only it is shuffled.
     """
-    return (
-        terms.withColumn(
-            "start_time", window_start(F.col("created_at"), interval, start_offset)
-        )
-        .filter(F.col("start_time").isNotNull())
-        .groupBy("start_time", "topic")
-        .count()
-    )
+    return count_by_window(with_window_start(terms, interval, start_offset))
 
 
 def topic_averages(counts: DataFrame, baseline: str = "present") -> DataFrame:

@@ -79,15 +79,19 @@ def explode_terms(
     The tokens are unnested in one pass, each beside the n-grams that begin there, and
     these columns are unpivoted to rows. Grams are null where too few tokens follow. The outer explode
     keeps Catalyst from computing the tokens a second time in a filter of its
-    own; the empty row it adds is dropped with the blank topics.
+    own; the empty row it adds is dropped with the blank topics. The kept columns are
+    unpivoted with the grams: beside them, two copies of the plan would not be seen to
+    be equal, and their shuffles not be reused.
     """
     each = tokens.select(*keep, "tokens", F.posexplode_outer("tokens").alias("_at", "_gram1"))
     grams = [F.col("_gram1")]
     for n in range(1, max_n):
         grams.append(F.concat(grams[-1], F.lit(" "), F.get("tokens", F.col("_at") + n)))
-    names = [f"_gram{n}" for n in range(1, max_n + 1)]
-    beside = each.select(*keep, *[gram.alias(name) for gram, name in zip(grams, names)])
-    unnested = beside.unpivot(list(keep), names, "_gram", "topic").drop("_gram")
+    names = [f"_term{n}" for n in range(1, max_n + 1)]
+    beside = each.select(
+        *[F.struct(*keep, gram.alias("topic")).alias(name) for gram, name in zip(grams, names)]
+    )
+    unnested = beside.unpivot([], names, "_gram", "_term").select("_term.*")
     return drop_blank_topics(unnested)
 
 

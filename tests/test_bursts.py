@@ -174,3 +174,19 @@ def test_post_scores_of_hot_repeated_and_undated_rows(spark):
     # no table of (post, window, topic) counts, which is as large as the terms
     for line in plan_of(result).splitlines():
         assert not ("Aggregate(keys=[post_id" in line and "topic" in line)
+
+
+def test_terms_are_counted_once_for_all_windows(spark):
+    rows = [(1, "en", HOUR, "storm over rome"), (2, "en", None, "storm")]
+    posts = spark.createDataFrame(
+        rows, "post_id long, lang string, created_at timestamp_ntz, cleaned_text string"
+    )
+    found = trending(posts, baseline="all", min_count=1)
+    assert {r["topic"] for r in found.collect()} == {"storm", "rome", "storm rome"}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the reuse isn't in the plan
+    try:
+        lines = plan_of(found.select("*")).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    by_window = [x for x in lines if "Exchange hashpartitioning(start_time" in x and "topic" in x]
+    assert len([x for x in by_window if "ReusedExchange" not in x]) == 1

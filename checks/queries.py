@@ -688,6 +688,8 @@ def stream_archive(spark, sf):
 
 @query
 def stream_metrics(spark, sf):
+    # Every term of every open window is a key of the state, too many for the heap.
+    streams.use_rocksdb(spark, many_keys=True)
     raw = metrics.counted(ingest.stream_posts(spark, inputs.raw_json(spark, sf)), "read")
     dated = metrics.counted(src.prepare_posts(raw), "dated")
     found = metrics.counted(post_terms(dated), "terms")

@@ -10,6 +10,7 @@ from burstline.plans.trending import post_terms
 from burstline.sources import posts as src
 from burstline.streaming import compaction, ingest, metrics, trends as streams
 from checks import inputs
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -227,6 +228,24 @@ def test_metrics_of_each_micro_batch(spark, tmp_path, arriving):
     assert listener.take(spark).isEmpty()
 
 
+def test_counts_of_all_terms_are_not_held_in_the_heap(spark, monkeypatch):
+    names = [f"spark.sql.streaming.stateStore.{x}" for x in (
+        "providerClass", "rocksdb.changelogCheckpointing.enabled", "rocksdb.trackTotalNumberOfRows")]
+    before, started = {name: spark.conf.get(name, None) for name in names}, []
+    start = streams.start_append
+    monkeypatch.setattr(streams, "start_append", lambda *a, **b: started.append(start(*a, **b)) or started[-1])
+    for name in names:
+        spark.conf.unset(name)
+    try:
+        found = {r["metric"]: r["value"] for r in QUERIES["stream_metrics"](spark, SF).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    stores = [op["customMetrics"] for p in started[0].recentProgress for op in p["stateOperators"]]
+    assert stores and all("rocksdbPutCount" in metrics for metrics in stores)
+    assert set(found) == {"read", "dated", "terms", "closed", "late"} and found["closed"] > 0 == found["late"]
+
+
 def test_archive_is_merged_beside_the_stream(spark, tmp_path):
     folder, out = tmp_path / "in", tmp_path / "out"
     folder.mkdir()

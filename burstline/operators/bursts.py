@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from burstline.operators.joins import hot_keys, left_join_split_hot
+from burstline.operators.joins import HOT_KEYS, hot_keys, left_join_split_hot
 from burstline.operators.ranking import complete_rank, first_places
 
 SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
+#: One in so many terms is counted to find the topics that are hot.
+HOT_SAMPLE = 64
+#: Terms that one task groups by topic, and scores of hot topics that are broadcast.
+TASK_TERMS, MOST_SCORES = 1 << 22, 1 << 20
 
 
 def interval_seconds(interval: str) -> int:
@@ -197,25 +201,12 @@ def post_scores(
     some topics, by default of every topic in every window, from the terms
     themselves. Every post with a term gets ``post_id, n_trending, max_score,
     avg_score``; zero if none of its terms has a score. A post's terms are hardly
-    ever alike, so they are not counted per post: they are joined as they come. The
-    scores of hot keys are computed from the counts of their topics alone.
+    ever alike, so they are not counted per post: they are scored as they come.
     """
-    keys = ["start_time", "topic"]
     rows = terms.select(
         "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
     )
-    # One table of counts for all uses, so that its shuffle is reused.
-    counts = window_term_counts(terms, interval)
-    of_hot = None
-    if trends is None:
-        trends = with_burst_score(with_baseline(counts))
-        topics = hot_keys(counts, keys).select("topic").distinct()
-        of_hot = with_burst_score(
-            with_baseline(counts.join(F.broadcast(topics), "topic", "left_semi"))
-        )
-    matched = left_join_split_hot(
-        rows, trends.select(*keys, "burst_score"), keys, counts, hot_right=of_hot
-    )
+    matched = _own_scores(rows, interval) if trends is None else _given_scores(rows, trends)
     # Scores have two decimals: a decimal sum does not depend on the row order.
     exact = F.col("burst_score").cast("decimal(18,2)")
     scored = F.when(F.col("burst_score").isNotNull(), 1).otherwise(0)
@@ -228,3 +219,85 @@ def post_scores(
         )
         .na.fill(0, ["max_score", "avg_score"])
     )
+
+
+def _given_scores(
+    rows: DataFrame, trends: DataFrame, of_hot: DataFrame | None = None
+) -> DataFrame:
+    """``post_id, burst_score`` of ``(post_id, start_time, topic)``, null without a score."""
+    keys = ["start_time", "topic"]
+    matched = left_join_split_hot(
+        rows, trends.select(*keys, "burst_score"), keys, count_by_window(rows), hot_right=of_hot
+    )
+    return matched.select("post_id", "burst_score")
+
+
+def _own_scores(rows: DataFrame, interval: str) -> DataFrame:
+    """``post_id, burst_score`` of every term, by the counts of the terms themselves.
+
+    Terms are shuffled once, by their topic: a task counts its topics in all windows and
+    scores the terms it holds, so that neither counts nor scores are shuffled. Topics
+    of more than one in ``HOT_KEYS`` of all terms would fill a task. They are found by a
+    sample, which decides about the way alone, not about a score; their scores, one row per
+    window, go to the terms, by broadcast if there are few of them.
+    """
+    number, windows, hot = _hot_topics(rows, interval)
+    is_hot = F.col("topic").isin(*hot)
+    tasks = max(
+        int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-number // TASK_TERMS)
+    )
+    # Null topics have no score.
+    spread = rows.filter(~is_hot | F.col("topic").isNull()) if hot else rows
+    in_time = Window.partitionBy("topic").orderBy("start_time")
+    in_window = in_time.rangeBetween(Window.currentRow, Window.currentRow)
+    by_topic = Window.partitionBy("topic")
+    counted = (
+        spread.repartition(tasks, "topic")
+        .select(
+            "post_id", "topic",
+            F.count(F.lit(1)).over(in_window).alias("count"),
+            F.dense_rank().over(in_time).alias("_window"),
+        )
+        .select(
+            "post_id", "topic", "count",
+            (F.count(F.lit(1)).over(by_topic) / F.max("_window").over(by_topic)).alias("avg_count"),
+        )
+    )
+    own = F.when(F.col("topic").isNotNull(), F.col("burst_score")).alias("burst_score")
+    scored = with_burst_score(counted).select("post_id", own)
+    if not hot:
+        return scored
+    keys, among = ["start_time", "topic"], rows.filter(is_hot)
+    counts = count_by_window(among)
+    trends = with_burst_score(with_baseline(counts)).select(*keys, "burst_score")
+    if windows * len(hot) <= MOST_SCORES:
+        found = among.join(F.broadcast(trends), keys, "left").select("post_id", "burst_score")
+    else:
+        topics = hot_keys(counts, keys).select("topic").distinct()
+        of_hot = with_burst_score(
+            with_baseline(counts.join(F.broadcast(topics), "topic", "left_semi"))
+        )
+        found = _given_scores(among, trends, of_hot)
+    return scored.unionByName(found)
+
+
+def _hot_topics(rows: DataFrame, interval: str) -> tuple[int, int, list[str]]:
+    """The number of terms, the most windows they can have, and the hot topics.
+
+    Too few terms for the sample to hold any, or none, count as none.
+    """
+    seen, at = Observation(), F.col("start_time").cast("timestamp").cast("long")
+    counts = (
+        rows.observe(
+            seen, F.count(F.lit(1)).alias("number"), F.min(at).alias("first"), F.max(at).alias("last")
+        )
+        .sample(1 / HOT_SAMPLE, seed=0)
+        .filter(F.col("topic").isNotNull())
+        .groupBy("topic").count()
+    )
+    most = counts.orderBy(F.desc("count"), "topic").limit(HOT_KEYS).collect()
+    if not most:  # the plan of an empty table observes nothing
+        return 0, 0, []
+    number = seen.get["number"]
+    windows = (seen.get["last"] - seen.get["first"]) // interval_seconds(interval) + 1
+    return number, windows, [r["topic"] for r in most if r["count"] * HOT_SAMPLE * HOT_KEYS > number]

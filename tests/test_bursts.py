@@ -176,6 +176,42 @@ def test_post_scores_of_hot_repeated_and_undated_rows(spark):
         assert not ("Aggregate(keys=[post_id" in line and "topic" in line)
 
 
+@pytest.mark.parametrize("hot, most", [([], 1 << 20), (["hot", "t3"], 1 << 20), (["hot", "t3"], 0)])
+def test_post_scores_shuffle_the_terms_once(spark, monkeypatch, hot, most):
+    """Whichever topics are said to be hot, scores are the same; nothing but terms is shuffled."""
+    rows = [(i % 40 or None, HOUR + timedelta(hours=i % 2), "hot") for i in range(150)]
+    rows += [(i % 50, HOUR + timedelta(hours=i % 7), f"t{i * i % 13}") for i in range(300)]
+    rows += [(7, None, "hot"), (98, HOUR, None), (98, HOUR, "t1"), (99, HOUR, None)]
+    found = spark.createDataFrame(rows, "post_id long, created_at timestamp_ntz, topic string")
+    uses, per_topic = Counter((t, x) for _, t, x in rows if t), defaultdict(list)
+    for (_, topic), count in uses.items():
+        per_topic[topic].append(count)
+    expected = defaultdict(list)
+    for i, t, topic in rows:
+        if t:
+            mean = sum(per_topic[topic]) / len(per_topic[topic])
+            score = float(Decimal(repr(uses[t, topic] / mean)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+            expected[i] += [] if topic is None else [score]
+    monkeypatch.setattr(bursts, "_hot_topics", lambda *_: (len(rows), 7, hot), raising=False)
+    monkeypatch.setattr(bursts, "MOST_SCORES", most, raising=False)
+    result = bursts.post_scores(found)
+    shuffles = [x for x in plan_of(result).splitlines() if "Exchange hashpartitioning" in x and "topic" in x]
+    got = {r["post_id"]: (r["n_trending"], r["max_score"], r["avg_score"]) for r in result.collect()}
+    assert got == {
+        i: (len(x), max(x, default=0), pytest.approx(sum(x) / max(len(x), 1))) for i, x in expected.items()
+    }
+    assert [x for x in shuffles if "hashpartitioning(topic" in x and "REPARTITION_BY_NUM" in x]
+    assert hot or len(shuffles) == 1
+
+
+def test_hot_topics_are_found_by_a_sample(spark):
+    rows = [(HOUR + timedelta(hours=i % 30), "hot" if i % 5 == 0 else f"t{i}") for i in range(20000)]
+    found = spark.createDataFrame(rows, "start_time timestamp_ntz, topic string").repartition(4)
+    number, windows, hot = bursts._hot_topics(found, "hour")
+    assert (number, windows) == (20000, 30) and "hot" in hot and len(hot) <= 1000
+    assert bursts._hot_topics(found.limit(0), "hour") == (0, 0, [])
+
+
 def test_terms_are_counted_once_for_all_windows(spark):
     rows = [(1, "en", HOUR, "storm over rome"), (2, "en", None, "storm")]
     posts = spark.createDataFrame(

@@ -12,7 +12,7 @@ SECONDS = {"hour": 3600, "day": 86400, "week": 7 * 86400}
 #: One in so many terms is counted to find the topics that are hot.
 HOT_SAMPLE = 64
 #: Terms that one task groups by topic, and scores of hot topics that are broadcast.
-TASK_TERMS, MOST_SCORES = 1 << 22, 1 << 20
+TASK_TERMS, MOST_SCORES = 6 << 20, 1 << 20
 
 
 def interval_seconds(interval: str) -> int:
@@ -206,7 +206,22 @@ def post_scores(
     rows = terms.select(
         "post_id", window_start(F.col("created_at"), interval).alias("start_time"), "topic"
     )
-    matched = _own_scores(rows, interval) if trends is None else _given_scores(rows, trends)
+    if trends is None:
+        number, odd = F.sum("terms"), F.count("hundredths")
+        total = F.coalesce(F.sum("hundredths"), F.lit(0)) + 100 * (number - odd)
+        highest = F.max("hundredths")
+        return (
+            _own_scores(rows, interval)
+            .groupBy("post_id")
+            .agg(
+                number.alias("n_trending"),
+                (F.when(odd < number, F.greatest(highest, F.lit(100))).otherwise(highest) / 100)
+                .alias("max_score"),
+                F.try_divide(total / 100, number).alias("avg_score"),
+            )
+            .na.fill(0, ["max_score", "avg_score"])
+        )
+    matched = _given_scores(rows, trends)
     # Scores have two decimals: a decimal sum does not depend on the row order.
     exact = F.col("burst_score").cast("decimal(18,2)")
     scored = F.when(F.col("burst_score").isNotNull(), 1).otherwise(0)
@@ -233,7 +248,13 @@ def _given_scores(
 
 
 def _own_scores(rows: DataFrame, interval: str) -> DataFrame:
-    """``post_id, burst_score`` of every term, by the counts of the terms themselves.
+    """``post_id, terms, hundredths``: how many terms of a post there are, and their scores.
+
+    ``hundredths`` is a score of a term, by the counts of the terms themselves; scores have two
+    decimals. It is null in place of 100, the score of a topic whose windows have like counts, as
+    most have. Rows with a score taken from the shuffle below have 0 ``terms``: they are
+    counted before it, where all terms of a post are in one task, so that the
+    results of a post per task are few and small.
 
     Terms are shuffled once, by their topic: a task counts its topics in all windows and
     scores the terms it holds, so that neither counts nor scores are shuffled. Topics
@@ -263,22 +284,27 @@ def _own_scores(rows: DataFrame, interval: str) -> DataFrame:
             (F.count(F.lit(1)).over(by_topic) / F.max("_window").over(by_topic)).alias("avg_count"),
         )
     )
-    own = F.when(F.col("topic").isNotNull(), F.col("burst_score")).alias("burst_score")
-    scored = with_burst_score(counted).select("post_id", own)
+    score = F.round(F.col("burst_score") * 100).cast("long")
+    odd = F.when(score != 100, score).alias("hundredths")
+    scored = with_burst_score(counted.filter(F.col("topic").isNotNull())).select(
+        "post_id", F.lit(0).cast("long").alias("terms"), odd
+    ).filter(F.col("hundredths").isNotNull())
+    terms = F.col("topic").isNotNull().cast("long").alias("terms")
+    unscored = F.lit(None).cast("long").alias("hundredths")
     if not hot:
-        return scored
+        return scored.unionByName(rows.select("post_id", terms, unscored))
     keys, among = ["start_time", "topic"], rows.filter(is_hot)
     counts = count_by_window(among)
     trends = with_burst_score(with_baseline(counts)).select(*keys, "burst_score")
     if windows * len(hot) <= MOST_SCORES:
-        found = among.join(F.broadcast(trends), keys, "left").select("post_id", "burst_score")
-    else:
-        topics = hot_keys(counts, keys).select("topic").distinct()
-        of_hot = with_burst_score(
-            with_baseline(counts.join(F.broadcast(topics), "topic", "left_semi"))
-        )
-        found = _given_scores(among, trends, of_hot)
-    return scored.unionByName(found)
+        found = rows.join(F.broadcast(trends), keys, "left").select("post_id", terms, odd)
+        return scored.unionByName(found)
+    topics = hot_keys(counts, keys).select("topic").distinct()
+    of_hot = with_burst_score(
+        with_baseline(counts.join(F.broadcast(topics), "topic", "left_semi"))
+    )
+    found = _given_scores(among, trends, of_hot).select("post_id", F.lit(1).cast("long").alias("terms"), odd)
+    return scored.unionByName(found).unionByName(spread.select("post_id", terms, unscored))
 
 
 def _hot_topics(rows: DataFrame, interval: str) -> tuple[int, int, list[str]]:
